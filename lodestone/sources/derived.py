@@ -154,7 +154,7 @@ def derived_catalog(spark: SparkSession, sf_dir: str, connections: int = 1) -> C
         routine_definition="if(doc_id % 11 = 0, null, text)",
         routine_type="if(doc_id % 2 = 1, 'FUNCTION', 'PROCEDURE')",
         routine_comment="lang",
-        created="if(doc_id % 5 = 0, null, timestamp_ntz '2020-01-01 00:00:00' + make_dt_interval(0, 0, doc_id))",
+        created="if(doc_id % 5 = 0, null, timestamp_ntz '2020-01-01 00:00:00' + make_dt_interval(0, doc_id))",
         last_altered="if(doc_id % 3 = 0, timestamp_ntz '1970-01-01 00:00:00', timestamp_ntz '2021-06-01 00:00:00')",
     )
 
