@@ -22,11 +22,11 @@ from lodestone.operators.constraints import constraint_roles  # noqa: E402
 from lodestone.operators.feed import lineage_parse_feed, lineage_parse_feed_from_json  # noqa: E402
 from lodestone.operators.filters import INCLUDE_ALL, CatalogFilter, filter_map_pattern  # noqa: E402
 from lodestone.operators.settings import latest_settings  # noqa: E402
-from lodestone.plans.extraction import entity_streams  # noqa: E402
+from lodestone.plans.extraction import EntityStreams  # noqa: E402
 from lodestone.plans.seed_views import SEED_VIEWS  # noqa: E402
 from lodestone.session import tune  # noqa: E402
 from lodestone.sources.catalog import Catalog  # noqa: E402
-from lodestone.sources.derived import derived_catalog, table  # noqa: E402
+from lodestone.sources.derived import DerivedCatalog, table  # noqa: E402
 from oracle import catalog as catalog_oracle  # noqa: E402
 from oracle import seed_views as seed_view_oracle  # noqa: E402
 
@@ -39,15 +39,15 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _catalog(spark: SparkSession, sf_dir: str) -> Catalog:
-    return derived_catalog(spark, sf_dir, CONNECTIONS)
+    return DerivedCatalog(spark, sf_dir, CONNECTIONS)
 
 
 def _on_catalog(build: Callable[[Catalog], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(_catalog(tune(spark), sf_dir))
 
 
-def _on_streams(build: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
-    return _on_catalog(lambda catalog: build(entity_streams(catalog)))
+def _on_streams(build: Callable[[EntityStreams], DataFrame]) -> Query:
+    return _on_catalog(lambda catalog: build(EntityStreams(catalog)))
 
 
 def flatten(df: DataFrame) -> DataFrame:
@@ -108,11 +108,11 @@ def _lines(df: DataFrame) -> DataFrame:
     return df.select(E.entity_json(df).alias("value"))
 
 
-def _entity_json(streams: dict[str, DataFrame]) -> DataFrame:
+def _entity_json(streams: EntityStreams) -> DataFrame:
     return Q._union([_lines(df).select(F.lit(name).alias("stream"), "value") for name, df in streams.items()])
 
 
-def _entity_json_fields(streams: dict[str, DataFrame]) -> DataFrame:
+def _entity_json_fields(streams: EntityStreams) -> DataFrame:
     """Every line parsed back, with one field per stream that shows the text form is right."""
     detail = {
         "database": "$.attributes.description",
@@ -135,7 +135,7 @@ def _entity_json_fields(streams: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def _feed_from_json(streams: dict[str, DataFrame]) -> DataFrame:
+def _feed_from_json(streams: EntityStreams) -> DataFrame:
     return lineage_parse_feed_from_json(_lines(streams["table"]).unionByName(_lines(streams["procedure"])))
 
 
@@ -144,8 +144,8 @@ def _feed_from_json(streams: dict[str, DataFrame]) -> DataFrame:
 
 def _hierarchy(catalog: Catalog) -> DataFrame:
     """Columns of all tables against tables without the temporary ones; one schema's tables name a wrong parent."""
-    streams = entity_streams(catalog)
-    kept = entity_streams(catalog, TEMP_TABLES)
+    streams = EntityStreams(catalog)
+    kept = EntityStreams(catalog, TEMP_TABLES)
     wrong = F.when(F.col("attributes.schemaName") == "NATION_7", F.lit("default/mysql/x/def/NATION_7")).otherwise(
         F.col("attributes.schemaQualifiedName")
     )
@@ -153,7 +153,7 @@ def _hierarchy(catalog: Catalog) -> DataFrame:
     return Q.hierarchy_violations([streams["column"], tables, streams["schema"]], [streams["database"], streams["schema"], tables])
 
 
-def _required_attributes(streams: dict[str, DataFrame]) -> DataFrame:
+def _required_attributes(streams: EntityStreams) -> DataFrame:
     tables = _with_attribute(
         streams["table"],
         "description",
@@ -171,7 +171,7 @@ def _required_of(df: DataFrame) -> dict[str, tuple[str, ...]]:
     return {t: names for t, names in Q.REQUIRED_ATTRIBUTES.items() if set(names) <= present}
 
 
-def _parent_conflicts(streams: dict[str, DataFrame]) -> DataFrame:
+def _parent_conflicts(streams: EntityStreams) -> DataFrame:
     """Fifth columns lose their table, sixth columns get a view besides their table."""
     order, a = F.col("attributes.order"), "attributes."
     df = _with_attribute(streams["column"], "tableName", F.when(order != 5, F.col(a + "tableName")))
@@ -184,7 +184,7 @@ def _parent_conflicts(streams: dict[str, DataFrame]) -> DataFrame:
     return Q.parent_conflicts(df)
 
 
-def _bad_references(streams: dict[str, DataFrame]) -> DataFrame:
+def _bad_references(streams: EntityStreams) -> DataFrame:
     """Three schemas' tables point to a wrong type, to an empty name, and to nothing."""
     ref = F.col(f"attributes.{E.SCHEMA_REF}")
     schema = F.col("attributes.schemaName")
@@ -197,12 +197,12 @@ def _bad_references(streams: dict[str, DataFrame]) -> DataFrame:
     return Q._union([Q.bad_references(tables), Q.bad_references(streams["schema"])])
 
 
-def _wrong_constants(streams: dict[str, DataFrame]) -> DataFrame:
+def _wrong_constants(streams: EntityStreams) -> DataFrame:
     other = F.when(F.col("connection_qn") == "default/mysql/2", F.lit("other")).otherwise(F.col("attributes.tenantId"))
     return Q.wrong_constants(_with_attribute(streams["table"], "tenantId", other), "mysql", E.DEFAULT_TENANT)
 
 
-def _invalid_json(streams: dict[str, DataFrame]) -> DataFrame:
+def _invalid_json(streams: EntityStreams) -> DataFrame:
     """Schemas with more tables than views get NaN, which JSON does not know."""
     df = streams["schema"]
     line = E.entity_json(df)
@@ -214,14 +214,14 @@ def _invalid_json(streams: dict[str, DataFrame]) -> DataFrame:
     return Q.invalid_json(lines).select("qualified_name")
 
 
-def _stream_types(streams: dict[str, DataFrame]) -> DataFrame:
+def _stream_types(streams: EntityStreams) -> DataFrame:
     """Tables delivered as columns and procedures delivered among the tables."""
     mixed = streams["table"].select("typeName").unionByName(streams["procedure"].select("typeName"))
     return Q.unexpected_stream_types({"column": streams["table"], "table": mixed, "schema": streams["schema"]})
 
 
 def _count_floors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    streams = entity_streams(_catalog(tune(spark), sf_dir))
+    streams = EntityStreams(_catalog(tune(spark), sf_dir))
     floors = {"Database": 1, "Schema": 1, "Table": 2, "View": 1, "Column": 10, "Procedure": 1_000_000_000, "Index": 1}
     return Q.count_floors(spark, list(streams.values()), floors)
 
@@ -229,7 +229,7 @@ def _count_floors(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- snapshots ----------------------------------------------------------------------------------------------
 
 
-def _table_snapshots(streams: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
+def _table_snapshots(streams: EntityStreams) -> tuple[DataFrame, DataFrame]:
     """Old: tables made before 1998. New: without urgent ones and without one connection; high ones have grown."""
     tables = streams["table"]
     description, rows = F.col("attributes.description"), F.col("attributes.rowCount")
@@ -238,7 +238,7 @@ def _table_snapshots(streams: dict[str, DataFrame]) -> tuple[DataFrame, DataFram
     return old, _with_attribute(new, "rowCount", F.when(description == "2-HIGH", rows + 1).otherwise(rows))
 
 
-def _procedure_diff(streams: dict[str, DataFrame]) -> DataFrame:
+def _procedure_diff(streams: EntityStreams) -> DataFrame:
     """Some names are shared by a procedure and a function; the new side lost the French functions."""
     old = streams["procedure"]
     gone = (F.col("attributes.subType") == "FUNCTION") & (F.col("attributes.description") == "fr")
@@ -387,4 +387,4 @@ def oracle_sql() -> dict[str, str]:
 
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: table and view entities of all connections, as flat rows."""
-    return flatten(entity_streams(_catalog(tune(spark), SMOKE_DIR))["table"])
+    return flatten(EntityStreams(_catalog(tune(spark), SMOKE_DIR))["table"])

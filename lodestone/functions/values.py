@@ -51,6 +51,12 @@ def coerce_numeric(df: DataFrame, names: tuple[str, ...] | str, default: int = 0
     return F.coalesce(finite_or_null(df, name), F.lit(default))
 
 
+def whole_or(df: DataFrame, names: tuple[str, ...] | str, default: int) -> Column:
+    """The first column of `names` that exists as a 64-bit integer, else `default`; NULL, NaN and infinities are NULL."""
+    name = first_present(df, *((names,) if isinstance(names, str) else names))
+    return F.lit(default).cast("bigint") if name is None else finite_or_null(df, name).try_cast("bigint")
+
+
 def safe_str(df: DataFrame, name: str) -> Column:
     """Text form for custom attributes: NULL and non-finite give '', whole floats print as integers."""
     if first_present(df, name) is None:

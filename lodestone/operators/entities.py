@@ -25,6 +25,7 @@ from lodestone.functions.values import (
     text_or_empty,
     truthy,
     when_set,
+    whole_or,
 )
 
 # Type names, status and reference names that consumers of the entities expect.
@@ -125,7 +126,7 @@ def _place(df: DataFrame, catalog: tuple[str, ...], schema: tuple[str, ...], dia
 def database_entities(df: DataFrame, stamp: Stamp = PLAIN) -> DataFrame:
     name = col_or(df, ("database_name", "datname"), "")
     attributes = _attributes(
-        stamp, name, path(F.col("connection_qn"), name), schemaCount=col_or(df, "schema_count", 0).cast("bigint")
+        stamp, name, path(F.col("connection_qn"), name), schemaCount=whole_or(df, "schema_count", 0)
     )
     return _entity(df, DATABASE, attributes)
 
@@ -138,8 +139,8 @@ def schema_entities(df: DataFrame, stamp: Stamp = PLAIN) -> DataFrame:
         place.schema_qn,
         databaseName=place.database,
         databaseQualifiedName=place.database_qn,
-        tableCount=col_or(df, "table_count", 0).cast("bigint"),
-        viewsCount=col_or(df, "views_count", 0).cast("bigint"),
+        tableCount=whole_or(df, "table_count", 0),
+        viewsCount=whole_or(df, "views_count", 0),
         **{DATABASE_REF: _ref(DATABASE, place.database_qn)},
     )
     return _entity(df, SCHEMA, attributes)
@@ -165,12 +166,12 @@ def table_entities(df: DataFrame, stamp: Stamp = PLAIN) -> DataFrame:
         path(place.schema_qn, name),
         **place.attributes(),
         description=text_or_empty(col_or(df, "remarks", "")),
-        columnCount=col_or(df, "column_count", 0).cast("bigint"),
-        sizeBytes=col_or(df, "size_bytes", 0).cast("bigint"),
-        rowCount=table_only(col_or(df, "row_count", 0).cast("bigint")),
+        columnCount=whole_or(df, "column_count", 0),
+        sizeBytes=whole_or(df, "size_bytes", 0),
+        rowCount=table_only(whole_or(df, "row_count", 0)),
         subType=table_only(F.lit(TABLE_SUBTYPE)),
         isPartitioned=table_only(truthy(col_or(df, "is_partition", False))),
-        partitionCount=table_only(col_or(df, "partition_count", 0).cast("bigint")),
+        partitionCount=table_only(whole_or(df, "partition_count", 0)),
         definition=F.when(is_view, definition),
         sourceCreatedAt=when_set(epoch_ms(df, "create_time")),
         **{SCHEMA_REF: _ref(SCHEMA, place.schema_qn)},
@@ -217,7 +218,7 @@ def column_entities(df: DataFrame, stamp: Stamp = PLAIN) -> DataFrame:
         maxLength=coerce_numeric(df, ("max_length", "character_maximum_length")),
         numericScale=coerce_numeric(df, ("numeric_scale", "decimal_digits")),
         precision=coerce_numeric(df, "numeric_precision").cast("bigint"),
-        order=col_or(df, "ordinal_position", 0).cast("bigint"),
+        order=whole_or(df, "ordinal_position", 0),
         **{TABLE_REF: _optional_ref(~in_view, TABLE, parent_qn), VIEW_REF: _optional_ref(in_view, VIEW, parent_qn)},
     )
 

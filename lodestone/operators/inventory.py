@@ -213,24 +213,37 @@ def table_inventory(catalog: Catalog, rules: CatalogFilter = KEEP_ALL, dialect:
     )
 
 
+def table_kinds(catalog: Catalog, rules: CatalogFilter = KEEP_ALL, dialect: Dialect = MYSQL) -> DataFrame:
+    """The kind of every catalogued table, once, however often the source repeats the table."""
+    kinds = dialect.kept_table_types
+    seen = [F.bool_or(F.col("table_type") == kind).alias(f"is_{i}") for i, kind in enumerate(kinds)]
+    present = F.array_compact(F.array(*(F.when(F.col(f"is_{i}"), F.lit(kind)) for i, kind in enumerate(kinds))))
+    return (
+        accessible_tables(catalog, rules, dialect)
+        .groupBy(*TABLE_KEY)
+        .agg(*seen)
+        .select(*TABLE_KEY, F.explode(present).alias("table_type"))
+    )
+
+
 def column_inventory(
     catalog: Catalog, rules: CatalogFilter = KEEP_ALL, dialect: Dialect = MYSQL, ordered: bool = False
 ) -> DataFrame:
     """Columns of the catalogued tables and views, with key roles.
 
-    Repeated source rows are removed first, on the narrow source row and with map-side combining; every output is a
-    function of that row, its table kind and its key role, and both joined sides have at most one row per key (a
-    table has as many kinds as the kept list allows), so the joins cannot bring repeats back. `ordered` asks for a
-    global order by schema, table and position.
+    The large side is shuffled once, by table: the join to the table kinds, the removal of repeated rows and the
+    join to the key roles all use that partitioning. Where one table is so hot that its partition is split at run
+    time, Spark shuffles again for the later steps, with repeats combined before that shuffle. Repeats are removed
+    on the source row, of which every output is a function together with the table kind and the key role; both
+    joined sides have at most one row per key and kind, so the joins neither multiply rows nor bring repeats back.
+    `ordered` asks for a global order by schema, table and position.
     """
-    columns = keep(catalog.columns, "table_schema", rules, dialect, table="table_name").distinct()
-    kinds = (
-        accessible_tables(catalog, rules, dialect)
-        .groupBy(*TABLE_KEY)
-        .agg(F.collect_set("table_type").alias("kinds"))
-        .select(*TABLE_KEY, F.explode("kinds").alias("table_type"))
+    columns = keep(catalog.columns, "table_schema", rules, dialect, table="table_name")
+    joined = (
+        columns.join(table_kinds(catalog, rules, dialect), list(TABLE_KEY))
+        .distinct()
+        .join(constraint_roles(catalog), list(COLUMN_KEY), "left")
     )
-    joined = columns.join(kinds, list(TABLE_KEY)).join(constraint_roles(catalog), list(COLUMN_KEY), "left")
     auto_increment = _yes_no(F.col("extra").contains("auto_increment"))
     expression = F.col("generation_expression")
     result = project(

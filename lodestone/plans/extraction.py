@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 from lodestone.operators import entities as E
@@ -11,16 +13,46 @@ from lodestone.sinks.jsonl import Delivery, deliver
 from lodestone.sources.catalog import Catalog
 
 
-def entity_streams(catalog: Catalog, rules: CatalogFilter = KEEP_ALL, stamp: E.Stamp = E.PLAIN) -> dict[str, DataFrame]:
-    """The five streams; views travel in the table stream. Nothing runs until a stream is used."""
-    dialect = stamp.dialect
-    return {
-        "database": E.database_entities(I.database_inventory(catalog, dialect), stamp),
-        "schema": E.schema_entities(I.schema_inventory(catalog, rules, dialect), stamp),
-        "table": E.table_entities(I.table_inventory(catalog, rules, dialect), stamp),
-        "column": E.column_entities(I.column_inventory(catalog, rules, dialect), stamp),
-        "procedure": E.procedure_entities(I.routine_inventory(catalog, rules, dialect), stamp),
-    }
+def _database(catalog: Catalog, rules: CatalogFilter, stamp: E.Stamp) -> DataFrame:
+    return E.database_entities(I.database_inventory(catalog, stamp.dialect), stamp)
+
+
+def _schema(catalog: Catalog, rules: CatalogFilter, stamp: E.Stamp) -> DataFrame:
+    return E.schema_entities(I.schema_inventory(catalog, rules, stamp.dialect), stamp)
+
+
+def _table(catalog: Catalog, rules: CatalogFilter, stamp: E.Stamp) -> DataFrame:
+    return E.table_entities(I.table_inventory(catalog, rules, stamp.dialect), stamp)
+
+
+def _column(catalog: Catalog, rules: CatalogFilter, stamp: E.Stamp) -> DataFrame:
+    return E.column_entities(I.column_inventory(catalog, rules, stamp.dialect), stamp)
+
+
+def _procedure(catalog: Catalog, rules: CatalogFilter, stamp: E.Stamp) -> DataFrame:
+    return E.procedure_entities(I.routine_inventory(catalog, rules, stamp.dialect), stamp)
+
+
+# Views travel in the table stream.
+STREAMS = {"database": _database, "schema": _schema, "table": _table, "column": _column, "procedure": _procedure}
+
+
+class EntityStreams(Mapping):
+    """The five streams by name. A stream's plan is made when it is first asked for; nothing runs until it is used."""
+
+    def __init__(self, catalog: Catalog, rules: CatalogFilter = KEEP_ALL, stamp: E.Stamp = E.PLAIN):
+        self._source, self._made = (catalog, rules, stamp), {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = STREAMS[name](*self._source)
+        return self._made[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(STREAMS)
+
+    def __len__(self) -> int:
+        return len(STREAMS)
 
 
 def extract(
@@ -31,4 +63,4 @@ def extract(
     stamp: E.Stamp = E.PLAIN,
 ) -> Delivery:
     """Run the extraction and deliver all streams below `prefix`."""
-    return deliver(spark, entity_streams(catalog, rules, stamp), prefix)
+    return deliver(spark, EntityStreams(catalog, rules, stamp), prefix)

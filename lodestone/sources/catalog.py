@@ -7,7 +7,8 @@ aggregated in one run without matching names across connections.
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass, fields
+from types import SimpleNamespace
+from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,8 +58,7 @@ RELATION_SCHEMAS: dict[str, T.StructType] = {
 }
 
 
-@dataclass(frozen=True)
-class Catalog:
+class Catalog(Protocol):
     """One DataFrame per source relation; `connections` lists every connection, also those with no schema."""
 
     connections: DataFrame
@@ -73,11 +73,11 @@ class Catalog:
 
 
 def catalog_from(relations: dict[str, DataFrame]) -> Catalog:
-    """Build a Catalog from named DataFrames, checking that none is missing."""
-    missing = [f.name for f in fields(Catalog) if f.name not in relations]
+    """A catalog of named DataFrames, checking that none is missing."""
+    missing = [name for name in RELATION_SCHEMAS if name not in relations]
     if missing:
         raise ValueError(f"missing catalog relations: {', '.join(missing)}")
-    return Catalog(**{f.name: relations[f.name] for f in fields(Catalog)})
+    return SimpleNamespace(**relations)
 
 
 def read_parquet_catalog(spark: SparkSession, root: str) -> Catalog:
@@ -89,8 +89,8 @@ def read_parquet_catalog(spark: SparkSession, root: str) -> Catalog:
 
 def write_parquet_catalog(catalog: Catalog, root: str) -> None:
     """Store every relation as a Parquet snapshot that `read_parquet_catalog` reads back."""
-    for field in fields(Catalog):
-        getattr(catalog, field.name).write.mode("overwrite").parquet(f"{root}/{field.name}")
+    for name in RELATION_SCHEMAS:
+        getattr(catalog, name).write.mode("overwrite").parquet(f"{root}/{name}")
 
 
 # ---- database connector -------------------------------------------------------------------------------------
