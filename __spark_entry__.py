@@ -368,6 +368,7 @@ def queries() -> dict[str, Query]:
         "entity_count_floors": _count_floors,
         "snapshot_diff": _on_streams(lambda s: D.snapshot_diff(*_table_snapshots(s))),
         "snapshot_diff_shared_names": _on_streams(_procedure_diff),
+        "undelivered_connections": _on_streams(lambda s: D.undelivered_connections(*_table_snapshots(s))),
         "incremental_changes": _on_streams(lambda s: D.incremental_changes(*_table_snapshots(s))),
         "scalar_epoch_ms": _epoch_ms,
         "scalar_safe_str": _safe_str,

@@ -16,17 +16,13 @@ def constraint_roles(catalog: Catalog) -> DataFrame:
     """One row per column that is in a primary or foreign key: constraint_type and constraint_name.
 
     A column in both is a primary key. The name is that of the primary key; a column that is only in foreign keys
-    has none. Both relations are read once. The constraint side is reduced to one row per constraint before the
-    join and the result to one row per column after it, both with map-side combining, so repeated source rows
-    never multiply.
+    has none. Both relations are read once. Constraints are made distinct before the join, and the result is reduced
+    to one row per column after it, both with map-side combining, so repeated source rows never multiply.
     """
     kinds = (
         catalog.table_constraints.where(F.col("constraint_type").isin(PRIMARY_KEY, FOREIGN_KEY))
-        .groupBy(*CONSTRAINT_KEY)
-        .agg(
-            F.bool_or(F.col("constraint_type") == PRIMARY_KEY).alias("is_pk"),
-            F.bool_or(F.col("constraint_type") == FOREIGN_KEY).alias("is_fk"),
-        )
+        .select(*CONSTRAINT_KEY, (F.col("constraint_type") == PRIMARY_KEY).alias("is_pk"))
+        .distinct()
     )
     usage = catalog.key_column_usage.select(*CONSTRAINT_KEY, "column_name")
     per_column = (

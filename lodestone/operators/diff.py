@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lodestone.operators.entities import entity_json
 
-INSERT, UPDATE, UNCHANGED, ARCHIVE, WITHHELD = "insert", "update", "unchanged", "archive", "withheld"
+INSERT, UPDATE, UNCHANGED, ARCHIVE = "insert", "update", "unchanged", "archive"
 ENTITY_KEY = ("connection_qn", "typeName", "qualifiedName")
 
 
@@ -34,23 +34,19 @@ def _fingerprints(entities: DataFrame, is_new: bool) -> DataFrame:
     )
 
 
-def _change(has_old: Column, has_new: Column, same: Column, live: Column) -> Column:
+def _change(has_old: Column, has_new: Column, same: Column) -> Column:
     return (
-        F.when(has_new & ~has_old, INSERT)
-        .when(has_new & same, UNCHANGED)
-        .when(has_new, UPDATE)
-        .when(live, ARCHIVE)
-        .otherwise(WITHHELD)
+        F.when(has_new & ~has_old, INSERT).when(has_new & same, UNCHANGED).when(has_new, UPDATE).otherwise(ARCHIVE)
     )
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame) -> DataFrame:
     """One row per entity key with its change: insert, update, unchanged or archive.
 
-    An entity that is gone is archived only if the new snapshot delivered anything for its connection; otherwise
-    it is `withheld`. Both sides are aggregated together instead of outer-joined: contents first (copies collapse
-    on the map side), then keys, so a qualified name that many entities share never pairs them up. Such a name is
-    unchanged when both sides hold the same set of contents.
+    Only connections of which the new snapshot delivered anything take part; what the others had stays as it is
+    (see `undelivered_connections`). Both sides are aggregated together instead of outer-joined: contents first
+    (copies collapse on the map side), then keys, so a qualified name that many entities share never pairs them up.
+    Such a name is unchanged when both sides hold the same set of contents.
     """
     both = _fingerprints(old, False).unionByName(_fingerprints(new, True))
     contents = both.groupBy(*ENTITY_KEY, "h1", "h2").agg(
@@ -61,13 +57,19 @@ def snapshot_diff(old: DataFrame, new: DataFrame) -> DataFrame:
         F.bool_or("in_new").alias("has_new"),
         F.bool_and(F.col("in_old") & F.col("in_new")).alias("same"),
     )
-    delivered = new.select("connection_qn").distinct().withColumn("delivered", F.lit(True))
-    return keys.join(delivered, "connection_qn", "left").select(
-        *ENTITY_KEY,
-        _change(F.col("has_old"), F.col("has_new"), F.col("same"), F.col("delivered").isNotNull()).alias("change"),
+    # Connection and type, not connection alone: a semi join does not mind the repeats, and this side is then
+    # shuffled for the join itself, which lets Spark split a hot connection.
+    delivered = new.select("connection_qn", "typeName").distinct().select("connection_qn")
+    return keys.join(delivered, "connection_qn", "left_semi").select(
+        *ENTITY_KEY, _change(F.col("has_old"), F.col("has_new"), F.col("same")).alias("change")
     )
 
 
+def undelivered_connections(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Connections the old snapshot has and the new one has nothing of."""
+    return old.select("connection_qn").distinct().join(new.select("connection_qn"), "connection_qn", "left_anti")
+
+
 def incremental_changes(last: DataFrame, new: DataFrame) -> DataFrame:
-    """Only what has to be published after a run: the diff without unchanged and withheld entities."""
+    """Only what has to be published after a run: the diff without unchanged entities."""
     return snapshot_diff(last, new).where(F.col("change").isin(INSERT, UPDATE, ARCHIVE))

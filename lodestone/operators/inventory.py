@@ -214,16 +214,12 @@ def table_inventory(catalog: Catalog, rules: CatalogFilter = KEEP_ALL, dialect:
 
 
 def table_kinds(catalog: Catalog, rules: CatalogFilter = KEEP_ALL, dialect: Dialect = MYSQL) -> DataFrame:
-    """The kind of every catalogued table, once, however often the source repeats the table."""
-    kinds = dialect.kept_table_types
-    seen = [F.bool_or(F.col("table_type") == kind).alias(f"is_{i}") for i, kind in enumerate(kinds)]
-    present = F.array_compact(F.array(*(F.when(F.col(f"is_{i}"), F.lit(kind)) for i, kind in enumerate(kinds))))
-    return (
-        accessible_tables(catalog, rules, dialect)
-        .groupBy(*TABLE_KEY)
-        .agg(*seen)
-        .select(*TABLE_KEY, F.explode(present).alias("table_type"))
-    )
+    """The kind of every catalogued table, once, however often the source repeats the table.
+
+    Distinct over table and kind, so that a join by table shuffles this side itself: only a join whose two inputs
+    both come straight from a shuffle can have its hot partitions split at run time.
+    """
+    return accessible_tables(catalog, rules, dialect).select(*TABLE_KEY, "table_type").distinct()
 
 
 def column_inventory(
@@ -231,11 +227,11 @@ def column_inventory(
 ) -> DataFrame:
     """Columns of the catalogued tables and views, with key roles.
 
-    The large side is shuffled once, by table: the join to the table kinds, the removal of repeated rows and the
-    join to the key roles all use that partitioning. Where one table is so hot that its partition is split at run
-    time, Spark shuffles again for the later steps, with repeats combined before that shuffle. Repeats are removed
-    on the source row, of which every output is a function together with the table kind and the key role; both
-    joined sides have at most one row per key and kind, so the joins neither multiply rows nor bring repeats back.
+    The large side is shuffled twice: by table, for the join to the table kinds and the removal of repeated rows,
+    and by column, for the join to the key roles. Where one table (or one much repeated row) is so hot that its
+    partition is split at run time, Spark shuffles once more to remove repeats, combining them before that shuffle.
+    Repeats are removed on the source row, of which every output is a function together with the table kind and the
+    key role; both joined sides have at most one row per key and kind, so the joins never multiply rows.
     `ordered` asks for a global order by schema, table and position.
     """
     columns = keep(catalog.columns, "table_schema", rules, dialect, table="table_name")

@@ -15,8 +15,6 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # A join on (connection, schema, table, column) reuses rows already partitioned by the first three.
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 

@@ -319,10 +319,10 @@ def _diff(old: str, new: str, entity: str, *values: str) -> str:
       UNION (SELECT {keys} FROM (SELECT * FROM new_s EXCEPT SELECT * FROM old_s))),
     diff AS (SELECT {keys}, CASE
         WHEN ({keys}) NOT IN (SELECT ({keys}) FROM old_s) THEN 'insert'
-        WHEN ({keys}) NOT IN (SELECT ({keys}) FROM new_s) THEN
-          CASE WHEN connection_qn IN (SELECT connection_qn FROM new_s) THEN 'archive' ELSE 'withheld' END
+        WHEN ({keys}) NOT IN (SELECT ({keys}) FROM new_s) THEN 'archive'
         WHEN ({keys}) IN (SELECT ({keys}) FROM changed) THEN 'update' ELSE 'unchanged' END AS change
-      FROM (SELECT {keys} FROM old_s UNION SELECT {keys} FROM new_s))"""
+      FROM (SELECT {keys} FROM old_s UNION SELECT {keys} FROM new_s)
+      WHERE connection_qn IN (SELECT connection_qn FROM new_s))"""
 
 
 _DAY_MS = "epoch_ms(TIMESTAMP '1998-01-01')"
@@ -418,6 +418,8 @@ SQL = {
           UNION ALL SELECT "typeName" FROM e_procedure) GROUP BY 1) c USING ("typeName")""",
     "snapshot_diff": _with(E_TABLE, TABLE_DIFF) + "SELECT * FROM diff",
     "snapshot_diff_shared_names": _with(E_PROCEDURE, PROCEDURE_DIFF) + "SELECT * FROM diff",
+    "undelivered_connections": _with(E_TABLE, TABLE_DIFF) + """SELECT DISTINCT connection_qn FROM old_s
+        WHERE connection_qn NOT IN (SELECT connection_qn FROM new_s)""",
     "incremental_changes": _with(E_TABLE, TABLE_DIFF)
     + "SELECT * FROM diff WHERE change IN ('insert', 'update', 'archive')",
     "scalar_epoch_ms": """SELECT o_orderkey, epoch_ms(o_orderdate) AS from_time,
