@@ -381,8 +381,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL per query over the same Parquet tables. `entity_json` has none: JSON text differs between
-    engines, and `entity_json_fields` checks the parsed lines instead."""
+    """DuckDB SQL per query over the same Parquet tables."""
     return {**catalog_oracle.SQL, **seed_view_oracle.SQL}
 
 

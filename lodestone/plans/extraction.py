@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,39 +14,59 @@ from lodestone.sinks.jsonl import Delivery, deliver
 from lodestone.sources.catalog import Catalog
 
 
-def _database(catalog: Catalog, rules: CatalogFilter, stamp: E.Stamp) -> DataFrame:
-    return E.database_entities(I.database_inventory(catalog, stamp.dialect), stamp)
+@dataclass(frozen=True)
+class Stream:
+    """How one output stream is made: the extract, the mapper, and the order of rows within a file."""
 
+    rows: Callable[..., DataFrame]
+    entities: Callable[[DataFrame, E.Stamp], DataFrame]
+    order: tuple[str, ...] = ()
+    filtered: bool = True
 
-def _schema(catalog: Catalog, rules: CatalogFilter, stamp: E.Stamp) -> DataFrame:
-    return E.schema_entities(I.schema_inventory(catalog, rules, stamp.dialect), stamp)
+    def extract(self, catalog: Catalog, rules: CatalogFilter, stamp: E.Stamp) -> DataFrame:
+        return self.rows(catalog, *((rules,) if self.filtered else ()), stamp.dialect)
 
 
-def _table(catalog: Catalog, rules: CatalogFilter, stamp: E.Stamp) -> DataFrame:
-    return E.table_entities(I.table_inventory(catalog, rules, stamp.dialect), stamp)
+# Views travel in the table stream. The include and exclude patterns do not apply to the database row.
+STREAMS = {
+    "database": Stream(I.database_inventory, E.database_entities, filtered=False),
+    "schema": Stream(I.schema_inventory, E.schema_entities, ("schema_name",)),
+    "table": Stream(I.table_inventory, E.table_entities),
+    "column": Stream(I.column_inventory, E.column_entities, ("table_schema", "table_name", "ordinal_position")),
+    "procedure": Stream(I.routine_inventory, E.procedure_entities),
+}
 
 
-def _column(catalog: Catalog, rules: CatalogFilter, stamp: E.Stamp) -> DataFrame:
-    return E.column_entities(I.column_inventory(catalog, rules, stamp.dialect), stamp)
+def grouped_by_connection(rows: DataFrame, order: tuple[str, ...]) -> DataFrame:
+    """Rows grouped for writing one directory per connection, in order within a task.
 
-
-def _procedure(catalog: Catalog, rules: CatalogFilter, stamp: E.Stamp) -> DataFrame:
-    return E.procedure_entities(I.routine_inventory(catalog, rules, stamp.dialect), stamp)
-
-
-# Views travel in the table stream.
-STREAMS = {"database": _database, "schema": _schema, "table": _table, "column": _column, "procedure": _procedure}
+    The extract rows are moved, not the much longer entity lines. Small connections share a task, and a connection
+    larger than the advisory partition size is split over many.
+    """
+    grouped = rows.hint("rebalance", "connection_qn")
+    return grouped.sortWithinPartitions("connection_qn", *order) if order else grouped
 
 
 class EntityStreams(Mapping):
     """The five streams by name. A stream's plan is made when it is first asked for; nothing runs until it is used."""
 
-    def __init__(self, catalog: Catalog, rules: CatalogFilter = KEEP_ALL, stamp: E.Stamp = E.PLAIN):
-        self._source, self._made = (catalog, rules, stamp), {}
+    def __init__(
+        self,
+        catalog: Catalog,
+        rules: CatalogFilter = KEEP_ALL,
+        stamp: E.Stamp = E.PLAIN,
+        for_writing: bool = False,
+    ):
+        self._source, self._stamp, self._for_writing = (catalog, rules, stamp), stamp, for_writing
+        self._made: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._made:
-            self._made[name] = STREAMS[name](*self._source)
+            stream = STREAMS[name]
+            rows = stream.extract(*self._source)
+            if self._for_writing:
+                rows = grouped_by_connection(rows, stream.order)
+            self._made[name] = stream.entities(rows, self._stamp)
         return self._made[name]
 
     def __iter__(self) -> Iterator[str]:
@@ -63,4 +84,4 @@ def extract(
     stamp: E.Stamp = E.PLAIN,
 ) -> Delivery:
     """Run the extraction and deliver all streams below `prefix`."""
-    return deliver(spark, EntityStreams(catalog, rules, stamp), prefix)
+    return deliver(spark, EntityStreams(catalog, rules, stamp, for_writing=True), prefix)

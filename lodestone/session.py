@@ -15,6 +15,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A task that writes a few connections keeps their files open instead of sorting its lines by connection.
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
 }
 
 

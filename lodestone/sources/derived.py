@@ -6,10 +6,11 @@ documents) are spread over k connections that all have the same schema names.
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lodestone.sources.catalog import RELATION_SCHEMAS, Catalog
 
@@ -68,8 +69,15 @@ _CONSTRAINT_NAMES = """array_compact(array(if(l_linenumber = 1, 'PRIMARY', null)
     if(l_linenumber = 3, 'uk_3', null)))"""
 
 
+@lru_cache
+def _schema_of(application: str, path: str) -> StructType:
+    return SparkSession.active().read.parquet(path).schema
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One supplied table; its schema is read from the file once per application."""
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(_schema_of(spark.sparkContext.applicationId, path)).parquet(path)
 
 
 def _connection(key: Column, connections: int) -> Column:

@@ -261,6 +261,79 @@ e_procedure AS (SELECT connection_qn, 'Procedure' AS "typeName",
       {_schema_ref('procedure_schema')} FROM routines)"""
 
 
+def _json_members(*members: str) -> str:
+    """A JSON object of the members that are not NULL."""
+    return "'{' || concat_ws(',', " + ", ".join(members) + ") || '}'"
+
+
+def _member(key: str, column: str | None = None) -> str:
+    column = column or f'"{key}"'
+    return f"""'"{key}":' || CAST(to_json({column}) AS VARCHAR)"""
+
+
+def _ref_member(key: str, qualified_name: str) -> str:
+    unique = _json_members(_member("qualifiedName", f'"{qualified_name}"'))
+    return f"""CASE WHEN "{key}TypeName" IS NOT NULL THEN '"{key}":' || """ + (
+        _json_members(_member("typeName", f'"{key}TypeName"'), f"""'"uniqueAttributes":' || {unique}""") + " END"
+    )
+
+
+_SHARED_NAMES = "name qualifiedName connectionQualifiedName connectorName connectionName tenantId"
+_PLACE_NAMES = "databaseName databaseQualifiedName schemaName schemaQualifiedName"
+
+
+def _json_line(stream: str, attributes: str, refs: dict[str, str], defaults: bool = False, custom: str = "") -> str:
+    inner = [_member(a) for a in f"{_SHARED_NAMES} {attributes}".split()]
+    inner += [_ref_member(key, qualified_name) for key, qualified_name in refs.items()]
+    members = [_member("typeName"), _member("status"), f"""'"attributes":' || {_json_members(*inner)}"""]
+    if defaults:
+        members += [_member("defaultCatalogName"), _member("defaultSchemaName")]
+    if custom:
+        members.append(f"""'"customAttributes":' || {custom}""")
+    return f"SELECT '{stream}' AS stream, {_json_members(*members)} AS value FROM e_{stream}"
+
+
+def _custom_member(key: str) -> str:
+    unknown = {"ordinal_position": "null", "numeric_precision": "null", "column_size": "null"}.get(key, '""')
+    return f"""'"{key}":' || COALESCE(CAST(to_json(custom_{key}) AS VARCHAR), '{unknown}')"""
+
+
+_TABLE_CUSTOM = "engine version row_format data_length table_collation create_options is_transient"
+_COLUMN_CUSTOM = (
+    "ordinal_position is_self_referencing numeric_precision is_auto_increment is_generated extra_info "
+    "character_set_name collation_name column_type column_key privileges generation_expression is_autoincrement "
+    "is_generatedcolumn constraint_type constraint_name buffer_length column_size is_identity identity_cycle "
+    "character_octet_length type_name"
+)
+
+JSON_LINES = "\nUNION ALL ".join(
+    (
+        _json_line("database", "schemaCount", {}),
+        _json_line("schema", "databaseName databaseQualifiedName tableCount viewsCount", {"database": "databaseRefQualifiedName"}),
+        _json_line(
+            "table",
+            f"{_PLACE_NAMES} description columnCount sizeBytes rowCount subType isPartitioned partitionCount "
+            "definition sourceCreatedAt",
+            {"atlanSchema": "atlanSchemaQualifiedName"},
+            defaults=True,
+            custom=_json_members(*map(_custom_member, _TABLE_CUSTOM.split())),
+        ),
+        _json_line(
+            "column",
+            f"{_PLACE_NAMES} tableName tableQualifiedName viewName viewQualifiedName dataType description "
+            "isNullable isPartition isPrimary isForeign maxLength numericScale precision order",
+            {"table": "tableRefQualifiedName", "view": "viewRefQualifiedName"},
+            custom=_json_members(*map(_custom_member, _COLUMN_CUSTOM.split())),
+        ),
+        _json_line(
+            "procedure",
+            f"{_PLACE_NAMES} definition subType description sourceCreatedBy sourceCreatedAt sourceUpdatedAt",
+            {"atlanSchema": "atlanSchemaQualifiedName"},
+        ),
+    )
+)
+
+
 def _with(*parts: str) -> str:
     return "WITH " + ",\n".join((RELATIONS, *parts)) + "\n"
 
@@ -375,6 +448,7 @@ SQL = {
     "entity_view": _with(E_TABLE) + """SELECT * FROM e_table WHERE "typeName" = 'View'""",
     "entity_column": _with(E_COLUMN) + "SELECT * FROM e_column",
     "entity_procedure": _with(E_PROCEDURE) + "SELECT * FROM e_procedure",
+    "entity_json": _with(_ALL_ENTITIES) + JSON_LINES,
     "entity_json_fields": _with(_ALL_ENTITIES) + """
         SELECT 'database' AS stream, "typeName" AS type_name, "qualifiedName" AS qualified_name, NULL::VARCHAR AS detail FROM e_database
         UNION ALL SELECT 'schema', "typeName", "qualifiedName", CAST("tableCount" AS VARCHAR) FROM e_schema

@@ -14,9 +14,8 @@ def con():
     return connect(SF_DIR)
 
 
-def test_every_oracle_has_a_query_and_only_json_text_has_none():
-    assert set(entry.queries()) - set(ORACLE) == {"entity_json"}
-    assert set(ORACLE) <= set(entry.queries())
+def test_every_query_has_an_oracle():
+    assert set(entry.queries()) == set(ORACLE)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
