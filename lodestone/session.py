@@ -15,6 +15,12 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Catalog rows repeat the same names, so files are far smaller than their rows. Without this factor the planner
+    # takes a relation of millions of rows for a small one by its file size and broadcasts it. Sides that turn out
+    # small when measured are still broadcast at run time.
+    "spark.sql.sources.fileCompressionFactor": "20",
+    # Where every partition of one side is measured to be small, hash it instead of sorting both sides.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     # A task that writes a few connections keeps their files open instead of sorting its lines by connection.
     "spark.sql.maxConcurrentOutputFileWriters": "16",
 }
