@@ -73,8 +73,13 @@ def flatten(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
-def _of_type(df: DataFrame, type_name: str) -> DataFrame:
-    return df.where(F.col("typeName") == type_name)
+# Columns of the shared table stream that one of its two types never has.
+NOT_IN_TABLE = ("definition", "defaultCatalogName", "defaultSchemaName")
+NOT_IN_VIEW = ("rowCount", "subType", "isPartitioned", "partitionCount")
+
+
+def _of_type(df: DataFrame, type_name: str, absent: tuple[str, ...]) -> DataFrame:
+    return flatten(df.where(F.col("typeName") == type_name)).drop(*absent)
 
 
 def _with_attribute(df: DataFrame, name: str, value: Column) -> DataFrame:
@@ -348,8 +353,8 @@ def queries() -> dict[str, Query]:
         "filter_map": _kept_names(CatalogFilter(include=_MAP)),
         "entity_database": _on_streams(lambda s: flatten(s["database"])),
         "entity_schema": _on_streams(lambda s: flatten(s["schema"])),
-        "entity_table": _on_streams(lambda s: flatten(_of_type(s["table"], E.TABLE))),
-        "entity_view": _on_streams(lambda s: flatten(_of_type(s["table"], E.VIEW))),
+        "entity_table": _on_streams(lambda s: _of_type(s["table"], E.TABLE, NOT_IN_TABLE)),
+        "entity_view": _on_streams(lambda s: _of_type(s["table"], E.VIEW, NOT_IN_VIEW)),
         "entity_column": _on_streams(lambda s: flatten(s["column"])),
         "entity_procedure": _on_streams(lambda s: flatten(s["procedure"])),
         "entity_json": _on_streams(_entity_json),
@@ -370,6 +375,11 @@ def queries() -> dict[str, Query]:
         "snapshot_diff_shared_names": _on_streams(_procedure_diff),
         "undelivered_connections": _on_streams(lambda s: D.undelivered_connections(*_table_snapshots(s))),
         "incremental_changes": _on_streams(lambda s: D.incremental_changes(*_table_snapshots(s))),
+        "changed_entities": _on_streams(
+            lambda s: D.changed_entities(*_table_snapshots(s)).select(
+                "connection_qn", "typeName", "attributes.qualifiedName", "attributes.rowCount", "attributes.description"
+            )
+        ),
         "scalar_epoch_ms": _epoch_ms,
         "scalar_safe_str": _safe_str,
         "scalar_coerce_numeric": _coerce_numeric,

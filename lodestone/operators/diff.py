@@ -73,3 +73,10 @@ def undelivered_connections(old: DataFrame, new: DataFrame) -> DataFrame:
 def incremental_changes(last: DataFrame, new: DataFrame) -> DataFrame:
     """Only what has to be published after a run: the diff without unchanged entities."""
     return snapshot_diff(last, new).where(F.col("change").isin(INSERT, UPDATE, ARCHIVE))
+
+
+def changed_entities(last: DataFrame, new: DataFrame) -> DataFrame:
+    """The new snapshot's entities that were inserted or updated, complete, ready to be delivered again."""
+    changed = snapshot_diff(last, new).where(F.col("change").isin(INSERT, UPDATE)).select(*ENTITY_KEY)
+    keyed = new.withColumn("qualifiedName", F.col("attributes.qualifiedName"))
+    return keyed.join(changed, list(ENTITY_KEY), "left_semi").select(*new.columns)

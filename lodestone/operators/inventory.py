@@ -67,18 +67,17 @@ def database_inventory(catalog: Catalog, dialect: Dialect = MYSQL) -> DataFrame:
     )
 
 
-def schema_inventory(catalog: Catalog, rules: CatalogFilter = KEEP_ALL, dialect: Dialect = MYSQL) -> DataFrame:
-    """Schemas with their table and view counts; the counts ignore the table-name filter."""
+def schema_inventory(
+    catalog: Catalog, rules: CatalogFilter = KEEP_ALL, dialect: Dialect = MYSQL, ordered: bool = False
+) -> DataFrame:
+    """Schemas with their table and view counts; the counts ignore the table-name filter. `ordered` sorts by name."""
     table_type = F.col("table_type")
-    counts = (
-        catalog.tables.groupBy("connection_qn", F.col("table_schema").alias("schema_name"))
-        .agg(
-            F.count_if(table_type.isin(*dialect.table_count_types)).alias("n_tables"),
-            F.count_if(table_type == dialect.view_count_type).alias("n_views"),
-        )
+    counts = catalog.tables.groupBy("connection_qn", F.col("table_schema").alias("schema_name")).agg(
+        F.count_if(table_type.isin(*dialect.table_count_types)).alias("n_tables"),
+        F.count_if(table_type == dialect.view_count_type).alias("n_views"),
     )
     schemas = keep(catalog.schemata, "schema_name", rules, dialect)
-    return project(
+    result = project(
         schemas.join(counts, ["connection_qn", "schema_name"], "left"),
         SCHEMA_LAYOUT,
         {
@@ -89,6 +88,7 @@ def schema_inventory(catalog: Catalog, rules: CatalogFilter = KEEP_ALL, dialect:
             "views_count": F.coalesce("n_views", F.lit(0)),
         },
     )
+    return result.orderBy("schema_name") if ordered else result
 
 
 def schema_picker(catalog: Catalog, dialect: Dialect = MYSQL) -> DataFrame:

@@ -444,8 +444,10 @@ SQL = {
         WHERE table_schema IN ('NATION_4', 'NATION_11') OR regexp_matches(table_schema, '^NATION_2[0-9]$')""",
     "entity_database": _with(E_DATABASE) + "SELECT * FROM e_database",
     "entity_schema": _with(E_SCHEMA) + "SELECT * FROM e_schema",
-    "entity_table": _with(E_TABLE) + """SELECT * FROM e_table WHERE "typeName" = 'Table'""",
-    "entity_view": _with(E_TABLE) + """SELECT * FROM e_table WHERE "typeName" = 'View'""",
+    "entity_table": _with(E_TABLE) + """SELECT * EXCLUDE (definition, "defaultCatalogName", "defaultSchemaName")
+        FROM e_table WHERE "typeName" = 'Table'""",
+    "entity_view": _with(E_TABLE) + """SELECT * EXCLUDE ("rowCount", "subType", "isPartitioned", "partitionCount")
+        FROM e_table WHERE "typeName" = 'View'""",
     "entity_column": _with(E_COLUMN) + "SELECT * FROM e_column",
     "entity_procedure": _with(E_PROCEDURE) + "SELECT * FROM e_procedure",
     "entity_json": _with(_ALL_ENTITIES) + JSON_LINES,
@@ -496,6 +498,9 @@ SQL = {
         WHERE connection_qn NOT IN (SELECT connection_qn FROM new_s)""",
     "incremental_changes": _with(E_TABLE, TABLE_DIFF)
     + "SELECT * FROM diff WHERE change IN ('insert', 'update', 'archive')",
+    "changed_entities": _with(E_TABLE, TABLE_DIFF) + """SELECT new_s.* FROM new_s
+        SEMI JOIN (SELECT * FROM diff WHERE change IN ('insert', 'update')) d
+        USING (connection_qn, "typeName", "qualifiedName")""",
     "scalar_epoch_ms": """SELECT o_orderkey, epoch_ms(o_orderdate) AS from_time,
         CASE WHEN o_orderpriority <> '5-LOW' THEN epoch_ms(o_orderdate) END AS from_text,
         CASE WHEN o_orderpriority <> '5-LOW' THEN epoch_ms(o_orderdate) END AS from_zoned_text,

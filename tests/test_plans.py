@@ -8,7 +8,9 @@ from conftest import SF_DIR
 import __spark_entry__ as entry
 from lodestone.operators import inventory as I
 from lodestone.operators.constraints import constraint_roles
+from lodestone.operators.diff import snapshot_diff
 from lodestone.operators.quality import orphan_columns
+from lodestone.plans.extraction import EntityStreams
 from lodestone.session import RUNTIME_CONF
 from lodestone.sources.catalog import catalog_from, read_parquet_catalog, write_parquet_catalog
 from lodestone.sources.derived import DerivedCatalog
@@ -111,9 +113,32 @@ def test_a_hot_table_is_split_and_no_column_is_lost(hot, stored):
 def test_a_hot_table_is_split_in_the_orphan_check(hot):
     catalog = catalog_from({**vars(hot), "tables": hot.tables.where("table_type = 'VIEW'")})
     df = orphan_columns(catalog)
+    assert "skew=true" in final_plan(df)
     assert df.count() > 12_000
 
 
+def test_a_hot_connection_is_split_in_the_snapshot_diff(spark, hot):
+    """Two thirds of all entities in one connection; the check of delivered connections joins on it."""
+    streams = EntityStreams(hot)
+    old, new = streams["column"], streams["column"].where("attributes.isNullable")
+    df = snapshot_diff(old, new)
+    join = next(line for line in final_plan(df).splitlines() if "Join" in line)
+    assert "LeftSemi" in join and "skew=true" in join
+    counts = {r.change: r["count"] for r in df.groupBy("change").count().collect()}
+    assert sum(counts.values()) == old.count() and counts["unchanged"] == new.count()
+
+
+def test_a_hot_constraint_is_split(spark, stored, hot):
+    """A third of all key usage in one constraint."""
+    one = stored.table_constraints.where("constraint_type = 'PRIMARY KEY'").limit(1).drop("constraint_type")
+    many = spark.range(0, 12_000, 1, 8).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("column_name"))
+    rows = one.crossJoin(many).select(*stored.key_column_usage.columns).repartition(8)
+    usage = stored.key_column_usage.repartition(4).unionByName(rows)
+    df = constraint_roles(catalog_from({**vars(stored), "key_column_usage": usage}))
+    assert "skew=true" in final_plan(df)
+    assert df.count() == constraint_roles(stored).count() + 12_000
+
+
 def test_repeated_relations_do_not_multiply(stored):
     twice = {name: df.unionByName(df).unionByName(df) for name, df in vars(stored).items() if name not in ("tables", "columns")}
     noisy = catalog_from({**vars(stored), **twice})
