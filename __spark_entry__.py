@@ -22,9 +22,10 @@ from lodestone.operators.constraints import constraint_roles  # noqa: E402
 from lodestone.operators.feed import lineage_parse_feed, lineage_parse_feed_from_json  # noqa: E402
 from lodestone.operators.filters import INCLUDE_ALL, CatalogFilter, filter_map_pattern  # noqa: E402
 from lodestone.operators.settings import latest_settings  # noqa: E402
-from lodestone.plans.extraction import EntityStreams  # noqa: E402
+from lodestone.plans.extraction import EntityStreams, extract  # noqa: E402
 from lodestone.plans.seed_views import SEED_VIEWS  # noqa: E402
-from lodestone.session import tune  # noqa: E402
+from lodestone.session import shared_folder, tune  # noqa: E402
+from lodestone.sinks.jsonl import read_stream  # noqa: E402
 from lodestone.sources.catalog import Catalog  # noqa: E402
 from lodestone.sources.derived import DerivedCatalog, table  # noqa: E402
 from oracle import catalog as catalog_oracle  # noqa: E402
@@ -114,7 +115,7 @@ def _lines(df: DataFrame) -> DataFrame:
 
 
 def _entity_json(streams: EntityStreams) -> DataFrame:
-    return Q._union([_lines(df).select(F.lit(name).alias("stream"), "value") for name, df in streams.items()])
+    return Q.union_all([_lines(df).select(F.lit(name).alias("stream"), "value") for name, df in streams.items()])
 
 
 def _entity_json_fields(streams: EntityStreams) -> DataFrame:
@@ -127,7 +128,7 @@ def _entity_json_fields(streams: EntityStreams) -> DataFrame:
         "procedure": "$.attributes.definition",
     }
     line = F.col("value")
-    return Q._union(
+    return Q.union_all(
         [
             _lines(df).select(
                 F.lit(name).alias("stream"),
@@ -140,6 +141,18 @@ def _entity_json_fields(streams: EntityStreams) -> DataFrame:
     )
 
 
+def _delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All streams written as JSON lines and verified, then counted from what was delivered."""
+    catalog = _catalog(tune(spark), sf_dir)
+    delivery = extract(spark, catalog, shared_folder(spark, "delivery"))
+    return Q.union_all(
+        [
+            read_stream(spark, f"{delivery.prefix}/{name}").select(F.lit(name).alias("stream"), "connection_id")
+            for name in delivery.lines
+        ]
+    ).groupBy("stream", "connection_id").agg(F.count("*").alias("lines"))
+
+
 def _feed_from_json(streams: EntityStreams) -> DataFrame:
     return lineage_parse_feed_from_json(_lines(streams["table"]).unionByName(_lines(streams["procedure"])))
 
@@ -168,7 +181,7 @@ def _required_attributes(streams: EntityStreams) -> DataFrame:
         streams["column"], "dataType", F.when(F.col("attributes.dataType") != "JSON", F.col("attributes.dataType"))
     )
     checked = (streams["database"], streams["schema"], tables, columns)
-    return Q._union([Q.missing_attributes(df, _required_of(df)) for df in checked])
+    return Q.union_all([Q.missing_attributes(df, _required_of(df)) for df in checked])
 
 
 def _required_of(df: DataFrame) -> dict[str, tuple[str, ...]]:
@@ -199,7 +212,7 @@ def _bad_references(streams: EntityStreams) -> DataFrame:
         .when(schema != "NATION_7", ref)
     )
     tables = _with_attribute(streams["table"], E.SCHEMA_REF, wrong)
-    return Q._union([Q.bad_references(tables), Q.bad_references(streams["schema"])])
+    return Q.union_all([Q.bad_references(tables), Q.bad_references(streams["schema"])])
 
 
 def _wrong_constants(streams: EntityStreams) -> DataFrame:
@@ -358,6 +371,7 @@ def queries() -> dict[str, Query]:
         "entity_column": _on_streams(lambda s: flatten(s["column"])),
         "entity_procedure": _on_streams(lambda s: flatten(s["procedure"])),
         "entity_json": _on_streams(_entity_json),
+        "jsonl_delivery": _delivery,
         "entity_json_fields": _on_streams(_entity_json_fields),
         "lineage_parse_feed": _on_streams(lambda s: lineage_parse_feed(s["table"], s["procedure"])),
         "lineage_parse_feed_json": _on_streams(_feed_from_json),

@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
+# First number of shuffle partitions per core; small ones are merged again at run time.
+PARTITIONS_PER_CORE = 4
+
 # Every setting here can be changed on a live session, so `tune` works on a session somebody else built.
 RUNTIME_CONF = {
     # Naive source timestamps are read as UTC.
@@ -27,12 +32,41 @@ RUNTIME_CONF = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the run-time settings to an existing session and return it."""
+    """Apply the run-time settings to an existing session and return it.
+
+    On a cluster, shuffles also get several partitions per core, unless the session already asks for more. Where an
+    input is so large that these would not fit in memory, set `spark.sql.shuffle.partitions` to its size over 128 MB.
+    """
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    if not _is_local(spark):
+        wanted = PARTITIONS_PER_CORE * _cores(spark)
+        if int(spark.conf.get("spark.sql.shuffle.partitions")) < wanted:
+            spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
     return spark
 
 
+def _is_local(spark: SparkSession) -> bool:
+    return spark.sparkContext.master.startswith("local")
+
+
+def _cores(spark: SparkSession) -> int:
+    """Cores the application has, or may grow to."""
+    conf = spark.sparkContext.getConf()
+    executors = int(conf.get("spark.dynamicAllocation.maxExecutors", "0"))
+    return max(spark.sparkContext.defaultParallelism, executors * int(conf.get("spark.executor.cores", "1")))
+
+
+def shared_folder(spark: SparkSession, purpose: str) -> str:
+    """A new folder all executors can reach, below the one the cluster names; a temporary one only in local mode."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not _is_local(spark):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="lodestone-")
+    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
 def local_session(app: str = "lodestone", cpus: int | None = None, **conf: str) -> SparkSession:
     """A single-machine session for tests and benchmarks; on a cluster, bring your own and call `tune`."""
     cpus = cpus or os.cpu_count() or 1

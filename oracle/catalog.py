@@ -451,6 +451,10 @@ SQL = {
     "entity_column": _with(E_COLUMN) + "SELECT * FROM e_column",
     "entity_procedure": _with(E_PROCEDURE) + "SELECT * FROM e_procedure",
     "entity_json": _with(_ALL_ENTITIES) + JSON_LINES,
+    "jsonl_delivery": _with(_ALL_ENTITIES) + "\nUNION ALL ".join(
+        f"SELECT '{stream}' AS stream, replace(connection_qn, '/', '_') AS connection_id, count(*) AS lines "
+        f"FROM e_{stream} GROUP BY ALL" for stream in ("database", "schema", "table", "column", "procedure")
+    ),
     "entity_json_fields": _with(_ALL_ENTITIES) + """
         SELECT 'database' AS stream, "typeName" AS type_name, "qualifiedName" AS qualified_name, NULL::VARCHAR AS detail FROM e_database
         UNION ALL SELECT 'schema', "typeName", "qualifiedName", CAST("tableCount" AS VARCHAR) FROM e_schema
