@@ -52,10 +52,11 @@ COLUMN_CUSTOM_NUMBER_OR_EMPTY = ("buffer_length", "character_octet_length")
 
 @dataclass(frozen=True)
 class Stamp:
-    """What every entity of a run carries; `connection_name` is left out while it is not known."""
+    """What every entity of a run carries. `connection_name` is left out while it is not known; with several
+    connections it may be a Column made from `connection_qn`."""
 
     tenant_id: str = DEFAULT_TENANT
-    connection_name: str | None = None
+    connection_name: str | Column | None = None
     dialect: Dialect = MYSQL
 
 

@@ -24,8 +24,10 @@ RUNTIME_CONF = {
     # takes a relation of millions of rows for a small one by its file size and broadcasts it. Sides that turn out
     # small when measured are still broadcast at run time.
     "spark.sql.sources.fileCompressionFactor": "20",
-    # Where every partition of one side is measured to be small, hash it instead of sorting both sides.
-    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+    # For the same reason 16 MB of shuffle data are already a few hundred MB of rows: enough for a task, and for a file.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16MB",
+    # Where every partition of one side is measured to be that small, hash it instead of sorting both sides.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "16MB",
     # A task that writes a few connections keeps their files open instead of sorting its lines by connection.
     "spark.sql.maxConcurrentOutputFileWriters": "16",
 }

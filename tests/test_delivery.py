@@ -7,9 +7,11 @@ from conftest import CONNECTION, SF_DIR
 
 from lodestone.plans.extraction import EntityStreams, extract
 from lodestone.operators.feed import lineage_parse_feed, lineage_parse_feed_from_json
+from lodestone.operators.entities import Stamp
 from lodestone.sinks import jsonl as J
 from lodestone.sources import catalog as C
 from lodestone.sources.derived import DerivedCatalog
+from pyspark.sql import functions as F
 
 
 @pytest.fixture(scope="module")
@@ -78,6 +80,25 @@ def test_summary_is_one_row_of_nine_texts(spark):
     assert (row.connection_qualified_name, row.transformed_data_prefix, row.storage_bucket) == (CONNECTION, "p", "bucket")
 
 
+@pytest.mark.parametrize(("advisory", "split"), [("2KB", True), ("64MB", False)])
+def test_large_connections_are_split_small_ones_are_not_and_rows_are_in_order(spark, conf, tmp_path, advisory, split):
+    conf(
+        spark__sql__adaptive__advisoryPartitionSizeInBytes=advisory,
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+    )
+    stamp = Stamp(connection_name=F.concat(F.lit("name of "), "connection_qn"))
+    column = EntityStreams(DerivedCatalog(spark, SF_DIR, 3), stamp=stamp, for_writing=True)["column"]
+    assert J.write_stream(column, str(tmp_path)) == 3301
+    for n in (1, 2, 3):
+        parts = list(tmp_path.glob(f"connection_id=default_mysql_{n}/*.txt"))
+        assert (len(parts) > 1) is split
+        for part in parts:
+            attributes = [json.loads(line)["attributes"] for line in part.read_text().splitlines()]
+            places = [(a["schemaName"], a.get("tableName") or a["viewName"], a["order"]) for a in attributes]
+            assert places == sorted(places)
+            assert {a["connectionName"] for a in attributes} == {f"name of default/mysql/{n}"}
+
+
 def test_parquet_catalog_round_trip(spark, delivered, tmp_path):
     catalog, _ = delivered
     C.write_parquet_catalog(catalog, str(tmp_path))
