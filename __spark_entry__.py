@@ -203,7 +203,7 @@ def _parent_conflicts(streams: EntityStreams) -> DataFrame:
 
 
 def _bad_references(streams: EntityStreams) -> DataFrame:
-    """Three schemas' tables point to a wrong type, to an empty name, and to nothing."""
+    """Three schemas' tables point to a wrong type, to an empty name, and to nothing; so do their columns' parents."""
     ref = F.col(f"attributes.{E.SCHEMA_REF}")
     schema = F.col("attributes.schemaName")
     wrong = (
@@ -212,7 +212,15 @@ def _bad_references(streams: EntityStreams) -> DataFrame:
         .when(schema != "NATION_7", ref)
     )
     tables = _with_attribute(streams["table"], E.SCHEMA_REF, wrong)
-    return Q.union_all([Q.bad_references(tables), Q.bad_references(streams["schema"])])
+    parent = F.col(f"attributes.{E.TABLE_REF}")
+    column = F.col("attributes.schemaName")
+    wrong_parent = (
+        F.when(column == "NATION_5", parent.withField("typeName", F.lit("View")))
+        .when(column == "NATION_6", parent.withField("uniqueAttributes.qualifiedName", F.lit("")))
+        .when(column != "NATION_7", parent)
+    )
+    columns = _with_attribute(streams["column"], E.TABLE_REF, wrong_parent)
+    return Q.union_all([Q.bad_references(df) for df in (tables, columns, streams["schema"])])
 
 
 def _wrong_constants(streams: EntityStreams) -> DataFrame:

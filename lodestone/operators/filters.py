@@ -21,6 +21,7 @@ class CatalogFilter:
     """Include and exclude patterns on `<catalog>.<schema>`, and an exclude pattern on table names.
 
     Patterns are searched, not anchored, and ignore case unless `case_sensitive` is set. Exclude wins over include.
+    An empty pattern counts as not given.
     `per_connection` is an optional DataFrame (connection_qn, include_re, exclude_re, exclude_table_re) whose
     non-NULL values replace the patterns given here for that connection. It is joined without a hint: Spark
     broadcasts it while it is small and shuffles it otherwise.
@@ -73,11 +74,11 @@ def keep(
     if rules.per_connection is not None:
         return _keep_per_connection(df, key, rules, table)
     # The default patterns decide nothing (a schema key is never empty), so they cost nothing either.
-    if rules.include == INCLUDE_ALL:
+    if rules.include in ("", INCLUDE_ALL):
         df = df.where(key.isNotNull())
     else:
         df = df.where(rules.matches(key, rules.include))
-    if rules.exclude != EXCLUDE_NONE:
+    if rules.exclude not in ("", EXCLUDE_NONE):
         df = df.where(~rules.matches(key, rules.exclude))
     if table and rules.exclude_table:
         df = df.where(~rules.matches(F.col(table), rules.exclude_table))
@@ -85,13 +86,13 @@ def keep(
 
 
 def _keep_per_connection(df: DataFrame, key: Column, rules: CatalogFilter, table: str | None) -> DataFrame:
-    patterns = rules.per_connection.select("connection_qn", "include_re", "exclude_re", "exclude_table_re")
-    joined = df.join(patterns, "connection_qn", "left")
-    include = rules._cased_column(F.coalesce("include_re", F.lit(rules.include)))
-    exclude = rules._cased_column(F.coalesce("exclude_re", F.lit(rules.exclude)))
-    admitted = F.rlike(key, include) & ~F.rlike(key, exclude)
+    given = [F.nullif(F.col(c), F.lit("")).alias(c) for c in ("include_re", "exclude_re", "exclude_table_re")]
+    joined = df.join(rules.per_connection.select("connection_qn", *given), "connection_qn", "left")
+    include = F.coalesce("include_re", F.lit(rules.include or INCLUDE_ALL))
+    exclude = F.coalesce("exclude_re", F.lit(rules.exclude or EXCLUDE_NONE))
+    admitted = F.rlike(key, rules._cased_column(include)) & ~F.rlike(key, rules._cased_column(exclude))
     if table:
-        table_re = F.coalesce("exclude_table_re", F.lit(rules.exclude_table).cast("string"))
+        table_re = F.coalesce("exclude_table_re", F.lit(rules.exclude_table or None).cast("string"))
         admitted = admitted & F.coalesce(~F.rlike(F.col(table), rules._cased_column(table_re)), F.lit(True))
     return joined.where(admitted).select(*df.columns)
 

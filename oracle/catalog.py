@@ -479,8 +479,10 @@ SQL = {
     "required_attributes": _missing(),
     "parent_conflicts": _with(E_COLUMN) + """SELECT "typeName", "qualifiedName" FROM e_column
         WHERE "order" = 5 AND "viewName" IS NULL OR "order" = 6 AND "tableName" IS NOT NULL""",
-    "bad_references": _with(E_SCHEMA, E_TABLE) + """SELECT "typeName", "qualifiedName" FROM e_table
-        WHERE "schemaName" IN ('NATION_5', 'NATION_6', 'NATION_7')""",
+    "bad_references": _with(_ALL_ENTITIES) + """SELECT "typeName", "qualifiedName" FROM e_table
+        WHERE "schemaName" IN ('NATION_5', 'NATION_6', 'NATION_7')
+        UNION ALL SELECT "typeName", "qualifiedName" FROM e_column
+        WHERE "tableName" IS NOT NULL AND "schemaName" IN ('NATION_5', 'NATION_6', 'NATION_7')""",
     "wrong_constants": _with(E_TABLE) + """SELECT "typeName", "qualifiedName" FROM e_table
         WHERE connection_qn = 'default/mysql/2'""",
     "invalid_json": _with(E_SCHEMA) + """SELECT "qualifiedName" AS qualified_name FROM e_schema

@@ -60,7 +60,7 @@ def names(df, column="schema_name"):
         (CatalogFilter(include=r"^def\.app", exclude="2$"), ["App"]),
         (CatalogFilter(include="app", exclude="app"), []),
         (CatalogFilter(include=r"^db\.app", current_database="db"), ["App", "app2"]),
-        (CatalogFilter(include=r"^def\.app"), ["App", "app2"]),
+        (CatalogFilter(include="", exclude="", exclude_table=""), ["App", "app2", "other"]),
     ],
 )
 def test_include_exclude(make_catalog, rules, kept):
@@ -82,7 +82,7 @@ def test_picker_patterns(frame):
 def test_per_connection_rules(make_catalog, frame):
     config = frame(
         "connection_qn string, include_re string, exclude_re string, exclude_table_re string",
-        ("c1", r"^def\.a", None, None), ("c2", None, r"^def\.a", "^tmp"),
+        ("c1", r"^def\.a", None, None), ("c2", None, r"^def\.a", "^tmp"), ("c3", "", "", ""),
     )
     rows = [{"connection_qn": c, **table(t, schema=s)} for c in ("c1", "c2", "c3") for s in ("a", "b") for t in ("tmp1", "t")]
     kept = I.accessible_tables(make_catalog(tables=rows), CatalogFilter(per_connection=config))
