@@ -20,7 +20,7 @@ from lodestone.operators import inventory as I  # noqa: E402
 from lodestone.operators import quality as Q  # noqa: E402
 from lodestone.operators.constraints import constraint_roles  # noqa: E402
 from lodestone.operators.feed import lineage_parse_feed, lineage_parse_feed_from_json  # noqa: E402
-from lodestone.operators.filters import INCLUDE_ALL, CatalogFilter, filter_map_pattern  # noqa: E402
+from lodestone.operators.filters import INCLUDE_ALL, CatalogFilter, connection_rules, filter_map_pattern  # noqa: E402
 from lodestone.operators.settings import latest_settings  # noqa: E402
 from lodestone.plans.extraction import EntityStreams, extract  # noqa: E402
 from lodestone.plans.seed_views import SEED_VIEWS  # noqa: E402
@@ -96,12 +96,9 @@ def _kept_names(rules: CatalogFilter) -> Query:
 
 def _filter_per_connection(spark: SparkSession, sf_dir: str) -> DataFrame:
     tune(spark)
-    config = spark.createDataFrame(
-        [
-            ("default/mysql/1", r"^def\.NATION_1", None, None),
-            ("default/mysql/2", None, "nation_2", "_tmp$"),
-        ],
-        "connection_qn string, include_re string, exclude_re string, exclude_table_re string",
+    config = connection_rules(
+        spark,
+        {"default/mysql/1": (r"^def\.NATION_1", None, None), "default/mysql/2": (None, "nation_2", "_tmp$")},
     )
     rules = CatalogFilter(per_connection=config)
     return I.accessible_tables(_catalog(spark, sf_dir), rules).select(*TABLE_NAMES)

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.dialect import MYSQL, PICKER_HIDDEN_SCHEMAS, Dialect
@@ -14,6 +15,7 @@ from lodestone.dialect import MYSQL, PICKER_HIDDEN_SCHEMAS, Dialect
 # Patterns that include everything and exclude nothing.
 INCLUDE_ALL = ".*"
 EXCLUDE_NONE = "^$"
+RULE_COLUMNS = ["connection_qn", "include_re", "exclude_re", "exclude_table_re"]
 
 
 @dataclass(frozen=True)
@@ -47,6 +49,17 @@ class CatalogFilter:
 KEEP_ALL = CatalogFilter()
 
 
+def connection_rules(
+    spark: SparkSession, rules: Mapping[str, tuple[str | None, str | None, str | None]]
+) -> DataFrame:
+    """A `per_connection` DataFrame from {connection: (include, exclude, exclude_table)}.
+
+    Made from an Arrow table, so that Spark knows its size and can broadcast it; rows from a Python list have none.
+    """
+    columns = list(zip(*((c, *r) for c, r in rules.items()), strict=True)) or [()] * 4
+    return spark.createDataFrame(pa.table([pa.array(c, pa.string()) for c in columns], names=RULE_COLUMNS))
+
+
 def not_system(schema: Column, dialect: Dialect = MYSQL) -> Column:
     return ~schema.isin(*dialect.system_schemas)
 
@@ -86,7 +99,7 @@ def keep(
 
 
 def _keep_per_connection(df: DataFrame, key: Column, rules: CatalogFilter, table: str | None) -> DataFrame:
-    given = [F.nullif(F.col(c), F.lit("")).alias(c) for c in ("include_re", "exclude_re", "exclude_table_re")]
+    given = [F.nullif(F.col(c), F.lit("")).alias(c) for c in RULE_COLUMNS[1:]]
     joined = df.join(rules.per_connection.select("connection_qn", *given), "connection_qn", "left")
     include = F.coalesce("include_re", F.lit(rules.include or INCLUDE_ALL))
     exclude = F.coalesce("exclude_re", F.lit(rules.exclude or EXCLUDE_NONE))

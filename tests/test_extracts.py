@@ -5,7 +5,14 @@ from conftest import CONNECTION
 
 from lodestone.operators import inventory as I
 from lodestone.operators.constraints import constraint_roles
-from lodestone.operators.filters import EXCLUDE_NONE, INCLUDE_ALL, CatalogFilter, filter_map_pattern, hidden_in_picker
+from lodestone.operators.filters import (
+    EXCLUDE_NONE,
+    INCLUDE_ALL,
+    CatalogFilter,
+    connection_rules,
+    filter_map_pattern,
+    hidden_in_picker,
+)
 from lodestone.operators.quality import orphan_columns
 from pyspark.sql import functions as F
 
@@ -79,11 +86,10 @@ def test_picker_patterns(frame):
     assert names(df.where(~hidden_in_picker(F.col("s"))), "s") == ["app", "mysqlx"]
 
 
-def test_per_connection_rules(make_catalog, frame):
-    config = frame(
-        "connection_qn string, include_re string, exclude_re string, exclude_table_re string",
-        ("c1", r"^def\.a", None, None), ("c2", None, r"^def\.a", "^tmp"), ("c3", "", "", ""),
-    )
+def test_per_connection_rules(make_catalog, spark):
+    config = connection_rules(
+        spark, {"c1": (r"^def\.a", None, None), "c2": (None, r"^def\.a", "^tmp"), "c3": ("", "", "")}
+    )
     rows = [{"connection_qn": c, **table(t, schema=s)} for c in ("c1", "c2", "c3") for s in ("a", "b") for t in ("tmp1", "t")]
     kept = I.accessible_tables(make_catalog(tables=rows), CatalogFilter(per_connection=config))
     got = sorted((r.connection_qn, r.table_schema, r.table_name) for r in kept.collect())
@@ -93,6 +99,11 @@ def test_per_connection_rules(make_catalog, frame):
     ]
 
 
+def test_no_rules_at_all(make_catalog, spark):
+    c = make_catalog(tables=[table("t")])
+    assert I.accessible_tables(c, CatalogFilter(per_connection=connection_rules(spark, {}))).count() == 1
+
+
 @pytest.mark.parametrize(
     ("selection", "pattern"),
     [
