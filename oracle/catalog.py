@@ -471,9 +471,8 @@ SQL = {
         SELECT 'Column' AS "typeName", {_TABLE_QN} || '/' || column_name AS "qualifiedName",
           {_TABLE_QN} AS "parentQualifiedName", 'parent_missing' AS violation
         FROM columns WHERE regexp_matches(table_name, '_TMP', 'i')
-        UNION ALL SELECT "typeName", "qualifiedName", 'default/mysql/x/def/' || "schemaName", v
-        FROM e_table, (VALUES ('not_below_parent'), ('parent_missing')) t(v)
-        WHERE "schemaName" = 'NATION_7' AND NOT regexp_matches(name, '_TMP', 'i')""",
+        UNION ALL SELECT "typeName", "qualifiedName", 'default/mysql/x/def/' || "schemaName", 'not_below_parent'
+        FROM e_table WHERE "schemaName" = 'NATION_7' AND NOT regexp_matches(name, '_TMP', 'i')""",
     "duplicate_qn": _with(E_PROCEDURE) + """SELECT "typeName", "qualifiedName", count(*) AS n FROM e_procedure
         GROUP BY ALL HAVING count(*) > 1""",
     "required_attributes": _missing(),
