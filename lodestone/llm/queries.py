@@ -10,9 +10,11 @@ from lodestone.llm.exact_dedup import OP4_SQL, op4_exact_dedup
 from lodestone.llm.mixing import OP7_SQL, op7_mixing
 from lodestone.llm.packing import op10_packing
 from lodestone.llm.simhash import op1_simhash
+from lodestone.llm.toxicity import op3_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op3_toxicity": op3_toxicity,
     "op4_exact_dedup": op4_exact_dedup,
     "op7_mixing": op7_mixing,
     "op10_packing": op10_packing,
