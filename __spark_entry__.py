@@ -31,6 +31,14 @@ from lodestone.sources.derived import DerivedCatalog, table  # noqa: E402
 from oracle import catalog as catalog_oracle  # noqa: E402
 from oracle import seed_views as seed_view_oracle  # noqa: E402
 
+try:
+    import corpus_pipeline
+    from lodestone.llm import queries as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "lodestone.llm"):
+        raise
+    llm = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 CONNECTIONS = catalog_oracle.CONNECTIONS
 TEMP_TABLES = CatalogFilter(exclude_table="_TMP")
@@ -406,12 +414,13 @@ def queries() -> dict[str, Query]:
         "error_class": _error_class,
         "latest_settings": _latest_settings,
         **{name: (lambda spark, sf_dir, view=view: view(tune(spark), sf_dir)) for name, view in SEED_VIEWS.items()},
+        **(llm.QUERIES | {"pipeline": corpus_pipeline.run} if llm else {}),
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL per query over the same Parquet tables."""
-    return {**catalog_oracle.SQL, **seed_view_oracle.SQL}
+    return {**catalog_oracle.SQL, **seed_view_oracle.SQL, **(llm.ORACLE_SQL if llm else {})}
 
 
 def entry(spark: SparkSession) -> DataFrame:
