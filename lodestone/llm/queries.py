@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lodestone.llm.embedding_dedup import op8_embedding
 from lodestone.llm.exact_dedup import OP4_SQL, op4_exact_dedup
 from lodestone.llm.langid import op2_language
+from lodestone.llm.line_dedup import op5_line_dedup
 from lodestone.llm.mixing import OP7_SQL, op7_mixing
 from lodestone.llm.packing import op10_packing
 from lodestone.llm.simhash import op1_simhash
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language": op2_language,
     "op3_toxicity": op3_toxicity,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_line_dedup": op5_line_dedup,
     "op7_mixing": op7_mixing,
     "op8_embedding": op8_embedding,
     "op9_token_files": op9_token_files,
