@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lodestone.llm.chat import op6_chat
 from lodestone.llm.embedding_dedup import op8_embedding
 from lodestone.llm.exact_dedup import OP4_SQL, op4_exact_dedup
 from lodestone.llm.langid import op2_language
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_line_dedup": op5_line_dedup,
+    "op6_chat": op6_chat,
     "op7_mixing": op7_mixing,
     "op8_embedding": op8_embedding,
     "op9_token_files": op9_token_files,
