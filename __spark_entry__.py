@@ -360,8 +360,8 @@ def _latest_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
 _MAP = filter_map_pattern({"^def$": ["^NATION_4$", "^NATION_11$", "^NATION_2[0-9]$"]}, INCLUDE_ALL)
 
 
-def queries() -> dict[str, Query]:
-    """One entry per implemented query or operator; each takes (spark, sf_dir)."""
+def catalog_queries() -> dict[str, Query]:
+    """The queries over catalogs and example tables; each takes (spark, sf_dir)."""
     return {
         "database_inventory": _on_catalog(I.database_inventory),
         "schema_inventory": _on_catalog(I.schema_inventory),
@@ -414,13 +414,21 @@ def queries() -> dict[str, Query]:
         "error_class": _error_class,
         "latest_settings": _latest_settings,
         **{name: (lambda spark, sf_dir, view=view: view(tune(spark), sf_dir)) for name, view in SEED_VIEWS.items()},
-        **(llm.QUERIES | {"pipeline": corpus_pipeline.run} if llm else {}),
     }
 
 
+def catalog_sql() -> dict[str, str]:
+    return {**catalog_oracle.SQL, **seed_view_oracle.SQL}
+
+
+def queries() -> dict[str, Query]:
+    """One entry per implemented query or operator, with those on training data where they are installed."""
+    return {**catalog_queries(), **(llm.QUERIES | {"pipeline": corpus_pipeline.run} if llm else {})}
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL per query over the same Parquet tables."""
-    return {**catalog_oracle.SQL, **seed_view_oracle.SQL, **(llm.ORACLE_SQL if llm else {})}
+    return {**catalog_sql(), **(llm.ORACLE_SQL if llm else {})}
 
 
 def entry(spark: SparkSession) -> DataFrame:

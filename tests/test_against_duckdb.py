@@ -6,7 +6,7 @@ from conftest import SF_DIR
 import __spark_entry__ as entry
 from oracle.compare import connect, differences
 
-ORACLE = entry.oracle_sql()
+ORACLE = entry.catalog_sql()
 
 
 @pytest.fixture(scope="module")
@@ -15,12 +15,12 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(ORACLE)
+    assert set(entry.catalog_queries()) == set(ORACLE)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_same_rows(spark, con, name):
-    assert differences(entry.queries()[name](spark, SF_DIR), con, ORACLE[name]) == []
+    assert differences(entry.catalog_queries()[name](spark, SF_DIR), con, ORACLE[name]) == []
 
 
 def test_flagship_has_rows_and_distinct_columns(spark):
@@ -32,6 +32,6 @@ def test_flagship_has_rows_and_distinct_columns(spark):
 def test_every_json_line_is_valid(spark):
     from lodestone.operators.quality import invalid_json
 
-    lines = entry.queries()["entity_json"](spark, SF_DIR)
+    lines = entry.catalog_queries()["entity_json"](spark, SF_DIR)
     assert lines.count() > 4000
     assert invalid_json(lines).count() == 0

@@ -43,13 +43,13 @@ def shuffled(conf):
 
 
 def test_no_query_leaves_the_jvm_or_crosses_tables(spark):
-    for name, query in entry.queries().items():
+    for name, query in entry.catalog_queries().items():
         text = plan(query(spark, SF_DIR))
         assert not re.search("Python|Pandas|CartesianProduct|BroadcastNestedLoopJoin", text), name
 
 
 def test_no_hint_forces_a_broadcast(spark):
-    for name, query in entry.queries().items():
+    for name, query in entry.catalog_queries().items():
         text = query(spark, SF_DIR)._jdf.queryExecution().logical().toString()
         assert "ResolvedHint" not in text and "UnresolvedHint" not in text, name
 
