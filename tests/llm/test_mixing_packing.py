@@ -1,0 +1,226 @@
+"""Mixing and packing, and token files, against plain Python and whole-text encoding."""
+
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from llm_cases import no_docs, odd_docs, real_docs
+from tokenizers import Tokenizer
+
+from lodestone.llm.bpe import Encoder
+from lodestone.llm.mixing import apportion, keep_mix, mix, source_targets
+from lodestone.llm.packing import Packer, pack, word_bpe
+from lodestone.llm.scratch import Scratch
+from lodestone.llm.token_files import TokenFile, byte_bpe, encode, read_tokens, write_tokens
+
+FILES = {"byte": "byte_bpe_50k.json", "word": "word_bpe_49k.json"}
+
+
+@pytest.fixture
+def scratch(spark):
+    return Scratch(spark, "test")
+
+
+def targets(sizes):
+    """Shares by weight, targets stopped at twice the size and the excess shared again until nothing is above."""
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(names)}
+    target, stopped = {}, set()
+    while True:
+        left = 1.5 * sum(sizes.values()) - sum(2 * sizes[s] for s in stopped)
+        total = sum(weight[s] for s in names if s not in stopped)
+        target = {s: 2.0 * sizes[s] if s in stopped else weight[s] * left / total for s in names}
+        above = {s for s in names if target[s] > 2 * sizes[s] + 1e-9}
+        if not above:
+            return target
+        stopped |= above
+
+
+def test_targets_like_sharing_the_excess_again(spark):
+    random.seed(1)
+    for n in (1, 2, 3, 7, 30):
+        sizes = {f"s{i}": random.choice([0, 1, 10, 1000, 50_000]) for i in range(n)} | {None: 5}
+        found = source_targets(spark.createDataFrame(list(sizes.items()), "source string, size long")).collect()
+        expected = targets(sizes)
+        assert {r.source: pytest.approx(expected[r.source]) for r in found} == {r.source: r.target for r in found}
+
+
+def test_apportion_like_the_highest_quotients(spark):
+    random.seed(2)
+    rows, expected = [], {}
+    for g in range(12):
+        weights = [random.choice([0, 1, 5, 5, 997, 20_000]) for _ in range(random.randrange(1, 40))]
+        seats = random.randrange(0, 400)
+        most = [random.choice([3, 1000]) for _ in weights]
+        quotients = sorted(((-w / (2 * k + 1), p) for p, w in enumerate(weights) if w for k in range(most[p])))
+        for _, p in quotients[:seats]:
+            expected[g, p] = expected.get((g, p), 0) + 1
+        rows += [(g, p, w, seats, most[p]) for p, w in enumerate(weights)]
+        for p, w in enumerate(weights):
+            expected.setdefault((g, p), 0)
+    parties = spark.createDataFrame(rows, "g long, p long, weight long, seats long, most long")
+    found = apportion(parties, ["g"], ["p"], "weight", "seats", "most").collect()
+    wrong = {(r.g, r.p): (r.quota, expected[r.g, r.p]) for r in found if r.weight and r.quota != expected[r.g, r.p]}
+    assert not wrong
+
+
+def test_mix_comes_near_its_targets_and_reruns_agree(spark, scratch):
+    docs = real_docs(spark)
+    rows = mix(docs, scratch).collect()
+    again = mix(docs.repartition(5), Scratch(spark, "again")).collect()
+    key = lambda r: (r.doc_id, r.size, r.taken)
+    assert sorted(map(key, rows)) == sorted(map(key, again))
+    taken, want, size = defaultdict(int), {}, defaultdict(int)
+    for r in rows:
+        assert 0 <= r.taken <= 2 * r.size
+        taken[r.source] += r.taken
+        size[r.source] += r.size
+        want[r.source] = r.target
+    assert want == {s: pytest.approx(t) for s, t in targets(dict(size)).items()}
+    assert all(abs(taken[s] - want[s]) <= 130 for s in want)
+
+
+def test_mix_of_odd_rows(spark, scratch):
+    rows = mix(odd_docs(spark), scratch).collect()
+    assert len(rows) == 13 and all(r.taken <= 2 * r.size for r in rows)
+    assert {r.doc_id: r.size for r in rows if r.doc_id in (1, 2, 3, 7)} == {1: 0, 2: 0, 3: 0, 7: 30_000}
+    assert mix(no_docs(spark), Scratch(spark, "none")).count() == 0
+
+
+def test_keep_mix_repeats_leaves_out_and_cuts(spark, scratch):
+    docs = real_docs(spark)
+    decided = {r.doc_id: (r.size, r.taken) for r in mix(docs, scratch).collect()}
+    kept = keep_mix(docs, Scratch(spark, "kept"))
+    assert kept.schema == docs.schema
+    words, texts = defaultdict(int), {r.doc_id: r.text for r in docs.collect()}
+    for r in kept.collect():
+        words[r.doc_id] += len(r.text.encode().split())
+        assert texts[r.doc_id].strip().startswith(r.text.strip()) and r.n_chars == len(r.text)
+    assert {d: t for d, (_, t) in decided.items() if t} == dict(words)
+    odd = odd_docs(spark)
+    assert keep_mix(odd, Scratch(spark, "odd")).schema == odd.schema
+
+
+ODD_TEXTS = [
+    "", " ", "  ", "a  b", "a   b c", " a", "a ", "a \n b", "x\n\n y", "x\ny", "it's  \t tab", "don't we'll 'S", "a,b,", ",", "a..",
+    "é́ ́a", "ΑΣ ΣΑΣ", "<|endoftext|> hi", "a b c　d e", "123 45", "日本語 テキスト", "\x00 a \x1c b", "a\r\n b", "İstanbul I ı ẞ", "\x01 x",
+    "<|startoftext|>a</w>", "w" * 500 + " " + "v" * 65,
+]
+
+
+@pytest.mark.parametrize("kind", FILES)
+def test_encoder_like_whole_texts(spark, kind):
+    path = public_tokenizers.path(FILES[kind])
+    plain = Tokenizer.from_file(path)
+    plain.encode_special_tokens = True
+    own = Encoder(path)
+    texts = ODD_TEXTS + [r.text for r in real_docs(spark).collect()]
+    for _ in range(2):  # the second time from what is kept
+        found = own.batch(texts)
+        for text, ids in zip(texts, found, strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, text[:80]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet="ab, .\n\tÉ́'1\x1c ", max_size=30), max_size=4))
+@pytest.mark.parametrize("kind", FILES)
+def test_encoder_on_any_text(kind, texts):
+    path = public_tokenizers.path(FILES[kind])
+    plain = Tokenizer.from_file(path)
+    expected = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(i, "<u4").tolist() for i in Encoder(path).batch(texts)] == expected
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 200), max_size=80), st.integers(1, 20))
+def test_packer_places_every_id_once(lengths, open_windows):
+    packer = Packer(0, 64, open_windows)
+    docs = [np.arange(n, dtype="<u4").tobytes() for n in lengths]
+    rows = [row for i, ids in enumerate(docs) for row in packer.add(i, ids)] + list(packer.finish())
+    covered, sequences = defaultdict(list), defaultdict(list)
+    for doc_id, start, length, crc, total, sequence, offset, whole in rows:
+        assert zlib.crc32(docs[doc_id][4 * start : 4 * (start + length)]) == crc and total == lengths[doc_id] and length
+        covered[doc_id].append((start, length))
+        sequences[sequence].append((offset, length, whole))
+    for doc_id, pieces in covered.items():
+        at = 0
+        for start, length in sorted(pieces):
+            assert start == at
+            at += length
+        assert at == lengths[doc_id]
+    assert sorted(covered) == list(range(len(lengths)))
+    for pieces in sequences.values():
+        at = 0
+        for offset, length, whole in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at == whole and (whole == 64 or whole & (whole - 1) == 0)
+
+
+def test_a_piece_goes_where_the_sum_of_squares_is_least():
+    packer = Packer(0, 10)
+    for i, n in enumerate((6, 6, 3)):
+        list(packer.add(i, bytes(4 * n)))
+    # Levels 6: two windows. With 3 more: a new window gives 4 + 1, level 9 gives 1 + 1.
+    assert packer.counts[6] == 1 and packer.counts[9] == 1
+    assert len(list(packer.add(3, bytes(4 * 4)))) == 2 and packer.counts[6] == 0
+
+
+@pytest.mark.parametrize("make", [odd_docs, real_docs, no_docs])
+def test_pack_gives_each_documents_ids(spark, make):
+    docs = make(spark)
+    plain = Tokenizer.from_file(word_bpe())
+    plain.encode_special_tokens = True
+    ids = [(r.doc_id, np.array([*plain.encode(r.text or "", add_special_tokens=False).ids, 2], "<u4")) for r in docs.collect()]
+    rows = pack(docs.coalesce(2), word_bpe(), 256).collect()
+    assert sum(r.length for r in rows) == sum(len(i) for _, i in ids)
+    crcs = defaultdict(set)
+    for doc_id, own in ids:
+        crcs[doc_id].add((len(own), own.tobytes()))
+    for r in rows:
+        wanted = {zlib.crc32(own[4 * r.start : 4 * (r.start + r.length)]) for n, own in crcs[r.doc_id] if n == r.doc_tokens}
+        assert r.ids_crc32 in wanted
+    assert len({(r.sequence_id, r.offset) for r in rows}) == len(rows)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 2**32 - 1) | st.integers(0, 300), min_size=1, max_size=400), max_size=6))
+def test_token_file_round_trip_and_random_access(docs):
+    ids = np.array([i for d in docs for i in d], "<u4")
+    names = [None if k == 1 else k * 5 for k in range(len(docs))]
+    file = TokenFile(encode(ids, names, [len(d) for d in docs]))
+    assert (file.n_tokens, file.n_docs) == (len(ids), len(docs))
+    at = 0
+    for k, own in enumerate(docs):
+        name, start, found = file.document(k)
+        assert (name, start, found.tolist()) == (names[k], at, own)
+        at += len(own)
+    for position in range(0, len(ids), 7):
+        assert file.token(position) == ids[position]
+
+
+@pytest.mark.parametrize("make", [odd_docs, real_docs, no_docs])
+def test_token_files_in_order_of_ids(spark, scratch, make):
+    docs = make(spark)
+    plain = Tokenizer.from_file(byte_bpe())
+    plain.encode_special_tokens = True
+    expected = sorted(
+        (
+            (-1 if r.doc_id is None else r.doc_id, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+            for r in docs.collect()
+            for ids in [[*plain.encode(r.text or "", add_special_tokens=False).ids, 2]]
+        )
+    )
+    files = write_tokens(docs.repartition(3), scratch, byte_bpe(), file_tokens=5_000)
+    rows = sorted(read_tokens(files, scratch.folder).collect(), key=lambda r: r.start)
+    found = [(-1 if r.doc_id is None else r.doc_id, r.n_tokens, r.ids_crc32) for r in rows]
+    assert sorted(found) == expected and [f[0] for f in found] == sorted(f[0] for f in found)
+    at = 0
+    for r in rows:
+        assert r.start == at
+        at += r.n_tokens
