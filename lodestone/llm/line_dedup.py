@@ -15,6 +15,8 @@ DISTANCE, SIMILARITY = 3, 0.8
 # Blocks of the fingerprint; DISTANCE of them are left out of a join key. More blocks make longer keys and more rows.
 BLOCKS = 5
 BITS = 64
+# A table of at most so many short rows is sent to every task.
+BROADCAST_ROWS = 250_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 DIGITS = "123456789"
 SPACES, MARKS = "\t\r\x0b\x0c", ".,;:!?\"'()[]{}<>|*_#"
@@ -105,45 +107,82 @@ def line_rows(docs: DataFrame) -> DataFrame:
     return short.unionByName(long.select(*about[1:], array_simhash(F.col("hashes")).alias("print")))
 
 
-def _blocks(lines: DataFrame) -> DataFrame:
-    """A row for each choice of blocks to compare: two fingerprints within DISTANCE bits agree in all blocks of one choice."""
+def _small(df: DataFrame, rows: int) -> DataFrame:
+    """Sent to every task if it has at most BROADCAST_ROWS rows, of some 100 bytes; else joined by a shuffle."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
+def close_prints(prints: DataFrame) -> DataFrame:
+    """(a, b): all pairs a < b of the distinct `print`s that differ in at most DISTANCE bits, perhaps repeated. Such a pair
+    agrees in BLOCKS - DISTANCE blocks at least; it meets under the masks that keep only such blocks."""
     cuts = [round(i * BITS / BLOCKS) for i in range(BLOCKS + 1)]
     blocks = [(1 << b) - (1 << a) for a, b in zip(cuts, cuts[1:], strict=False)]
-    masks = [_signed(sum(kept)) for kept in combinations(blocks, BLOCKS - DISTANCE)]
-    tagged = [F.struct(F.lit(i).alias("mask"), F.col("print").bitwiseAND(F.lit(m)).alias("block")) for i, m in enumerate(masks)]
-    return lines.select("class_no", "print", "chars", F.explode(F.array(*tagged)).alias("at")).select(
-        "class_no", "print", "chars", "at.mask", "at.block"
-    )
+    masks = F.array(*[F.lit(_signed(sum(kept))) for kept in combinations(blocks, BLOCKS - DISTANCE)])
+    rows = prints.select("print", F.explode(F.sequence(F.lit(1), F.size(masks))).alias("mask"))
+    left = rows.select(F.col("print").alias("a"), F.col("mask").alias("a_mask"))
+    right = rows.select(F.col("print").alias("b"), F.col("mask").alias("b_mask"))
+    # The block is part of the join's keys only, so that it is not shuffled beside the fingerprint it comes from.
+    block = F.col("a").bitwiseAND(F.element_at(masks, F.col("a_mask"))) == F.col("b").bitwiseAND(F.element_at(masks, F.col("b_mask")))
+    near = (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= DISTANCE)
+    return left.join(right, (F.col("a_mask") == F.col("b_mask")) & block & near).select("a", "b")
+
+
+def candidate_pairs(classes: DataFrame, scratch: Scratch) -> DataFrame:
+    """(a, b): pairs of class_no, a < b, with fingerprints within DISTANCE bits and lengths that allow the similarity."""
+    prints = classes.select("print").distinct()
+    near = scratch.save(close_prints(prints).distinct(), "prints")
+    sides = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    # With itself as well: different lines can have one fingerprint.
+    alike = classes.groupBy("print").agg(F.count("*").alias("n")).where("n > 1").select(F.col("print").alias("a"), F.col("print").alias("b"))
+    left = classes.select(F.col("print").alias("a"), F.col("class_no").alias("a_no"), F.col("chars").alias("a_chars"))
+    right = classes.select(F.col("print").alias("b"), F.col("class_no").alias("b_no"), F.col("chars").alias("b_chars"))
+    pairs = sides.unionByName(alike).join(left, "a").join(right, "b")
+    fits = F.least("a_chars", "b_chars") >= F.floor(F.greatest("a_chars", "b_chars") * SIMILARITY)
+    return pairs.where((F.col("a_no") < F.col("b_no")) & fits).select(F.col("a_no").alias("a"), F.col("b_no").alias("b"))
+
+
+def similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs of class_no of which the texts have an edit similarity of SIMILARITY or more."""
+    for side in ("a", "b"):
+        pairs = pairs.join(texts.select(F.col("class_no").alias(side), F.col("line").alias(f"{side}_line")), side)
+    edits = F.floor(F.greatest(F.length("a_line"), F.length("b_line")) * (1 - SIMILARITY) + 1e-9).cast("int")
+    words = pairs.select("a", "b", "a_line", "b_line", edits.alias("edits"), F.split("a_line", " ").alias("x"), F.split("b_line", " ").alias("y"))
+    # Putting the other line's words in place of those that differ is a way to edit; often it is good enough.
+    differ = F.zip_with("x", "y", lambda p, q: F.when(p == q, 0).otherwise(F.greatest(F.length(p), F.length(q))))
+    by_words = F.when(F.size("x") == F.size("y"), F.aggregate(differ, F.lit(0), lambda total, n: total + n))
+    measured = words.select("a", "b", "a_line", "b_line", "edits", by_words.alias("by_words"))
+    near = F.coalesce(F.col("by_words") <= F.col("edits"), F.lit(False)) | F.expr("levenshtein(a_line, b_line, edits) >= 0")
+    return measured.where(near).select("a", "b")
 
 
-def close_lines(docs: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
-    """(a, b): pairs of class_no, a < b, within DISTANCE bits and with an edit similarity of SIMILARITY or more."""
-    names = ("class_no", "print", "chars")
-    left = _blocks(classes).select("mask", "block", *[F.col(c).alias(f"a_{c}") for c in names])
-    right = _blocks(classes).select(F.col("mask").alias("to_mask"), F.col("block").alias("to_block"), *[F.col(c).alias(f"b_{c}") for c in names])
-    most = F.greatest("a_chars", "b_chars")
-    meet = (
-        (F.col("mask") == F.col("to_mask"))
-        & (F.col("block") == F.col("to_block"))
-        & (F.col("a_class_no") < F.col("b_class_no"))
-        & (F.bit_count(F.col("a_print").bitwiseXOR(F.col("b_print"))) <= DISTANCE)
-        & (F.least("a_chars", "b_chars") >= F.floor(most * SIMILARITY))
-    )
-    pairs = left.join(right, meet).select(F.col("a_class_no").alias("a"), F.col("b_class_no").alias("b")).distinct()
-    pairs = scratch.save(pairs, "pairs")
-    # Only lines in some pair are read again, each from its first document.
+def line_groups(docs: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
+    """(node, root): connected groups of class_no by links between candidate pairs.
+
+    First each class is compared with its first candidate only. Pairs that are in one group by then can't change the groups,
+    so of a group of many much alike lines most pairs are never compared; all others are.
+    """
+    pairs = scratch.save(candidate_pairs(classes, scratch), "pairs")
+    # Lines of some pair are read again, each from its first document.
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("class_no")).distinct().join(classes, "class_no")
-    wanted = wanted.select("class_no", "first.*")
-    found = wanted.select("class_no", F.col("doc_id").alias("at_id"), F.col("text_hash").alias("at_hash"), F.col("line_no").alias("at_line"))
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).dropDuplicates(["doc_id", "text_hash"])
-    texts = found.join(rows, F.col("doc_id").eqNullSafe(F.col("at_id")) & (F.col("text_hash") == F.col("at_hash")))
+    wanted = wanted.select("class_no", F.col("first.doc_id").alias("at_id"), F.col("first.text_hash").alias("at_hash"), F.col("first.line_no").alias("at_line"))
+    wanted = scratch.save(wanted, "wanted")
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("at_id")) & (F.col("text_hash") == F.col("at_hash"))
     line = F.element_at(F.split("text", "\n"), F.col("at_line") + 1)
-    texts = scratch.save(texts.select("class_no", normal(line).alias("line")), "texts")
+    found = rows.join(_small(wanted, wanted.count()), same).select("class_no", normal(line).alias("line"))
+    # Repeated rows of a document give the same line again.
+    texts = scratch.save(found.dropDuplicates(["class_no"]), "texts")
+    first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    links = scratch.save(similar(first, texts), "first_links")
+    groups = connected_components(links, Scratch(docs.sparkSession, "line-groups"))
+    rest = pairs
     for side in ("a", "b"):
-        pairs = pairs.join(texts.select(F.col("class_no").alias(side), F.col("line").alias(f"{side}_line")), side)
-    edits = F.floor(F.greatest(F.length("a_line"), F.length("b_line")) * (1 - SIMILARITY) + 1e-9).cast("int")
-    pairs = pairs.withColumn("edits", edits)
-    return pairs.where(F.expr("levenshtein(a_line, b_line, edits) >= 0")).select("a", "b")
+        of = groups.select(F.col("node").alias(side), F.col("root").alias(f"{side}_root"))
+        rest = rest.join(of, side, "left").withColumn(f"{side}_root", F.coalesce(f"{side}_root", side))
+    more = scratch.save(similar(rest.where("a_root <> b_root").select("a", "b"), texts), "more_links")
+    if more.isEmpty():
+        return groups
+    return connected_components(links.unionByName(more), scratch)
 
 
 def dropped_lines(docs: DataFrame, scratch: Scratch) -> DataFrame:
@@ -157,18 +196,17 @@ def dropped_lines(docs: DataFrame, scratch: Scratch) -> DataFrame:
     lines = scratch.save(line_rows(docs), "lines")
     at = F.struct("doc_id", "text_hash", "line_no")
     classes = lines.groupBy("key", "key2").agg(
-        F.min(at).alias("first"), F.max(at).alias("last"), F.min("print").alias("print"), F.min("chars").alias("chars")
+        F.min(at).alias("first"), F.count("*").alias("n"), F.min("print").alias("print"), F.min("chars").alias("chars")
     )
     classes = scratch.save(classes.withColumn("class_no", F.monotonically_increasing_id()), "classes")
-    links = scratch.save(close_lines(docs, classes, scratch), "close")
-    parts = connected_components(links, scratch)
+    parts = line_groups(docs, classes, scratch)
     members = classes.join(parts, classes["class_no"] == parts["node"]).select("class_no", "first", "root")
     firsts = members.groupBy("root").agg(F.min("first").alias("stays"))
     members = members.join(firsts, "root").select(F.col("class_no").alias("member"), "stays")
     kept = classes.join(members, classes["class_no"] == members["member"], "left")
-    kept = kept.select("key", "key2", "last", F.coalesce("stays", "first").alias("stays"))
-    # Classes of which nothing goes are left out before their lines are looked up.
-    losing = kept.where(F.col("last") != F.col("stays")).select(F.col("key").alias("of"), F.col("key2").alias("of2"), "stays")
+    kept = kept.select(F.col("key").alias("of"), F.col("key2").alias("of2"), "n", "first", F.coalesce("stays", "first").alias("stays"))
+    # Lines that stand once and stay are left out before the others are looked up.
+    losing = kept.where((F.col("n") > 1) | (F.col("first") != F.col("stays"))).select("of", "of2", "stays")
     gone = lines.join(losing, (F.col("key") == F.col("of")) & (F.col("key2") == F.col("of2"))).where(at != F.col("stays"))
     return scratch.save(gone.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set("line_no")).alias("dropped")), "dropped")
 
@@ -176,7 +214,10 @@ def dropped_lines(docs: DataFrame, scratch: Scratch) -> DataFrame:
 def without_repeated_lines(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """All rows and columns of `docs`, with the dropped lines taken out of text, and dropped: their numbers in it before.
     Null texts stay null; a text of which all lines go is empty. A column named dropped is replaced. No rows give none."""
-    gone = dropped_lines(docs, scratch).select(F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_hash"), F.col("dropped").alias("gone"))
+    dropped = dropped_lines(docs, scratch)
+    rows, numbers = dropped.agg(F.count("*"), F.coalesce(F.sum(F.size("dropped")), F.lit(0))).first()
+    gone = dropped.select(F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_hash"), F.col("dropped").alias("gone"))
+    gone = _small(gone, rows + numbers // 16)
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64("text").alias("own_hash"))
     same = F.col("row.doc_id").eqNullSafe(F.col("of_id")) & (F.col("own_hash") == F.col("of_hash"))
     rows = rows.join(gone, same, "left")
