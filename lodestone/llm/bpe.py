@@ -17,6 +17,7 @@ KEPT_PIECES, LONGEST_KEPT = 500_000, 64
 # Between pieces that are encoded in one call; each kind of tokenizer makes one id of it that nothing else gives.
 LED_BREAK, WORD_BREAK = "\n", " \x01 "
 MARKS = (",", ".")
+FIRST = "\n\n"
 END_ID = 2
 
 
@@ -43,6 +44,7 @@ class Encoder:
         self._break = LED_BREAK if byte_level else WORD_BREAK
         found = self._tokenizer.encode(self._break, add_special_tokens=False).ids
         self._break_id = found[0] if len(found) == 1 else None
+        self._marks = dict(zip(MARKS, self._encode(list(MARKS)), strict=True))
         self._ids: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
 
@@ -71,18 +73,44 @@ class Encoder:
         return out
 
     def _pieces(self, text: str) -> list[str]:
+        """The text's pieces, by the names under which their ids are kept."""
         if not self._led:
             # White space only ever separates. Python's split() knows four characters more than the tokenizer.
             return SAFE_CUT.split(text) if ODD_SPACE.search(text) else text.split()
-        # With byte-level BPE, a space belongs to the word after it and a lone line end stands for itself.
+        # With byte-level BPE a space belongs to the word after it, so a name stands for a space and a word; a lone line end
+        # stands for itself, and a name that begins with one for it and a word. The first word has nothing before it.
         if RUN_OF_SPACE.search(text) or text[:1].isspace() or text[-1:].isspace():
-            parts = SAFE_CUT.split(text)
-            return [parts[0], *[" " + p for p in parts[1:]]]
+            first, *rest = SAFE_CUT.split(text)
+            return [FIRST + first, *rest]
         pieces: list[str] = []
         for line in text.split("\n"):
-            first, *rest = line.split(" ")
-            pieces += ["\n", first, *[" " + p for p in rest]]
-        return pieces[1:]
+            words = line.split(" ")
+            words[0] = ("\n" if pieces else FIRST) + words[0]
+            pieces += words
+        return pieces
+
+    def _new_ids(self, names: list[str]) -> dict[str, bytes]:
+        """The ids of pieces that are not kept."""
+        texts, after_line = {n: n for n in names}, set()
+        if self._led:
+            for n in names:
+                if n.startswith(FIRST):
+                    texts[n] = n[len(FIRST) :]
+                elif n.startswith("\n"):
+                    texts[n] = n[1:]
+                    after_line.add(n)
+                else:
+                    texts[n] = " " + n
+        words, others = [], []
+        for n, text in texts.items():
+            plain = self._break_id is not None and len(text) > 1 and text[1:].isprintable()
+            (words if plain and " " not in text[1:] else others).append(n)
+        found = dict(zip(words, self._encode_words([texts[n] for n in words]), strict=True))
+        found.update(zip(others, self._encode([texts[n] for n in others]), strict=True))
+        if after_line:
+            line_end = self._encode(["\n"])[0]
+            found.update((n, line_end + found[n]) for n in after_line)
+        return found
 
     def batch(self, texts: list[str]) -> list[bytes]:
         if not self._cuts:
@@ -93,27 +121,20 @@ class Encoder:
         known, older = self._ids, self._older
         new = set().union(*split) - known.keys()
         # A word with a mark after it has the ids of the word and of the mark.
-        marked = [p for p in new if p[-1:] in MARKS and p[1:-1].isalpha() and (p[0] == " " or p[0].isalpha())]
+        marked = [n for n in new if n[-1:] in MARKS and n[:-1].lstrip("\n").isalpha()]
         new.difference_update(marked)
-        new.update(stem for p in marked if (stem := p[:-1]) not in known)
-        new.update(mark for mark in MARKS if mark not in known)
+        new.update(stem for n in marked if (stem := n[:-1]) not in known)
         seen = new & older.keys()
-        known.update((p, older[p]) for p in seen)
-        words, others, long = [], [], []
-        for p in new - seen:
-            if len(p) > LONGEST_KEPT:
-                long.append(p)
-            elif self._break_id is not None and len(p) > 1 and p[1:].isprintable():
-                words.append(p)
-            else:
-                others.append(p)
-        known.update(zip(words, self._encode_words(words), strict=True))
-        known.update(zip(others, self._encode(others), strict=True))
+        known.update((n, older[n]) for n in seen)
+        new -= seen
+        long = [n for n in new if len(n) > LONGEST_KEPT]
+        new.difference_update(long)
+        known.update(self._new_ids(list(new)))
         if long:
-            known = {**known, **dict(zip(long, self._encode(long), strict=True))}
-        known.update((p, known[p[:-1]] + known[p[-1]]) for p in marked)
+            known = {**known, **self._new_ids(long)}
+        known.update((n, known[n[:-1]] + self._marks[n[-1]]) for n in marked)
         ids_of = known.__getitem__
-        return [b"".join(map(ids_of, pieces)) for pieces in split]
+        return [b"".join(map(ids_of, names)) for names in split]
 
 
 @cache

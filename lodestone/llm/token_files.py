@@ -106,10 +106,15 @@ class TokenFile:
             end = start + len(at)
         return out
 
+    def span(self, index: int) -> tuple[int | None, int, int]:
+        """The document's id, and where its tokens begin and end."""
+        start, end = int(self._ends[index - 1]) if index else 0, int(self._ends[index])
+        return None if self._null[index] else int(self._doc_ids[index]), start, end
+
     def document(self, index: int) -> tuple[int | None, int, np.ndarray]:
         """The document's id, its first token's position, and its ids."""
-        start, end = int(self._ends[index - 1]) if index else 0, int(self._ends[index])
-        return None if self._null[index] else int(self._doc_ids[index]), start, self.tokens(start, end)
+        doc_id, start, end = self.span(index)
+        return doc_id, start, self.tokens(start, end)
 
 
 def write_tokens(docs: DataFrame, scratch: Scratch, tokenizer: str, file_tokens: int = FILE_TOKENS) -> DataFrame:
@@ -170,10 +175,11 @@ def read_tokens(files: DataFrame, folder: str) -> DataFrame:
             for row in part.to_pylist():
                 with store.open_input_file(row["path"]) as source:
                     file = TokenFile(source.read())
-                rows = []
+                # All documents are wanted here, so the levels are put together once for the whole file.
+                ids, rows = file.tokens(0, file.n_tokens), []
                 for index in range(file.n_docs):
-                    doc_id, start, ids = file.document(index)
-                    rows.append((doc_id, row["start"] + start, len(ids), zlib.crc32(ids.tobytes())))
+                    doc_id, start, end = file.span(index)
+                    rows.append((doc_id, row["start"] + start, end - start, zlib.crc32(ids[start:end].tobytes())))
                 columns = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)]
                 yield pa.record_batch(columns, ["doc_id", "start", "n_tokens", "ids_crc32"])
 
