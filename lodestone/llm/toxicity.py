@@ -208,7 +208,7 @@ def learn_model(docs: DataFrame, labels: DataFrame, scratch: Scratch, learn: Col
     """Terms, their weights, ordinary words that resemble them, and the calibration, from a bounded sample of labels.
 
     A word is a term if it stands in toxic rows more often than chance allows among all words tested. Toxic rows count by
-    the different neighbours a word has in them, so that copied passages make no terms. Ordinary words, those
+    the different words before or after a word in them, whichever are fewer, so that copied passages make no terms. Ordinary words, those
     of clean rows, misspell nothing. The calibration uses rows that terms and ordinary words were not learned from.
     Without toxic or without clean rows there are no terms.
     """
@@ -244,15 +244,16 @@ def _terms(learned: DataFrame, best: DataFrame, least: float, toxic: int, clean:
             for text in part.column(0).to_pylist():
                 words = WORD.findall((text or "").lower())
                 first = {w: i for i, w in reversed(list(enumerate(words))) if w in found}
-                pairs += [(w, f"{words[i - 1] if i else ''} {words[i + 1] if i + 1 < len(words) else ''}") for w, i in first.items()]
-            columns = list(zip(*pairs, strict=True)) or [(), ()]
-            yield pa.record_batch([pa.array(c, pa.string()) for c in columns], ["word", "around"])
+                pairs += [(w, words[i - 1] if i else "", words[i + 1] if i + 1 < len(words) else "") for w, i in first.items()]
+            columns = list(zip(*pairs, strict=True)) or [(), (), ()]
+            yield pa.record_batch([pa.array(c, pa.string()) for c in columns], ["word", "before", "after"])
 
-    around = learned.where("toxic = 1").select("text").mapInArrow(neighbours, "word string, around string").distinct()
+    around = learned.where("toxic = 1").select("text").mapInArrow(neighbours, "word string, before string, after string")
+    contexts = around.groupBy("word").agg(F.least(F.count_distinct("before"), F.count_distinct("after")).alias("n"))
     weights = {}
     most = math.log((toxic + 0.5) / (toxic + 1) / (0.5 / (clean + 1)))
-    for word, contexts in around.groupBy("word").agg(F.count("*").alias("n")).collect():
-        hits, misses = min(contexts, found[word][0]), found[word][1]
+    for word, different in contexts.collect():
+        hits, misses = min(different, found[word][0]), found[word][1]
         n, share = hits + misses, hits / (hits + misses)
         rest = (1 - share) * math.log((1 - share) / (1 - base)) if misses else 0.0
         if share > base and n * (share * math.log(share / base) + rest) > least:

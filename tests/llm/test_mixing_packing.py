@@ -3,6 +3,7 @@
 import random
 import zlib
 from collections import defaultdict
+from functools import cache
 
 import numpy as np
 import public_tokenizers
@@ -106,6 +107,14 @@ def test_keep_mix_repeats_leaves_out_and_cuts(spark, scratch):
     assert keep_mix(odd, Scratch(spark, "odd")).schema == odd.schema
 
 
+@cache
+def both(kind):
+    path = public_tokenizers.path(FILES[kind])
+    plain = Tokenizer.from_file(path)
+    plain.encode_special_tokens = True
+    return plain, Encoder(path)
+
+
 ODD_TEXTS = [
     "", " ", "  ", "a  b", "a   b c", " a", "a ", "a \n b", "x\n\n y", "x\ny", "it's  \t tab", "don't we'll 'S", "a,b,", ",", "a..",
     "é́ ́a", "ΑΣ ΣΑΣ", "<|endoftext|> hi", "a b c　d e", "123 45", "日本語 テキスト", "\x00 a \x1c b", "a\r\n b", "İstanbul I ı ẞ", "\x01 x",
@@ -115,10 +124,7 @@ ODD_TEXTS = [
 
 @pytest.mark.parametrize("kind", FILES)
 def test_encoder_like_whole_texts(spark, kind):
-    path = public_tokenizers.path(FILES[kind])
-    plain = Tokenizer.from_file(path)
-    plain.encode_special_tokens = True
-    own = Encoder(path)
+    plain, own = both(kind)
     texts = ODD_TEXTS + [r.text for r in real_docs(spark).collect()]
     for _ in range(2):  # the second time from what is kept
         found = own.batch(texts)
@@ -130,10 +136,9 @@ def test_encoder_like_whole_texts(spark, kind):
 @given(st.lists(st.text(alphabet="ab, .\n\tÉ́'1\x1c ", max_size=30), max_size=4))
 @pytest.mark.parametrize("kind", FILES)
 def test_encoder_on_any_text(kind, texts):
-    path = public_tokenizers.path(FILES[kind])
-    plain = Tokenizer.from_file(path)
+    plain, own = both(kind)
     expected = [plain.encode(t, add_special_tokens=False).ids for t in texts]
-    assert [np.frombuffer(i, "<u4").tolist() for i in Encoder(path).batch(texts)] == expected
+    assert [np.frombuffer(i, "<u4").tolist() for i in own.batch(texts)] == expected
 
 
 @settings(max_examples=60, deadline=None)
