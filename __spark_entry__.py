@@ -26,7 +26,7 @@ from lodestone.plans.extraction import EntityStreams, extract  # noqa: E402
 from lodestone.plans.seed_views import SEED_VIEWS  # noqa: E402
 from lodestone.session import shared_folder, tune  # noqa: E402
 from lodestone.sinks.jsonl import read_stream  # noqa: E402
-from lodestone.sources.catalog import Catalog  # noqa: E402
+from lodestone.sources.catalog import RELATION_SCHEMAS, Catalog, catalog_from  # noqa: E402
 from lodestone.sources.derived import DerivedCatalog, table  # noqa: E402
 from oracle import catalog as catalog_oracle  # noqa: E402
 from oracle import seed_views as seed_view_oracle  # noqa: E402
@@ -41,7 +41,7 @@ except ModuleNotFoundError as missing:
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 CONNECTIONS = catalog_oracle.CONNECTIONS
-TEMP_TABLES = CatalogFilter(exclude_table="_TMP")
+TEMP_TABLES = CatalogFilter(exclude_table="_TMP$")
 TABLE_NAMES = ("connection_qn", "table_schema", "table_name", "table_type")
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -162,6 +162,15 @@ def _feed_from_json(streams: EntityStreams) -> DataFrame:
     return lineage_parse_feed_from_json(_lines(streams["table"]).unionByName(_lines(streams["procedure"])))
 
 
+def _orphans(catalog: Catalog) -> DataFrame:
+    """Columns of a catalog that lost one schema's tables and has another's base tables as sequences."""
+    relations = {name: getattr(catalog, name) for name in RELATION_SCHEMAS}
+    schema, kind = F.col("table_schema"), F.col("table_type")
+    sequence = F.when((schema == "NATION_8") & (kind == "BASE TABLE"), "SEQUENCE").otherwise(kind)
+    tables = catalog.tables.where(schema != "NATION_7").withColumn("table_type", sequence)
+    return Q.orphan_columns(catalog_from({**relations, "tables": tables}), TEMP_TABLES)
+
+
 # ---- checks, over entities with defects put in --------------------------------------------------------------
 
 
@@ -253,7 +262,7 @@ def _stream_types(streams: EntityStreams) -> DataFrame:
 
 def _count_floors(spark: SparkSession, sf_dir: str) -> DataFrame:
     streams = EntityStreams(_catalog(tune(spark), sf_dir))
-    floors = {"Database": 1, "Schema": 1, "Table": 2, "View": 1, "Column": 10, "Procedure": 1_000_000_000, "Index": 1}
+    floors = {"Database": 3, "Schema": 25, "Table": 40, "View": 7, "Column": 500, "Procedure": 1_000_000_000, "Index": 1}
     return Q.count_floors(spark, list(streams.values()), floors)
 
 
@@ -264,7 +273,7 @@ def _table_snapshots(streams: EntityStreams) -> tuple[DataFrame, DataFrame]:
     """Old: tables made before 1998. New: without urgent ones and without one connection; high ones have grown."""
     tables = streams["table"]
     description, rows = F.col("attributes.description"), F.col("attributes.rowCount")
-    old = tables.where(F.timestamp_millis("attributes.sourceCreatedAt") < F.lit("1998-01-01").cast("timestamp"))
+    old = tables.where(F.col("attributes.sourceCreatedAt") < 883_612_800_000)  # 1998-01-01 UTC
     new = tables.where((description != "1-URGENT") & (F.col("connection_qn") != "default/mysql/3"))
     return old, _with_attribute(new, "rowCount", F.when(description == "2-HIGH", rows + 1).otherwise(rows))
 
@@ -282,11 +291,13 @@ def _procedure_diff(streams: EntityStreams) -> DataFrame:
 def _epoch_ms(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(tune(spark), sf_dir, "orders")
     readable = F.col("o_orderpriority") != "5-LOW"
+    forms = ["yyyy-MM-dd HH:mm:ss", "yyyyMMdd", "d MMM yyyy", "MM/dd/yyyy", "MMMM d, yyyy HH:mm", "yyyy/MM/dd HH:mm:ss", "yyyy-MM-dd"]
+    form = [F.when(F.col("o_orderkey") % len(forms) == i, F.date_format("o_orderdate", f)) for i, f in enumerate(forms)]
     rows = orders.select(
         "o_orderkey",
         "o_custkey",
         "o_orderdate",
-        F.when(readable, F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")).otherwise("not-a-date").alias("text"),
+        F.when(readable, F.coalesce(*form)).otherwise("not-a-date").alias("text"),
         F.when(readable, F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")).alias("zoned"),
         F.when(F.col("o_orderstatus") == "P", float("nan")).otherwise(F.col("o_totalprice")).alias("price"),
     )
@@ -372,9 +383,14 @@ def catalog_queries() -> dict[str, Query]:
         "partition_summary": _on_catalog(I.partition_summary),
         "constraint_roles": _on_catalog(constraint_roles),
         "column_inventory": _on_catalog(I.column_inventory),
+        "column_inventory_without_temp": _on_catalog(
+            lambda c: I.column_inventory(c, TEMP_TABLES).select(
+                "connection_qn", "table_schema", "table_name", "column_name", "table_type", "constraint_type"
+            )
+        ),
         "routine_inventory": _on_catalog(I.routine_inventory),
         "filter_include_exclude": _kept_names(CatalogFilter(include=r"^def\.nation_1", exclude=r"^def\.NATION_12$")),
-        "filter_temp_tables": _kept_names(CatalogFilter(exclude_table=".*_TMP|.*_TEMP|TMP:*|TEMP:*")),
+        "filter_temp_tables": _kept_names(CatalogFilter(exclude_table="_(tmp|scratch)$")),
         "filter_per_connection": _filter_per_connection,
         "filter_map": _kept_names(CatalogFilter(include=_MAP)),
         "entity_database": _on_streams(lambda s: flatten(s["database"])),
@@ -388,7 +404,7 @@ def catalog_queries() -> dict[str, Query]:
         "entity_json_fields": _on_streams(_entity_json_fields),
         "lineage_parse_feed": _on_streams(lambda s: lineage_parse_feed(s["table"], s["procedure"])),
         "lineage_parse_feed_json": _on_streams(_feed_from_json),
-        "orphan_columns": _on_catalog(lambda c: Q.orphan_columns(c, TEMP_TABLES)),
+        "orphan_columns": _on_catalog(_orphans),
         "qn_hierarchy_violations": _on_catalog(_hierarchy),
         "duplicate_qn": _on_streams(lambda s: Q.duplicate_qualified_names(s["procedure"])),
         "required_attributes": _on_streams(_required_attributes),

@@ -64,11 +64,44 @@ def safe_str(df: DataFrame, name: str) -> Column:
     c = F.col(name)
     if not isinstance(data_type(df, name), _FRACTIONAL):
         return F.coalesce(c.cast("string"), F.lit(""))
-    whole = c.try_cast("bigint")
-    text = F.when(whole.cast("double") == c.cast("double"), whole.cast("string")).otherwise(c.cast("string"))
+    whole, number = c.try_cast("bigint"), c.cast("double")
+    # Doubles beyond 64 bits are whole. In two exact parts, of 2 ** 53 each, they fit a decimal, which prints all digits.
+    high = F.when(F.abs(number) < 2.0**115, F.floor(number / 2.0**53))
+    low = (number - high * 2.0**53).cast("bigint").cast("decimal(17,0)")
+    large = high.cast("decimal(20,0)") * F.lit(1 << 53).cast("decimal(16,0)") + low
+    text = (
+        F.when(F.abs(number) < 2.0**62, F.when(whole.cast("double") == number, whole.cast("string")))
+        .when(F.abs(number) < 2.0**115, large.cast("string"))
+    )
+    text = F.coalesce(text, c.cast("string"))
     return F.when(is_not_finite(c), F.lit("")).otherwise(F.coalesce(text, F.lit("")))
 
 
+# A zone at the end of a text with a time: Z, an offset, or a zone's name.
+ZONED = r":\d{2}(?:\.\d+)?\s*(?:[Zz]|[+-]\d{1,2}(?::?\d{2}){0,2}|(?:UTC|GMT)\S*|[A-Za-z]+/\S+)\s*$"
+# Forms of date texts beside the standard one, tried in this order; each also with a time.
+DATE_FORMS = ("yyyyMMdd", "d MMM yyyy", "d MMMM yyyy", "MMM d, yyyy", "MMMM d, yyyy", "M/d/yyyy", "yyyy/M/d")
+TIME_FORMS = ("", " HH:mm", " HH:mm:ss")
+
+
+def _naive_micros(c: Column) -> Column:
+    """Microseconds since 1970 of a time without zone, read as UTC whatever the session's zone."""
+    hours = F.unix_date(c.cast("date")).cast("bigint") * 24 + F.hour(c)
+    seconds = (hours * 60 + F.minute(c)) * 60
+    return seconds * 1_000_000 + (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("bigint")
+
+
+def _text_micros(c: Column) -> Column:
+    """Microseconds since 1970 of a text; one without zone is read as UTC. NULL if no form fits."""
+    zoned = F.when(F.rlike(c, F.lit(ZONED)), F.unix_micros(c.try_cast("timestamp")))
+    # A zone is added to the text and the form, so that the session's never counts.
+    in_utc = F.concat(F.trim(c), F.lit(" +00:00"))
+    forms = [F.unix_micros(F.try_to_timestamp(in_utc, F.lit(f"{d}{t} XXX"))) for d in DATE_FORMS for t in TIME_FORMS]
+    # Digits alone could be a year to the standard form.
+    standard = F.when(~F.rlike(c, F.lit(r"^\s*\d{5,}\s*$")), _naive_micros(c.try_cast("timestamp_ntz")))
+    return F.coalesce(zoned, standard, *forms)
+
+
 def epoch_ms(df: DataFrame, name: str) -> Column:
     """Epoch milliseconds: numbers pass (truncated), text is parsed, naive times are UTC, anything else is NULL."""
     if first_present(df, name) is None:
@@ -77,12 +110,14 @@ def epoch_ms(df: DataFrame, name: str) -> Column:
     if isinstance(dtype, T.NumericType):
         return finite_or_null(df, name).try_cast("bigint")
     if isinstance(dtype, T.StringType):
-        moment = F.try_to_timestamp(c)
-    elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        moment = c.cast("timestamp")
+        micros = _text_micros(c)
+    elif isinstance(dtype, T.TimestampType):
+        micros = F.unix_micros(c)
+    elif isinstance(dtype, (T.TimestampNTZType, T.DateType)):
+        micros = _naive_micros(c.cast("timestamp_ntz"))
     else:
         return F.lit(None).cast("bigint")
-    return F.call_function("div", F.unix_micros(moment), F.lit(1000))
+    return F.call_function("div", micros, F.lit(1000))
 
 
 def when_set(ms: Column) -> Column:

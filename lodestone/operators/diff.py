@@ -57,9 +57,10 @@ def snapshot_diff(old: DataFrame, new: DataFrame) -> DataFrame:
         F.bool_or("in_new").alias("has_new"),
         F.bool_and(F.col("in_old") & F.col("in_new")).alias("same"),
     )
-    # Connection and type, not connection alone: a semi join does not mind the repeats, and this side is then
-    # shuffled for the join itself, which lets Spark split a hot connection.
-    delivered = new.select("connection_qn", "typeName").distinct().select("connection_qn")
+    # From the keys, which are there already: the new snapshot is planned and read once. Connection and type, not connection
+    # alone: a semi join does not mind the repeats, and this side is then shuffled for the join itself, which lets Spark
+    # split a hot connection.
+    delivered = keys.where("has_new").select("connection_qn", "typeName").distinct().select("connection_qn")
     return keys.join(delivered, "connection_qn", "left_semi").select(
         *ENTITY_KEY, _change(F.col("has_old"), F.col("has_new"), F.col("same")).alias("change")
     )
@@ -67,7 +68,9 @@ def snapshot_diff(old: DataFrame, new: DataFrame) -> DataFrame:
 
 def undelivered_connections(old: DataFrame, new: DataFrame) -> DataFrame:
     """Connections the old snapshot has and the new one has nothing of."""
-    return old.select("connection_qn").distinct().join(new.select("connection_qn"), "connection_qn", "left_anti")
+    return old.select("connection_qn").distinct().join(
+        new.select("connection_qn").distinct(), "connection_qn", "left_anti"
+    )
 
 
 def incremental_changes(last: DataFrame, new: DataFrame) -> DataFrame:

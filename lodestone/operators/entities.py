@@ -279,6 +279,5 @@ def entity_json(df: DataFrame) -> Column:
     head = F.to_json(F.struct(*envelope))
     if "customAttributes" not in df.columns:
         return head
-    return F.concat(
-        F.substring(head, F.lit(1), F.length(head) - 1), F.lit(',"customAttributes":'), _custom_json(df), F.lit("}")
-    )
+    # The head is named once, so it is serialised once; its closing brace makes room for the custom attributes.
+    return F.concat(F.regexp_replace(head, r"\}\z", ',"customAttributes":'), _custom_json(df), F.lit("}"))

@@ -22,7 +22,8 @@ RULE_COLUMNS = ["connection_qn", "include_re", "exclude_re", "exclude_table_re"]
 class CatalogFilter:
     """Include and exclude patterns on `<catalog>.<schema>`, and an exclude pattern on table names.
 
-    Patterns are searched, not anchored, and ignore case unless `case_sensitive` is set. Exclude wins over include.
+    Patterns are searched, not anchored, and ignore case unless `case_sensitive` is set, which also governs how the server's
+    own schemas are told. Exclude wins over include.
     An empty pattern counts as not given.
     `per_connection` is an optional DataFrame (connection_qn, include_re, exclude_re, exclude_table_re) whose
     non-NULL values replace the patterns given here for that connection. It is joined without a hint: Spark
@@ -40,10 +41,10 @@ class CatalogFilter:
         return c.rlike(self._cased(pattern))
 
     def _cased(self, pattern: str) -> str:
-        return pattern if self.case_sensitive else f"(?i){pattern}"
+        return pattern if self.case_sensitive else f"(?iu){pattern}"
 
     def _cased_column(self, pattern: Column) -> Column:
-        return pattern if self.case_sensitive else F.concat(F.lit("(?i)"), pattern)
+        return pattern if self.case_sensitive else F.concat(F.lit("(?iu)"), pattern)
 
 
 KEEP_ALL = CatalogFilter()
@@ -60,8 +61,12 @@ def connection_rules(
     return spark.createDataFrame(pa.table([pa.array(c, pa.string()) for c in columns], names=RULE_COLUMNS))
 
 
-def not_system(schema: Column, dialect: Dialect = MYSQL) -> Column:
-    return ~schema.isin(*dialect.system_schemas)
+def not_system(schema: Column, dialect: Dialect = MYSQL, case_sensitive: bool = False) -> Column:
+    """Schemas that are not the server's own. The plain comparison reaches the scan; the other ignores case, as patterns do."""
+    named = ~schema.isin(*dialect.system_schemas)
+    if case_sensitive:
+        return named
+    return named & ~F.lower(schema).isin(*(s.lower() for s in dialect.system_schemas))
 
 
 def kept_type(table_type: Column, dialect: Dialect = MYSQL) -> Column:
@@ -82,7 +87,7 @@ def keep(
     table: str | None = None,
 ) -> DataFrame:
     """Rows whose schema is admitted; with `table`, also drops rows whose table name is excluded."""
-    df = df.where(not_system(F.col(schema), dialect))
+    df = df.where(not_system(F.col(schema), dialect, rules.case_sensitive))
     key = schema_key(F.col(schema), rules, dialect)
     if rules.per_connection is not None:
         return _keep_per_connection(df, key, rules, table)
@@ -99,8 +104,13 @@ def keep(
 
 
 def _keep_per_connection(df: DataFrame, key: Column, rules: CatalogFilter, table: str | None) -> DataFrame:
-    given = [F.nullif(F.col(c), F.lit("")).alias(c) for c in RULE_COLUMNS[1:]]
-    joined = df.join(rules.per_connection.select("connection_qn", *given), "connection_qn", "left")
+    # A connection's rules are one row. A second one would double the source's rows, so it fails the run instead.
+    repeated = F.raise_error(F.concat(F.lit("several rules for connection "), F.col("connection_qn")))
+    given = rules.per_connection.groupBy("connection_qn").agg(
+        F.count("*").alias("n"), *[F.max(F.nullif(F.col(c), F.lit(""))).alias(c) for c in RULE_COLUMNS[1:]]
+    )
+    given = given.withColumn("include_re", F.when(F.col("n") > 1, repeated).otherwise(F.col("include_re"))).drop("n")
+    joined = df.join(given, "connection_qn", "left")
     include = F.coalesce("include_re", F.lit(rules.include or INCLUDE_ALL))
     exclude = F.coalesce("exclude_re", F.lit(rules.exclude or EXCLUDE_NONE))
     admitted = F.rlike(key, rules._cased_column(include)) & ~F.rlike(key, rules._cased_column(exclude))

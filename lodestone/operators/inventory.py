@@ -9,7 +9,7 @@ from lodestone.dialect import MYSQL, Dialect
 from lodestone.operators.constraints import COLUMN_KEY, constraint_roles
 from lodestone.operators.filters import KEEP_ALL, CatalogFilter, hidden_in_picker, keep, kept_type, not_system
 from lodestone.operators.projection import project
-from lodestone.sources.catalog import Catalog
+from lodestone.sources.catalog import RELATION_SCHEMAS, Catalog
 
 TABLE_KEY = ("connection_qn", "table_schema", "table_name")
 
@@ -168,7 +168,9 @@ def table_inventory(catalog: Catalog, rules: CatalogFilter = KEEP_ALL, dialect:
     Every right side is reduced to at most one row per table (and partition method) before its join, and all joins
     use the same key.
     """
-    views = keep(catalog.views, "table_schema", rules, dialect, table="table_name").distinct()
+    # The longest texts here, so they are shuffled once: reduced by the key of the join that follows.
+    views = keep(catalog.views, "table_schema", rules, dialect, table="table_name")
+    views = views.groupBy(*TABLE_KEY).agg(F.max("view_definition").alias("view_definition"))
     joined = (
         accessible_tables(catalog, rules, dialect)
         .join(column_counts(catalog, dialect), list(TABLE_KEY), "left")
@@ -230,11 +232,17 @@ def column_inventory(
     The large side is shuffled twice: by table, for the join to the table kinds and the removal of repeated rows,
     and by column, for the join to the key roles. Where one table (or one much repeated row) is so hot that its
     partition is split at run time, Spark shuffles once more to remove repeats, combining them before that shuffle.
-    Repeats are removed on the source row, of which every output is a function together with the table kind and the
-    key role; both joined sides have at most one row per key and kind, so the joins never multiply rows.
+    Repeats are removed on what the outputs show of the source row (of the length, only the two outputs made from it),
+    with the table kind; the key role is a function of these. Both joined sides have at most one row per key and kind, so
+    the joins never multiply rows.
     `ordered` asks for a global order by schema, table and position.
     """
     columns = keep(catalog.columns, "table_schema", rules, dialect, table="table_name")
+    columns = columns.select(
+        *(c for c in RELATION_SCHEMAS["columns"].fieldNames() if c != "character_maximum_length"),
+        F.coalesce("character_maximum_length", "numeric_precision").alias("column_size"),
+        F.coalesce("character_maximum_length", F.lit(0)).alias("max_length"),
+    )
     joined = (
         columns.join(table_kinds(catalog, rules, dialect), list(TABLE_KEY))
         .distinct()
@@ -262,7 +270,7 @@ def column_inventory(
             "is_generated": _yes_no(expression.isNotNull()),
             "is_generatedcolumn": _yes_no(expression.isNotNull() & (expression != "")),
             "is_identity": F.lit("NO"),
-            "column_size": F.coalesce("character_maximum_length", "numeric_precision"),
+            "column_size": F.col("column_size"),
             # The source reports the scale under this name; kept as it is.
             "num_prec_radix": F.col("numeric_scale"),
             "decimal_digits": F.col("numeric_scale"),
@@ -273,7 +281,7 @@ def column_inventory(
             "constraint_name": F.col("constraint_name"),
             "remarks": F.col("column_comment"),
             "numeric_scale": F.col("numeric_scale"),
-            "max_length": F.coalesce("character_maximum_length", F.lit(0)),
+            "max_length": F.col("max_length"),
             "extra_info": F.col("extra"),
             "character_set_name": F.col("character_set_name"),
             "collation_name": F.col("collation_name"),

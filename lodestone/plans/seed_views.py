@@ -241,7 +241,7 @@ def active_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .where("o_orderstatus = 'O'")
         .join(customers, F.col("o_custkey") == F.col("c_custkey"))
         .select("o_orderkey", "c_name", "o_orderpriority", rank.cast("int").alias("priority_rank"), "o_orderdate")
-        .orderBy("priority_rank")
+        .orderBy("priority_rank", "o_orderkey")
     )
 
 

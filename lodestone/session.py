@@ -13,8 +13,6 @@ PARTITIONS_PER_CORE = 4
 
 # Every setting here can be changed on a live session, so `tune` works on a session somebody else built.
 RUNTIME_CONF = {
-    # Naive source timestamps are read as UTC.
-    "spark.sql.session.timeZone": "UTC",
     # Join sides are broadcast only when their measured size allows it; a hot key is split at run time, also
     # where the split costs one more shuffle further up a chain of joins on the same key.
     "spark.sql.adaptive.enabled": "true",

@@ -6,6 +6,9 @@ set operations instead of two-level aggregates for partitions and snapshots.
 
 from __future__ import annotations
 
+# Fixed value: the key consumers read.
+SCHEMA_REF = "atlanSchema"
+
 CONNECTIONS = 3
 
 
@@ -193,7 +196,7 @@ def _place(schema: str) -> str:
 
 
 def _schema_ref(schema: str) -> str:
-    return f"""'Schema' AS "atlanSchemaTypeName", connection_qn || '/def/' || {schema} AS "atlanSchemaQualifiedName" """
+    return f"""'Schema' AS "{SCHEMA_REF}TypeName", connection_qn || '/def/' || {schema} AS "{SCHEMA_REF}QualifiedName" """
 
 
 _TABLE_QN = "connection_qn || '/def/' || table_schema || '/' || table_name"
@@ -314,7 +317,7 @@ JSON_LINES = "\nUNION ALL ".join(
             "table",
             f"{_PLACE_NAMES} description columnCount sizeBytes rowCount subType isPartitioned partitionCount "
             "definition sourceCreatedAt",
-            {"atlanSchema": "atlanSchemaQualifiedName"},
+            {SCHEMA_REF: f"{SCHEMA_REF}QualifiedName"},
             defaults=True,
             custom=_json_members(*map(_custom_member, _TABLE_CUSTOM.split())),
         ),
@@ -328,7 +331,7 @@ JSON_LINES = "\nUNION ALL ".join(
         _json_line(
             "procedure",
             f"{_PLACE_NAMES} definition subType description sourceCreatedBy sourceCreatedAt sourceUpdatedAt",
-            {"atlanSchema": "atlanSchemaQualifiedName"},
+            {SCHEMA_REF: f"{SCHEMA_REF}QualifiedName"},
         ),
     )
 )
@@ -431,10 +434,12 @@ SQL = {
         min(name) FILTER (kind = 'PRIMARY KEY') AS constraint_name
         FROM key_usage WHERE kind <> 'UNIQUE' GROUP BY ALL""",
     "column_inventory": _with(KEPT, COLUMNS) + "SELECT * FROM columns",
+    "column_inventory_without_temp": _with(kept_tables(temp="_TMP$"), COLUMNS)
+    + "SELECT connection_qn, table_schema, table_name, column_name, table_type, constraint_type FROM columns",
     "routine_inventory": _with(ROUTINES) + "SELECT * FROM routines",
     "filter_include_exclude": _with(kept_tables(r"^def\.nation_1", r"^def\.NATION_12$"))
     + "SELECT connection_qn, table_schema, table_name, table_type FROM kept",
-    "filter_temp_tables": _with(kept_tables(temp=".*_TMP|.*_TEMP|TMP:*|TEMP:*"))
+    "filter_temp_tables": _with(kept_tables(temp="_(tmp|scratch)$"))
     + "SELECT connection_qn, table_schema, table_name, table_type FROM kept",
     "filter_per_connection": _with(KEPT) + r"""SELECT connection_qn, table_schema, table_name, table_type FROM kept
         WHERE CASE connection_qn WHEN 'default/mysql/1' THEN regexp_matches('def.' || table_schema, '^def\.NATION_1', 'i')
@@ -452,7 +457,7 @@ SQL = {
     "entity_procedure": _with(E_PROCEDURE) + "SELECT * FROM e_procedure",
     "entity_json": _with(_ALL_ENTITIES) + JSON_LINES,
     "jsonl_delivery": _with(_ALL_ENTITIES) + "\nUNION ALL ".join(
-        f"SELECT '{stream}' AS stream, replace(connection_qn, '/', '_') AS connection_id, count(*) AS lines "
+        f"SELECT '{stream}' AS stream, connection_qn AS connection_id, count(*) AS lines "
         f"FROM e_{stream} GROUP BY ALL" for stream in ("database", "schema", "table", "column", "procedure")
     ),
     "entity_json_fields": _with(_ALL_ENTITIES) + """
@@ -463,10 +468,12 @@ SQL = {
         UNION ALL SELECT 'procedure', "typeName", "qualifiedName", definition FROM e_procedure""",
     "lineage_parse_feed": _FEED,
     "lineage_parse_feed_json": _FEED,
-    "orphan_columns": _with(kept_tables(temp="_TMP")) + f"""
-        SELECT DISTINCT connection_qn, table_schema, table_name, column_name FROM src_columns c
-        WHERE {_rules('table_schema')} AND NOT EXISTS (SELECT 1 FROM kept t WHERE t.connection_qn = c.connection_qn
-          AND t.table_schema = c.table_schema AND t.table_name = c.table_name)""",
+    "orphan_columns": _with(KEPT) + f"""
+        SELECT DISTINCT c.connection_qn, c.table_schema, c.table_name, c.column_name,
+          CASE WHEN c.table_schema = 'NATION_7' THEN 'no_table' ELSE 'other_kind' END AS reason
+        FROM src_columns c LEFT JOIN kept t USING (connection_qn, table_schema, table_name)
+        WHERE {_rules('c.table_schema')} AND NOT regexp_matches(c.table_name, '_TMP$', 'i')
+          AND (t.table_type IS NULL OR c.table_schema = 'NATION_7' OR c.table_schema = 'NATION_8' AND t.table_type = 'BASE TABLE')""",
     "qn_hierarchy_violations": _with(E_TABLE, COLUMNS) + f"""
         SELECT 'Column' AS "typeName", {_TABLE_QN} || '/' || column_name AS "qualifiedName",
           {_TABLE_QN} AS "parentQualifiedName", 'parent_missing' AS violation
@@ -491,7 +498,7 @@ SQL = {
         UNION ALL SELECT 'table', 'Procedure', count(*) FROM e_procedure""",
     "entity_count_floors": _with(_ALL_ENTITIES) + """
         SELECT f."typeName", COALESCE(n, 0) AS n, CAST(floor AS BIGINT) AS floor, COALESCE(n, 0) >= floor AS ok
-        FROM (VALUES ('Database', 1), ('Schema', 1), ('Table', 2), ('View', 1), ('Column', 10), ('Procedure', 1000000000),
+        FROM (VALUES ('Database', 3), ('Schema', 25), ('Table', 40), ('View', 7), ('Column', 500), ('Procedure', 1000000000),
           ('Index', 1)) f("typeName", floor)
         LEFT JOIN (SELECT "typeName", count(*) AS n FROM (
           SELECT "typeName" FROM e_database UNION ALL SELECT "typeName" FROM e_schema

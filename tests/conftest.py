@@ -10,7 +10,7 @@ from lodestone.session import local_session  # noqa: E402
 from lodestone.sources.catalog import RELATION_SCHEMAS, catalog_from  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
-CONNECTION = "default/mysql/1234567890"
+CONNECTION = "default/mysql/harbour-7"
 
 
 @pytest.fixture(scope="session")

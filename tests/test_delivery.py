@@ -36,7 +36,7 @@ def test_lines_are_entities_in_their_connection(spark, delivered):
     for row in rows:
         entity = json.loads(row.value)
         assert entity["typeName"] in ("Table", "View")
-        assert entity["attributes"]["connectionQualifiedName"].replace("/", "_") == row.connection_id
+        assert entity["attributes"]["connectionQualifiedName"] == row.connection_id
     assert len({r.connection_id for r in rows}) == 3
 
 
@@ -66,6 +66,32 @@ def test_lost_lines_are_noticed(spark, delivered, tmp_path, monkeypatch):
         J.deliver(spark, EntityStreams(catalog), str(tmp_path))
 
 
+def test_connections_that_differ_in_a_mark_stay_apart(spark, make_catalog, tmp_path):
+    names = ["default/mysql/1", "default/mysql_1", "default_mysql/1", "default mysql=1%2F"]
+    for n, name in enumerate(names):
+        rows = make_catalog(name, connections=[{}], schemata=[{"schema_name": "s"}] * (n + 1))
+        entities = EntityStreams(rows)["schema"]
+        both = entities if n == 0 else both.unionByName(entities)
+    J.write_stream(both, str(tmp_path))
+    assert J.landed_lines(spark, str(tmp_path))[0] == {name: n + 1 for n, name in enumerate(names)}
+
+
+def test_an_emptied_stream_is_noticed(spark, delivered, tmp_path):
+    catalog, _ = delivered
+    streams = dict(EntityStreams(catalog))
+    for name in ("column", "table", "schema", "database"):
+        emptied = {**streams, name: streams[name].limit(0)}
+        with pytest.raises(J.IncompleteDeliveryError, match=f"{name} of default/mysql/1"):
+            J.deliver(spark, emptied, str(tmp_path / name))
+    one_lost = {**streams, "column": streams["column"].where("connection_qn <> 'default/mysql/2'")}
+    with pytest.raises(J.IncompleteDeliveryError, match="column of default/mysql/2$"):
+        J.deliver(spark, one_lost, str(tmp_path / "one"))
+    no_procedures = {**streams, "procedure": streams["procedure"].limit(0)}
+    delivery = J.deliver(spark, no_procedures, str(tmp_path / "some"))
+    assert delivery.prefix and delivery.stream_prefix("procedure") == "" and delivery.stream_prefix("table")
+    assert set(delivery.by_connection["table"]) == {"default/mysql/1", "default/mysql/2", "default/mysql/3"}
+
+
 def test_nothing_delivered_gives_an_empty_prefix(spark, make_catalog, tmp_path):
     delivery = extract(spark, make_catalog(connections=[]), str(tmp_path))
     assert delivery.prefix == "" and set(delivery.lines.values()) == {0}
@@ -90,7 +116,7 @@ def test_large_connections_are_split_small_ones_are_not_and_rows_are_in_order(sp
     column = EntityStreams(DerivedCatalog(spark, SF_DIR, 3), stamp=stamp, for_writing=True)["column"]
     assert J.write_stream(column, str(tmp_path)) == 3301
     for n in (1, 2, 3):
-        parts = list(tmp_path.glob(f"connection_id=default_mysql_{n}/*.txt"))
+        parts = list(tmp_path.glob(f"connection_id=default%2Fmysql%2F{n}/*.txt"))
         assert (len(parts) > 1) is split
         for part in parts:
             attributes = [json.loads(line)["attributes"] for line in part.read_text().splitlines()]

@@ -172,6 +172,29 @@ def test_key_roles(make_catalog):
     assert got == {"id": ("PRIMARY KEY", "PRIMARY"), "ref": ("FOREIGN KEY", None)}
 
 
+def test_two_rules_for_a_connection_fail_instead_of_doubling_rows(make_catalog, spark):
+    c = make_catalog("c1", tables=[table("a")])
+    rules = connection_rules(spark, {"c1": ("def", None, None)})
+    assert I.accessible_tables(c, CatalogFilter(per_connection=rules)).count() == 1
+    with pytest.raises(Exception, match="several rules for connection c1"):
+        I.accessible_tables(c, CatalogFilter(per_connection=rules.unionByName(rules))).collect()
+
+
+def test_case_is_ignored_beyond_ascii_and_for_system_schemas(make_catalog):
+    c = make_catalog(schemata=[{"schema_name": n} for n in ("ÉCOLE", "Mysql", "PERFORMANCE_schema", "other")])
+    shown = lambda rules: sorted(r.schema_name for r in I.schema_inventory(c, rules).collect())
+    assert shown(CatalogFilter()) == ["other", "ÉCOLE"]
+    assert shown(CatalogFilter(include="école")) == ["ÉCOLE"]
+    assert shown(CatalogFilter(include="école|MYSQL|other", case_sensitive=True)) == ["other"]
+    assert "Mysql" in shown(CatalogFilter(case_sensitive=True))
+
+
+def test_lengths_that_print_alike_are_one_row(make_catalog):
+    same = {"numeric_precision": 0, "ordinal_position": 1}
+    c = make_catalog(tables=[table("t")], columns=[column("a", "t", **same), column("a", "t", character_maximum_length=0, **same)])
+    assert I.column_inventory(c).count() == 1
+
+
 def test_columns_without_a_kept_table(make_catalog):
     c = make_catalog(
         tables=[table("t"), table("sv", kind="SYSTEM VIEW"), table("x_tmp")],
@@ -179,7 +202,7 @@ def test_columns_without_a_kept_table(make_catalog):
     )
     rules = CatalogFilter(exclude_table="_TMP$")
     assert [(r.table_name, r.column_name) for r in I.column_inventory(c, rules).collect()] == [("t", "a")]
-    assert names(orphan_columns(c, rules), "table_name") == ["gone", "sv", "x_tmp"]
+    assert {(r.table_name, r.reason) for r in orphan_columns(c, rules).collect()} == {("gone", "no_table"), ("sv", "other_kind")}
 
 
 def test_column_rules(make_catalog):
