@@ -21,7 +21,7 @@ from lodestone.operators import quality as Q  # noqa: E402
 from lodestone.operators.constraints import constraint_roles  # noqa: E402
 from lodestone.operators.feed import lineage_parse_feed, lineage_parse_feed_from_json  # noqa: E402
 from lodestone.operators.filters import INCLUDE_ALL, CatalogFilter, connection_rules, filter_map_pattern  # noqa: E402
-from lodestone.operators.settings import latest_settings  # noqa: E402
+from lodestone.operators.settings import latest_settings, settings_map  # noqa: E402
 from lodestone.plans.extraction import EntityStreams, extract  # noqa: E402
 from lodestone.plans.seed_views import SEED_VIEWS  # noqa: E402
 from lodestone.session import shared_folder, tune  # noqa: E402
@@ -112,6 +112,14 @@ def _filter_per_connection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return I.accessible_tables(_catalog(spark, sf_dir), rules).select(*TABLE_NAMES)
 
 
+def _hidden_schemas(catalog: Catalog) -> DataFrame:
+    """The picker over schemas of which some match a hidden pattern without being the server's own."""
+    name = F.col("schema_name")
+    renamed = F.when(name == "NATION_3", "information_schema_old").when(name == "NATION_4", "Metrics_Schema_2").otherwise(name)
+    relations = {relation: getattr(catalog, relation) for relation in RELATION_SCHEMAS}
+    return I.schema_picker(catalog_from({**relations, "schemata": catalog.schemata.withColumn("schema_name", renamed)}))
+
+
 # ---- JSON ---------------------------------------------------------------------------------------------------
 
 
@@ -182,7 +190,11 @@ def _hierarchy(catalog: Catalog) -> DataFrame:
         F.col("attributes.schemaQualifiedName")
     )
     tables = _with_attribute(kept["table"], "schemaQualifiedName", wrong)
-    return Q.hierarchy_violations([streams["column"], tables, streams["schema"]], [streams["database"], streams["schema"], tables])
+    connections = catalog.connections.select(
+        F.lit("Connection").alias("typeName"), F.struct(F.col("connection_qn").alias("qualifiedName")).alias("attributes")
+    )
+    children = [streams["column"], tables, streams["schema"], streams["database"], streams["procedure"]]
+    return Q.hierarchy_violations(children, [connections, streams["database"], streams["schema"], tables])
 
 
 def _required_attributes(streams: EntityStreams) -> DataFrame:
@@ -217,7 +229,8 @@ def _parent_conflicts(streams: EntityStreams) -> DataFrame:
 
 
 def _bad_references(streams: EntityStreams) -> DataFrame:
-    """Three schemas' tables point to a wrong type, to an empty name, and to nothing; so do their columns' parents."""
+    """Three schemas' tables and procedures point to a wrong type, to an empty name, and to nothing; so do their columns'
+    parents."""
     ref = F.col(f"attributes.{E.SCHEMA_REF}")
     schema = F.col("attributes.schemaName")
     wrong = (
@@ -225,7 +238,7 @@ def _bad_references(streams: EntityStreams) -> DataFrame:
         .when(schema == "NATION_6", ref.withField("uniqueAttributes.qualifiedName", F.lit("")))
         .when(schema != "NATION_7", ref)
     )
-    tables = _with_attribute(streams["table"], E.SCHEMA_REF, wrong)
+    tables, procedures = (_with_attribute(streams[name], E.SCHEMA_REF, wrong) for name in ("table", "procedure"))
     parent = F.col(f"attributes.{E.TABLE_REF}")
     column = F.col("attributes.schemaName")
     wrong_parent = (
@@ -234,30 +247,33 @@ def _bad_references(streams: EntityStreams) -> DataFrame:
         .when(column != "NATION_7", parent)
     )
     columns = _with_attribute(streams["column"], E.TABLE_REF, wrong_parent)
-    return Q.union_all([Q.bad_references(df) for df in (tables, columns, streams["schema"])])
+    checked = (tables, procedures, columns, streams["schema"], streams["database"])
+    return Q.union_all([Q.bad_references(df) for df in checked])
 
 
 def _wrong_constants(streams: EntityStreams) -> DataFrame:
     other = F.when(F.col("connection_qn") == "default/mysql/2", F.lit("other")).otherwise(F.col("attributes.tenantId"))
-    return Q.wrong_constants(_with_attribute(streams["table"], "tenantId", other), "mysql", E.DEFAULT_TENANT)
+    wrong = {name: _with_attribute(streams[name], "tenantId", other) for name in ("table", "procedure")}
+    return Q.union_all([Q.wrong_constants(wrong.get(name, df), "mysql", E.DEFAULT_TENANT) for name, df in streams.items()])
 
 
 def _invalid_json(streams: EntityStreams) -> DataFrame:
-    """Schemas with more tables than views get NaN, which JSON does not know."""
-    df = streams["schema"]
-    line = E.entity_json(df)
-    broken = F.regexp_replace(line, '"viewsCount":[0-9]+', '"viewsCount":NaN')
-    lines = df.select(
-        F.col("attributes.qualifiedName").alias("qualified_name"),
-        F.when(F.col("attributes.tableCount") > F.col("attributes.viewsCount"), broken).otherwise(line).alias("value"),
-    )
-    return Q.invalid_json(lines).select("qualified_name")
+    """Lines of all streams. Schemas with more tables than views get NaN, which JSON does not know."""
+    lines = []
+    for name, df in streams.items():
+        line = E.entity_json(df)
+        if name == "schema":
+            broken = F.regexp_replace(line, '"viewsCount":[0-9]+', '"viewsCount":NaN')
+            line = F.when(F.col("attributes.tableCount") > F.col("attributes.viewsCount"), broken).otherwise(line)
+        lines.append(df.select(F.col("attributes.qualifiedName").alias("qualified_name"), line.alias("value")))
+    return Q.invalid_json(Q.union_all(lines)).select("qualified_name")
 
 
 def _stream_types(streams: EntityStreams) -> DataFrame:
     """Tables delivered as columns and procedures delivered among the tables."""
     mixed = streams["table"].select("typeName").unionByName(streams["procedure"].select("typeName"))
-    return Q.unexpected_stream_types({"column": streams["table"], "table": mixed, "schema": streams["schema"]})
+    sound = {name: streams[name] for name in ("database", "schema", "procedure")}
+    return Q.unexpected_stream_types({"column": streams["table"], "table": mixed, **sound})
 
 
 def _count_floors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -358,12 +374,26 @@ def _error_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(tune(spark), sf_dir, "events").select("event_id", error_class(errno).alias("error_class"))
 
 
-def _latest_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _setting_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     prefix = F.when(F.col("value") >= 20, "extra.").otherwise("")
-    rows = table(tune(spark), sf_dir, "events").select(
+    return table(tune(spark), sf_dir, "events").select(
         "user_id", F.concat(prefix, "event_type").alias("key"), F.col("props").alias("value"), "event_id"
     )
-    return latest_settings(rows, "user_id", "event_id")
+
+
+def _latest_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latest_settings(_setting_rows(spark, sf_dir), "user_id", "event_id")
+
+
+def _settings_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The maps as text, a line per key."""
+    maps = settings_map(_setting_rows(spark, sf_dir), "user_id", "event_id")
+
+    def text(c: str) -> Column:
+        entries = F.array_sort(F.map_entries(c))
+        return F.array_join(F.transform(entries, lambda e: F.concat(e["key"], F.lit("="), F.coalesce(e["value"], F.lit("")))), "\n")
+
+    return maps.select("user_id", text("settings").alias("settings"), text("extra").alias("extra"))
 
 
 # ---- registry -----------------------------------------------------------------------------------------------
@@ -377,6 +407,7 @@ def catalog_queries() -> dict[str, Query]:
         "database_inventory": _on_catalog(I.database_inventory),
         "schema_inventory": _on_catalog(I.schema_inventory),
         "schema_picker": _on_catalog(I.schema_picker),
+        "schema_picker_hidden": _on_catalog(_hidden_schemas),
         "accessible_table_count": _on_catalog(lambda c: I.accessible_table_count(c, TEMP_TABLES)),
         "tables_per_schema": _on_catalog(I.tables_per_schema),
         "table_inventory": _on_catalog(I.table_inventory),
@@ -392,6 +423,7 @@ def catalog_queries() -> dict[str, Query]:
         "filter_include_exclude": _kept_names(CatalogFilter(include=r"^def\.nation_1", exclude=r"^def\.NATION_12$")),
         "filter_temp_tables": _kept_names(CatalogFilter(exclude_table="_(tmp|scratch)$")),
         "filter_per_connection": _filter_per_connection,
+        "filter_current_database": _kept_names(CatalogFilter(include=r"^shop\.nation_1", exclude=r"^def\.", current_database="shop")),
         "filter_map": _kept_names(CatalogFilter(include=_MAP)),
         "entity_database": _on_streams(lambda s: flatten(s["database"])),
         "entity_schema": _on_streams(lambda s: flatten(s["schema"])),
@@ -429,6 +461,7 @@ def catalog_queries() -> dict[str, Query]:
         "region_from_host": _region,
         "error_class": _error_class,
         "latest_settings": _latest_settings,
+        "settings_map": _settings_map,
         **{name: (lambda spark, sf_dir, view=view: view(tune(spark), sf_dir)) for name, view in SEED_VIEWS.items()},
     }
 

@@ -26,3 +26,15 @@ def latest_settings(rows: DataFrame, owner: str = "connection_qn", order: str =
             "value",
         )
     )
+
+
+def settings_map(rows: DataFrame, owner: str = "connection_qn", order: str = "seq") -> DataFrame:
+    """One row per owner: the map `settings` of its plain keys and the map `extra` of its nested ones, last values only.
+
+    Gathered after the reduction, so an owner's maps hold each key once, however often it was set.
+    """
+    entry, nested = F.struct("key", "value"), F.col("section") == "extra"
+    return latest_settings(rows, owner, order).groupBy(owner).agg(
+        F.map_from_entries(F.collect_list(F.when(~nested, entry))).alias("settings"),
+        F.map_from_entries(F.collect_list(F.when(nested, entry))).alias("extra"),
+    )

@@ -423,6 +423,8 @@ SQL = {
     "schema_picker": _with() + f"""SELECT connection_qn, 'def' AS catalog_name, schema_name FROM schemata
         WHERE {_rules('schema_name')} AND NOT regexp_matches(schema_name,
           '^performance_schema$|^information_schema.*|^mysql$|^sys$|^METRICS_SCHEMA.*', 'i')""",
+    "schema_picker_hidden": _with() + f"""SELECT connection_qn, 'def' AS catalog_name, schema_name FROM schemata
+        WHERE {_rules('schema_name')} AND schema_name NOT IN ('NATION_3', 'NATION_4')""",
     "accessible_table_count": _with(kept_tables(temp="_TMP")) + """SELECT connection_qn, count(table_name) AS count
         FROM conns LEFT JOIN kept USING (connection_qn) GROUP BY 1""",
     "tables_per_schema": _with() + f"""SELECT connection_qn, table_schema, count(*) AS table_count FROM src_tables
@@ -439,6 +441,8 @@ SQL = {
     "routine_inventory": _with(ROUTINES) + "SELECT * FROM routines",
     "filter_include_exclude": _with(kept_tables(r"^def\.nation_1", r"^def\.NATION_12$"))
     + "SELECT connection_qn, table_schema, table_name, table_type FROM kept",
+    "filter_current_database": _with(KEPT) + r"""SELECT connection_qn, table_schema, table_name, table_type FROM kept
+        WHERE regexp_matches('shop.' || table_schema, '^shop\.NATION_1', 'i')""",
     "filter_temp_tables": _with(kept_tables(temp="_(tmp|scratch)$"))
     + "SELECT connection_qn, table_schema, table_name, table_type FROM kept",
     "filter_per_connection": _with(KEPT) + r"""SELECT connection_qn, table_schema, table_name, table_type FROM kept
@@ -488,9 +492,12 @@ SQL = {
     "bad_references": _with(_ALL_ENTITIES) + """SELECT "typeName", "qualifiedName" FROM e_table
         WHERE "schemaName" IN ('NATION_5', 'NATION_6', 'NATION_7')
         UNION ALL SELECT "typeName", "qualifiedName" FROM e_column
-        WHERE "tableName" IS NOT NULL AND "schemaName" IN ('NATION_5', 'NATION_6', 'NATION_7')""",
-    "wrong_constants": _with(E_TABLE) + """SELECT "typeName", "qualifiedName" FROM e_table
-        WHERE connection_qn = 'default/mysql/2'""",
+        WHERE "tableName" IS NOT NULL AND "schemaName" IN ('NATION_5', 'NATION_6', 'NATION_7')
+        UNION ALL SELECT "typeName", "qualifiedName" FROM e_procedure
+        WHERE "schemaName" IN ('NATION_5', 'NATION_6', 'NATION_7')""",
+    "wrong_constants": _with(E_TABLE, E_PROCEDURE) + """SELECT "typeName", "qualifiedName" FROM e_table
+        WHERE connection_qn = 'default/mysql/2'
+        UNION ALL SELECT "typeName", "qualifiedName" FROM e_procedure WHERE connection_qn = 'default/mysql/2'""",
     "invalid_json": _with(E_SCHEMA) + """SELECT "qualifiedName" AS qualified_name FROM e_schema
         WHERE "tableCount" > "viewsCount" """,
     "stream_type_check": _with(E_TABLE, E_PROCEDURE) + """
@@ -530,6 +537,11 @@ SQL = {
         WHEN s_nationkey % 4 = 2 THEN NULL ELSE 'zone-' || s_nationkey || '-a' END AS region FROM supplier""",
     "error_class": """SELECT event_id, CASE WHEN event_type IN ('view', 'signup') THEN 'connection_limit'
         WHEN event_type = 'error' THEN 'server_restart' ELSE 'definitive' END AS error_class FROM events""",
+    "settings_map": """SELECT user_id,
+        COALESCE(string_agg(event_type || '=' || COALESCE(last, ''), chr(10) ORDER BY event_type) FILTER (NOT nested), '') AS settings,
+        COALESCE(string_agg(event_type || '=' || COALESCE(last, ''), chr(10) ORDER BY event_type) FILTER (nested), '') AS extra
+        FROM (SELECT user_id, event_type, value >= 20 AS nested, arg_max(props, event_id) AS last FROM events GROUP BY ALL)
+        GROUP BY user_id""",
     "latest_settings": """SELECT user_id, CASE WHEN value >= 20 THEN 'extra' ELSE '' END AS section, event_type AS key,
         arg_max(props, event_id) AS value FROM events GROUP BY 1, 2, 3""",
 }
