@@ -73,7 +73,8 @@ def array_simhash(hashes: Column) -> Column:
 
 def line_rows(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, line_no, key, key2, chars, print): the lines of all rows that have words, from 0, with a 128-bit
-    hash, the characters and the SimHash of their normal text.
+    hash, the characters and the SimHash of their normal text. Each different word counts once, so that frequent words don't
+    make all long lines alike.
 
     The words are rows of their own while they are counted, which keeps all in compiled code: a line's words meet in
     sixteen sums before the shuffle. Very long lines, whose counts could overflow these, are summed as arrays.
@@ -91,7 +92,7 @@ def line_rows(docs: DataFrame) -> DataFrame:
             F.xxhash64("line").alias("key"),
             F.xxhash64(F.lit(1), "line").alias("key2"),
             F.length("line").alias("chars"),
-            F.split("line", " ").alias("words"),
+            F.array_distinct(F.split("line", " ")).alias("words"),
         )
 
     words = lines_of(docs).where(F.col("chars") < LONG_CHARS).select(*about, F.explode("words").alias("word"))
@@ -127,18 +128,58 @@ def close_prints(prints: DataFrame) -> DataFrame:
     return left.join(right, (F.col("a_mask") == F.col("b_mask")) & block & near).select("a", "b")
 
 
-def candidate_pairs(classes: DataFrame, scratch: Scratch) -> DataFrame:
-    """(a, b): pairs of class_no, a < b, with fingerprints within DISTANCE bits and lengths that allow the similarity."""
-    prints = classes.select("print").distinct()
-    near = scratch.save(close_prints(prints).distinct(), "prints")
-    sides = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    # With itself as well: different lines can have one fingerprint.
-    alike = classes.groupBy("print").agg(F.count("*").alias("n")).where("n > 1").select(F.col("print").alias("a"), F.col("print").alias("b"))
-    left = classes.select(F.col("print").alias("a"), F.col("class_no").alias("a_no"), F.col("chars").alias("a_chars"))
-    right = classes.select(F.col("print").alias("b"), F.col("class_no").alias("b_no"), F.col("chars").alias("b_chars"))
-    pairs = sides.unionByName(alike).join(left, "a").join(right, "b")
-    fits = F.least("a_chars", "b_chars") >= F.floor(F.greatest("a_chars", "b_chars") * SIMILARITY)
-    return pairs.where((F.col("a_no") < F.col("b_no")) & fits).select(F.col("a_no").alias("a"), F.col("b_no").alias("b"))
+def _fits(a: str, b: str) -> Column:
+    """Whether lengths allow the similarity."""
+    return F.least(a, b) >= F.floor(F.greatest(a, b) * SIMILARITY)
+
+
+def first_pairs(classes: DataFrame, near: DataFrame) -> DataFrame:
+    """(a, b): each class with the first one of its fingerprint, and that with the first one of the least near fingerprint."""
+    heads = classes.groupBy("print").agg(F.min(F.struct("class_no", "chars")).alias("head"))
+    own = classes.join(heads.withColumnRenamed("print", "of"), F.col("print") == F.col("of"))
+    within = own.select(F.col("head.class_no").alias("a"), F.col("class_no").alias("b"), F.col("head.chars").alias("a_chars"), "chars")
+    least = near.groupBy("b").agg(F.min("a").alias("a"))
+    for side in ("a", "b"):
+        least = least.join(heads.select(F.col("print").alias(side), F.col("head").alias(f"{side}_head")), side)
+    across = least.select(
+        F.col("a_head.class_no").alias("a"), F.col("b_head.class_no").alias("b"), F.col("a_head.chars").alias("a_chars"), F.col("b_head.chars").alias("chars")
+    )
+    return within.where("a <> b").unionByName(across).where(_fits("a_chars", "chars")).select("a", "b")
+
+
+def other_pairs(classes: DataFrame, near: DataFrame, groups: DataFrame, one_each: bool) -> DataFrame:
+    """(a, b): the pairs of classes with one or near fingerprints that are not in one group yet, a < b. With `one_each`, of
+    the classes of one fingerprint and group only the first takes part."""
+    known = classes.join(groups, classes["class_no"] == groups["node"], "left")
+    known = known.select("print", "class_no", "chars", F.coalesce("root", "class_no").alias("root"))
+    if one_each:
+        known = known.groupBy("print", "root").agg(F.min(F.struct("class_no", "chars")).alias("head"))
+        known = known.select("print", "head.class_no", "head.chars", "root")
+    # Fingerprints of which all classes are in one group are left out as a whole.
+    spans = known.groupBy("print").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    mixed = spans.where("low <> high").select(F.col("print").alias("a"), F.col("print").alias("b"))
+    low, high = spans.select(F.col("print").alias("a"), F.col("low").alias("a_low"), F.col("high").alias("a_high")), spans.select(
+        F.col("print").alias("b"), F.col("low").alias("b_low"), F.col("high").alias("b_high")
+    )
+    open_near = near.join(low, "a").join(high, "b").where("least(a_low, b_low) <> greatest(a_high, b_high)").select("a", "b")
+    left = known.select(F.col("print").alias("a"), F.col("class_no").alias("a_no"), F.col("chars").alias("a_chars"), F.col("root").alias("a_root"))
+    right = known.select(F.col("print").alias("b"), F.col("class_no").alias("b_no"), F.col("chars").alias("b_chars"), F.col("root").alias("b_root"))
+    pairs = open_near.unionByName(mixed).join(left, "a")
+    meet = (pairs["b"] == right["b"]) & (F.col("a_root") != F.col("b_root")) & _fits("a_chars", "b_chars")
+    pairs = pairs.join(right, meet)
+    return pairs.select(F.least("a_no", "b_no").alias("a"), F.greatest("a_no", "b_no").alias("b")).distinct()
+
+
+def texts_of(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(class_no, line): the normal texts of the lines in some pair, read again, each from its first document."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("class_no")).distinct().join(classes, "class_no")
+    wanted = wanted.select("class_no", F.col("first.doc_id").alias("at_id"), F.col("first.text_hash").alias("at_hash"), F.col("first.line_no").alias("at_line"))
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("at_id")) & (F.col("text_hash") == F.col("at_hash"))
+    line = F.element_at(F.split("text", "\n"), F.col("at_line") + 1)
+    found = rows.join(_small(wanted, wanted.count()), same).select("class_no", normal(line).alias("line"))
+    # Repeated rows of a document give the same line again.
+    return found.dropDuplicates(["class_no"])
 
 
 def similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -156,33 +197,25 @@ def similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def line_groups(docs: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
-    """(node, root): connected groups of class_no by links between candidate pairs.
+    """(node, root): connected groups of class_no by links between lines of near fingerprints.
 
-    First each class is compared with its first candidate only. Pairs that are in one group by then can't change the groups,
-    so of a group of many much alike lines most pairs are never compared; all others are.
+    First each class is compared with one other of its fingerprint, or of a near one; then groups that came out of this by
+    one line each; then all pairs that are not in one group yet. A pair that is in one group can't change the groups, so of
+    many much alike lines most pairs are never made.
     """
-    pairs = scratch.save(candidate_pairs(classes, scratch), "pairs")
-    # Lines of some pair are read again, each from its first document.
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("class_no")).distinct().join(classes, "class_no")
-    wanted = wanted.select("class_no", F.col("first.doc_id").alias("at_id"), F.col("first.text_hash").alias("at_hash"), F.col("first.line_no").alias("at_line"))
-    wanted = scratch.save(wanted, "wanted")
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    same = F.col("doc_id").eqNullSafe(F.col("at_id")) & (F.col("text_hash") == F.col("at_hash"))
-    line = F.element_at(F.split("text", "\n"), F.col("at_line") + 1)
-    found = rows.join(_small(wanted, wanted.count()), same).select("class_no", normal(line).alias("line"))
-    # Repeated rows of a document give the same line again.
-    texts = scratch.save(found.dropDuplicates(["class_no"]), "texts")
-    first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    links = scratch.save(similar(first, texts), "first_links")
-    groups = connected_components(links, Scratch(docs.sparkSession, "line-groups"))
-    rest = pairs
-    for side in ("a", "b"):
-        of = groups.select(F.col("node").alias(side), F.col("root").alias(f"{side}_root"))
-        rest = rest.join(of, side, "left").withColumn(f"{side}_root", F.coalesce(f"{side}_root", side))
-    more = scratch.save(similar(rest.where("a_root <> b_root").select("a", "b"), texts), "more_links")
-    if more.isEmpty():
-        return groups
-    return connected_components(links.unionByName(more), scratch)
+    near = scratch.save(close_prints(classes.select("print").distinct()).distinct(), "near")
+    groups, links = None, None
+    for step in ("first", "groups", "all"):
+        pairs = first_pairs(classes, near) if groups is None else other_pairs(classes, near, groups, step == "groups")
+        pairs = scratch.save(pairs, f"{step}_pairs")
+        if groups is not None and pairs.isEmpty():
+            break
+        texts = scratch.save(texts_of(docs, classes, pairs), f"{step}_texts")
+        found = scratch.save(similar(pairs, texts), f"{step}_links")
+        if groups is None or not found.isEmpty():
+            links = found if links is None else links.unionByName(found)
+            groups = connected_components(links, Scratch(docs.sparkSession, "line-groups"))
+    return groups
 
 
 def dropped_lines(docs: DataFrame, scratch: Scratch) -> DataFrame:

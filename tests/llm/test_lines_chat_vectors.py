@@ -36,7 +36,7 @@ def normal(line):
 
 
 def plain_print(line):
-    hashes = [xxhash.xxh64_intdigest(w, 42) for w in line.split(" ") if w]
+    hashes = [xxhash.xxh64_intdigest(w, 42) for w in set(line.split(" ")) if w]
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
