@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 from functools import cache
 
 import numpy as np
@@ -21,6 +22,40 @@ FIRST = "\n\n"
 END_ID = 2
 
 
+PACK = [struct.Struct(f"<{n}I").pack for n in range(4 * LONGEST_KEPT + 1)]
+PROBES = ("the", "Zürich", "GARÇON", "straße", "ñandú", "éèêëÿ", "qzx" * 9)
+
+
+def _letters_of_bytes() -> dict[int, str]:
+    """Byte-level tokenizers write a byte as a character that can be seen: itself if it can, else the next from 256 on."""
+    seen = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in seen]
+    return {b: chr(b) if b in seen else chr(256 + hidden.index(b)) for b in range(256)}
+
+
+BYTE_LETTERS = _letters_of_bytes()
+
+
+def _spelled(text: str) -> str:
+    return text if text.isascii() else text.encode().decode("latin-1").translate(BYTE_LETTERS)
+
+
+def _spell_led(text: str) -> str | None:
+    """A word, with or without a space before it, as a byte-level tokenizer's model sees it; None for other texts."""
+    word = text[1:] if text[:1] == " " else text
+    if not word.isalpha() or len(word) > LONGEST_KEPT:
+        return None
+    return _spelled(word) if word is text else BYTE_LETTERS[0x20] + _spelled(word)
+
+
+def _spell_word(text: str) -> str | None:
+    """A word in lower case as a word-end tokenizer's model sees it; None for other texts, and for letters beyond Latin-1,
+    of which lower case and composition have rules of their own."""
+    if not text.isalpha() or len(text) > LONGEST_KEPT or max(text) > "\xff":
+        return None
+    return _spelled(text.lower())
+
+
 class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit numbers, the same as of one `encode` call on each text.
 
@@ -45,6 +80,15 @@ class Encoder:
         found = self._tokenizer.encode(self._break, add_special_tokens=False).ids
         self._break_id = found[0] if len(found) == 1 else None
         self._marks = dict(zip(MARKS, self._encode(list(MARKS)), strict=True))
+        # Words of common letters go to the tokenizer's model at once, spelled as its steps before the model would.
+        self._model = self._tokenizer.model
+        self._spell = _spell_led if byte_level else _spell_word if word_level else None
+        for probe in PROBES:
+            for text in (probe, " " + probe) if byte_level else (probe,):
+                if self._spell and (spelled := self._spell(text)):
+                    expected = self._tokenizer.encode(text, add_special_tokens=False).ids
+                    if [token.id for token in self._model.tokenize(spelled)] != expected:
+                        self._spell = None
         self._ids: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
 
@@ -101,11 +145,16 @@ class Encoder:
                     after_line.add(n)
                 else:
                     texts[n] = " " + n
-        words, others = [], []
+        found, words, others = {}, [], []
         for n, text in texts.items():
-            plain = self._break_id is not None and len(text) > 1 and text[1:].isprintable()
-            (words if plain and " " not in text[1:] else others).append(n)
-        found = dict(zip(words, self._encode_words([texts[n] for n in words]), strict=True))
+            if self._spell and (spelled := self._spell(text)):
+                ids = [token.id for token in self._model.tokenize(spelled)]
+                found[n] = PACK[len(ids)](*ids)
+            elif self._break_id is not None and len(text) > 1 and text[1:].isprintable() and " " not in text[1:]:
+                words.append(n)
+            else:
+                others.append(n)
+        found.update(zip(words, self._encode_words([texts[n] for n in words]), strict=True))
         found.update(zip(others, self._encode([texts[n] for n in others]), strict=True))
         if after_line:
             line_end = self._encode(["\n"])[0]

@@ -183,8 +183,9 @@ def read_tokens(files: DataFrame, folder: str) -> DataFrame:
                 columns = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)]
                 yield pa.record_batch(columns, ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    # The rows are file names; each is a task's work.
-    spread = files.repartition(max(1, files.count()), "file_no")
+    # The rows are file names. A task reads some files, one after another.
+    tasks = min(files.count(), 4 * files.sparkSession.sparkContext.defaultParallelism)
+    spread = files.repartition(max(1, tasks))
     return spread.select("path", "start").mapInArrow(found, RESULT)
 
 
