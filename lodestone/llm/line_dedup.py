@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from itertools import combinations
+from math import comb
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,8 @@ BLOCKS = 5
 BITS = 64
 # A table of at most so many short rows is sent to every task.
 BROADCAST_ROWS = 250_000
+# Rows of two numbers that a task may hash, some 60 MB.
+HASHED_ROWS = 1_000_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 DIGITS = "123456789"
 SPACES, MARKS = "\t\r\x0b\x0c", ".,;:!?\"'()[]{}<>|*_#"
@@ -125,6 +128,10 @@ def close_prints(prints: DataFrame) -> DataFrame:
     # The block is part of the join's keys only, so that it is not shuffled beside the fingerprint it comes from.
     block = F.col("a").bitwiseAND(F.element_at(masks, F.col("a_mask"))) == F.col("b").bitwiseAND(F.element_at(masks, F.col("b_mask")))
     near = (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= DISTANCE)
+    # Few enough rows in a partition are hashed; more are sorted, which needs no memory for them.
+    partitions = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if prints.count() * comb(BLOCKS, DISTANCE) <= HASHED_ROWS * partitions:
+        right = right.hint("shuffle_hash")
     return left.join(right, (F.col("a_mask") == F.col("b_mask")) & block & near).select("a", "b")
 
 
@@ -188,14 +195,30 @@ def similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         pairs = pairs.join(texts.select(F.col("class_no").alias(side), F.col("line").alias(f"{side}_line")), side)
     edits = F.floor(F.greatest(F.length("a_line"), F.length("b_line")) * (1 - SIMILARITY) + 1e-9).cast("int")
     words = pairs.select("a", "b", "a_line", "b_line", edits.alias("edits"), F.split("a_line", " ").alias("x"), F.split("b_line", " ").alias("y"))
-    # Putting the other line's words in place of those that differ is a way to edit; often it is good enough.
+    # Ways to edit that are often good enough: the other line's words in place of those that differ, or all between the words
+    # both lines begin and end with. What these leave open is measured.
     differ = F.zip_with("x", "y", lambda p, q: F.when(p == q, 0).otherwise(F.greatest(F.length(p), F.length(q))))
     by_words = F.when(F.size("x") == F.size("y"), F.aggregate(differ, F.lit(0), lambda total, n: total + n))
-    measured = words.select("a", "b", "a_line", "b_line", "edits", by_words.alias("by_words"))
-    near = F.coalesce(F.col("by_words") <= F.col("edits"), F.lit(False)) | F.expr("levenshtein(a_line, b_line, edits) >= 0")
+    words = words.withColumn("head", _agreeing("x", "y"))
+    words = words.withColumn("tail", F.least(_agreeing(F.reverse("x"), F.reverse("y")), F.least(F.size("x"), F.size("y")) - F.col("head")))
+    middle = F.greatest(_middle_chars("x"), _middle_chars("y"))
+    measured = words.select("a", "b", "a_line", "b_line", "edits", F.least(by_words, middle).alias("bound"))
+    near = (F.col("bound") <= F.col("edits")) | F.expr("levenshtein(a_line, b_line, edits) >= 0")
     return measured.where(near).select("a", "b")
 
 
+def _agreeing(x: Column | str, y: Column | str) -> Column:
+    """How many words two arrays have in common from their start."""
+    first = F.array_position(F.zip_with(x, y, lambda p, q: F.coalesce(p == q, F.lit(False))), False)
+    return F.when(first > 0, first - 1).otherwise(F.size(x)).cast("int")
+
+
+def _middle_chars(words: str) -> Column:
+    """Characters between the first `head` and the last `tail` words, with a space beside them."""
+    middle = F.slice(words, F.col("head") + 1, F.size(words) - F.col("head") - F.col("tail"))
+    return F.length(F.array_join(middle, " ")) + 1
+
+
 def line_groups(docs: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, root): connected groups of class_no by links between lines of near fingerprints.
 
@@ -203,7 +226,11 @@ def line_groups(docs: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFr
     one line each; then all pairs that are not in one group yet. A pair that is in one group can't change the groups, so of
     many much alike lines most pairs are never made.
     """
-    near = scratch.save(close_prints(classes.select("print").distinct()).distinct(), "near")
+    prints = scratch.save(classes.groupBy("print").agg(F.count("*").alias("n")), "prints")
+    near = scratch.save(close_prints(prints.select("print")).distinct(), "near")
+    # Most lines are like no other; the rest goes on.
+    met = near.select(F.explode(F.array("a", "b")).alias("print")).unionByName(prints.where("n > 1").select("print"))
+    classes = scratch.save(classes.join(met.distinct(), "print", "left_semi"), "met")
     groups, links = None, None
     for step in ("first", "groups", "all"):
         pairs = first_pairs(classes, near) if groups is None else other_pairs(classes, near, groups, step == "groups")
