@@ -20,9 +20,6 @@ BITS = 64
 BROADCAST_ROWS = 250_000
 # Rows of two numbers that a task may hash, some 60 MB.
 HASHED_ROWS = 1_000_000
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-DIGITS = "123456789"
-SPACES, MARKS = "\t\r\x0b\x0c", ".,;:!?\"'()[]{}<>|*_#"
 # A line of so many characters has fewer words than a lane of 16 bits can count.
 LANE = 16
 LONG_CHARS = 1 << LANE
@@ -37,9 +34,9 @@ def _repeated(pattern: int, every: int) -> int:
 
 
 def normal(line: Column) -> Column:
-    """The line as it is compared: A-Z in lower case, digits all alike, white space as spaces, common marks left out."""
-    zeros, gaps = "0" * len(DIGITS), " " * len(SPACES)
-    return F.trim(F.translate(line, UPPER + DIGITS + SPACES + MARKS, LOWER + zeros + gaps))
+    """The line as it is compared: in lower case, tabs and carriage returns as spaces, none at the ends."""
+    plain = F.replace(F.replace(F.lower(line), F.lit("\t"), F.lit(" ")), F.lit("\r"), F.lit(" "))
+    return F.trim(plain)
 
 
 def majority(total: Callable[[int], Column], count: Column, width: int) -> Column:
@@ -190,7 +187,8 @@ def texts_of(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame
 
 
 def similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs of class_no of which the texts have an edit similarity of SIMILARITY or more."""
+    """(a, b, similar): whether the texts of a pair of class_no have an edit similarity of SIMILARITY or more. A column, not a
+    filter, which Spark would work out again for every use of what it is made of."""
     for side in ("a", "b"):
         pairs = pairs.join(texts.select(F.col("class_no").alias(side), F.col("line").alias(f"{side}_line")), side)
     edits = F.floor(F.greatest(F.length("a_line"), F.length("b_line")) * (1 - SIMILARITY) + 1e-9).cast("int")
@@ -201,10 +199,11 @@ def similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     by_words = F.when(F.size("x") == F.size("y"), F.aggregate(differ, F.lit(0), lambda total, n: total + n))
     words = words.withColumn("head", _agreeing("x", "y"))
     words = words.withColumn("tail", F.least(_agreeing(F.reverse("x"), F.reverse("y")), F.least(F.size("x"), F.size("y")) - F.col("head")))
-    middle = F.greatest(_middle_chars("x"), _middle_chars("y"))
-    measured = words.select("a", "b", "a_line", "b_line", "edits", F.least(by_words, middle).alias("bound"))
-    near = (F.col("bound") <= F.col("edits")) | F.expr("levenshtein(a_line, b_line, edits) >= 0")
-    return measured.where(near).select("a", "b")
+    # What both begin and end with doesn't change the distance.
+    measured = words.select("a", "b", "edits", by_words.alias("by_words"), _middle("x").alias("a_rest"), _middle("y").alias("b_rest"))
+    bound = F.least("by_words", F.greatest(F.length("a_rest"), F.length("b_rest")))
+    near = (bound <= F.col("edits")) | F.expr("levenshtein(a_rest, b_rest, edits) >= 0")
+    return measured.select("a", "b", near.alias("similar"))
 
 
 def _agreeing(x: Column | str, y: Column | str) -> Column:
@@ -213,10 +212,10 @@ def _agreeing(x: Column | str, y: Column | str) -> Column:
     return F.when(first > 0, first - 1).otherwise(F.size(x)).cast("int")
 
 
-def _middle_chars(words: str) -> Column:
-    """Characters between the first `head` and the last `tail` words, with a space beside them."""
+def _middle(words: str) -> Column:
+    """The words between the first `head` and the last `tail`, each with a space after it."""
     middle = F.slice(words, F.col("head") + 1, F.size(words) - F.col("head") - F.col("tail"))
-    return F.length(F.array_join(middle, " ")) + 1
+    return F.array_join(F.transform(middle, lambda w: F.concat(w, F.lit(" "))), "")
 
 
 def line_groups(docs: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
@@ -238,7 +237,7 @@ def line_groups(docs: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFr
         if groups is not None and pairs.isEmpty():
             break
         texts = scratch.save(texts_of(docs, classes, pairs), f"{step}_texts")
-        found = scratch.save(similar(pairs, texts), f"{step}_links")
+        found = scratch.save(similar(pairs, texts), f"{step}_links").where("similar").select("a", "b")
         if groups is None or not found.isEmpty():
             links = found if links is None else links.unionByName(found)
             groups = connected_components(links, Scratch(docs.sparkSession, "line-groups"))

@@ -26,13 +26,8 @@ def scratch(spark):
 
 # ---- lines --------------------------------------------------------------------------------------------------
 
-FOLD = str.maketrans(
-    "ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789\t\r\x0b\x0c", "abcdefghijklmnopqrstuvwxyz000000000    ", ".,;:!?\"'()[]{}<>|*_#"
-)
-
-
 def normal(line):
-    return line.translate(FOLD).strip(" ")
+    return line.lower().replace("\t", " ").replace("\r", " ").strip(" ")
 
 
 def plain_print(line):
