@@ -63,11 +63,11 @@ def _mixed(points: np.ndarray, salt: int) -> np.ndarray:
 
 
 def cells(tables: int = TABLES, probes: int = PROBES, scale: float = SCALE) -> Callable:
-    """For vectors (class_no, label, embedding), their lattice cells: key, class_no, sketch, own (or a neighbouring cell)."""
+    """For vectors (class_no, a number for the label, embedding), their lattice cells: key, class_no, sketch, own (or a neighbouring cell)."""
 
     def found(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            numbers, labels = np.array(part.column(0)), np.array(part.column(1).cast(pa.int64()))
+            numbers, labels = np.array(part.column(0)), np.array(part.column(1))
             vectors = part.column(2)
             lengths = np.array(vectors.value_lengths())
             values = np.array(vectors.flatten()).astype(np.float64)
@@ -110,7 +110,7 @@ def cosine(a: str, b: str) -> Column:
 
 def close_vectors(classes: DataFrame, scratch: Scratch, least: float = COSINE) -> DataFrame:
     """(a, b): pairs of class_no, a < b, of one label and a cosine of at least `least`, each once."""
-    rows = classes.select("class_no", "label", "embedding").mapInArrow(cells(), "key long, class_no long, sketch long, own boolean")
+    rows = classes.select("class_no", F.xxhash64("label").alias("label"), "embedding").mapInArrow(cells(), "key long, class_no long, sketch long, own boolean")
     rows = scratch.save(rows, "cells")
     base = rows.where("own").select("key", F.col("class_no").alias("a"), F.col("sketch").alias("a_sketch"))
     probing = rows.select(F.col("key").alias("probe"), F.col("class_no").alias("b"), F.col("sketch").alias("b_sketch"))
