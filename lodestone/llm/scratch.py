@@ -41,7 +41,8 @@ def fresh(df: DataFrame, name: str) -> str:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, whose Python workers import it; once an application."""
+    """Send this package to the executors, whose Python workers import it; once an application. Spark hands the archive out
+    itself: executors see no folder of the driver."""
     context = spark.sparkContext
     if getattr(context, "_lodestone_shipped", False):
         return
