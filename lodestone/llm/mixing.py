@@ -62,7 +62,7 @@ def apportion(parties: DataFrame, group: list[str], party: list[str], weight: st
 
     No party gets more than `most`. Shares rounded to the nearest are the seats of all quotients above one bound, so they
     are right but for a few seats a group; these few are given by the highest open quotients, or taken back by the lowest
-    given ones, ties by the order of `party`. Listed are a group's parties times its few open seats, not all its seats.
+    given ones, ties by the numbers in `party`. Listed are a group's parties times its few open seats, not all its seats.
     """
     of_group = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
     share = F.col(weight) / F.sum(weight).over(of_group) * F.col(seats)
@@ -77,7 +77,9 @@ def apportion(parties: DataFrame, group: list[str], party: list[str], weight: st
     listed = rows.select(*group, *party, weight, "open", F.explode(F.coalesce(more, less)).alias("k"))
     quotient = F.col(weight) / (2 * F.col("k") + 1)
     signed = F.when(F.col("open") > 0, -quotient).otherwise(quotient)
-    order = (Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))).orderBy(signed, *party)
+    # Of equal quotients the first party's counts more: it is given first and taken back last.
+    ties = [F.when(F.col("open") > 0, F.col(c)).otherwise(-F.col(c)) for c in party]
+    order = of_group.orderBy(signed, *ties)
     chosen = listed.withColumn("place", F.row_number().over(order)).where(F.col("place") <= F.abs("open"))
     changed = chosen.groupBy(*group, *party).agg(F.sum(F.signum("open")).cast("long").alias("change"))
     same = [F.col(f"p.{c}").eqNullSafe(F.col(f"c.{c}")) for c in (*group, *party)]
