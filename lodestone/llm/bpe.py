@@ -7,6 +7,7 @@ import os
 import re
 import struct
 from functools import cache
+from itertools import chain
 
 import numpy as np
 
@@ -14,7 +15,7 @@ import numpy as np
 # after it; such a text can be cut there and its pieces encoded one by one.
 SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
 RUN_OF_SPACE, ODD_SPACE = re.compile(r"\s\s"), re.compile("[\x1c-\x1f]")
-KEPT_PIECES, LONGEST_KEPT = 500_000, 64
+KEPT_PIECES, LONGEST_KEPT = 400_000, 64
 # Between pieces that are encoded in one call; each kind of tokenizer makes one id of it that nothing else gives.
 LED_BREAK, WORD_BREAK = "\n", " \x01 "
 MARKS = (",", ".")
@@ -176,14 +177,18 @@ class Encoder:
         seen = new & older.keys()
         known.update((n, older[n]) for n in seen)
         new -= seen
-        long = [n for n in new if len(n) > LONGEST_KEPT]
-        new.difference_update(long)
         known.update(self._new_ids(list(new)))
-        if long:
-            known = {**known, **self._new_ids(long)}
         known.update((n, known[n[:-1]] + self._marks[n[-1]]) for n in marked)
         ids_of = known.__getitem__
-        return [b"".join(map(ids_of, names)) for names in split]
+        out = [b"".join(map(ids_of, names)) for names in split]
+        # Kept are words; what is made of them, or seldom comes again, makes room.
+        for n in chain(marked, (n for n in new if len(n) > LONGEST_KEPT or n[:1] == "\n")):
+            del known[n]
+        return out
+
+    def rest(self) -> None:
+        """Give back half of what is kept; after a task, as the worker may wait for long."""
+        self._older = {}
 
 
 @cache

@@ -148,6 +148,7 @@ def pack(docs: DataFrame, tokenizer: str, size: int = SEQUENCE) -> DataFrame:
                     yield rows(found)
         if found := list(packer.finish()):
             yield rows(found)
+        encode.rest()
 
     ship(docs.sparkSession)
     return docs.select("doc_id", "text").mapInArrow(packed, PIECES)

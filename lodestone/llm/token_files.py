@@ -157,6 +157,7 @@ def write_tokens(docs: DataFrame, scratch: Scratch, tokenizer: str, file_tokens:
                         yield flush()
         if held:
             yield flush()
+        encode_texts.rest()
 
     order = (F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
     ranges = docs.select("doc_id", "text").repartitionByRange(*order).sortWithinPartitions(*order)

@@ -30,7 +30,7 @@ REPORTING = frozenset(
     "dit écrit appelé mot citation dijo escribió llamó palabra cita".split()
 )
 ADDRESSING = frozenset("you your yours u ur du dich dir dein euch tu te toi ton votre vous tú ti tus usted ustedes".split())
-KEPT_WORDS = 400_000
+KEPT_WORDS = 150_000
 
 
 def build_trie(terms: list[str]) -> dict:
