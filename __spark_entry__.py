@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from functools import lru_cache
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from lodestone.dialect import SYSTEM_SCHEMAS, Dialect  # noqa: E402
 from lodestone.functions.source import error_class, region_from_host  # noqa: E402
 from lodestone.functions.values import coerce_numeric, epoch_ms, finite_or_null, safe_str, when_set  # noqa: E402
 from lodestone.operators import diff as D  # noqa: E402
@@ -19,14 +21,20 @@ from lodestone.operators import entities as E  # noqa: E402
 from lodestone.operators import inventory as I  # noqa: E402
 from lodestone.operators import quality as Q  # noqa: E402
 from lodestone.operators.constraints import constraint_roles  # noqa: E402
+from lodestone.operators.failures import classified  # noqa: E402
 from lodestone.operators.feed import lineage_parse_feed, lineage_parse_feed_from_json  # noqa: E402
 from lodestone.operators.filters import INCLUDE_ALL, CatalogFilter, connection_rules, filter_map_pattern  # noqa: E402
 from lodestone.operators.settings import latest_settings, settings_map  # noqa: E402
 from lodestone.plans.extraction import EntityStreams, extract  # noqa: E402
+from lodestone.plans.families import Family, FamilyStreams  # noqa: E402
 from lodestone.plans.seed_views import SEED_VIEWS  # noqa: E402
+from lodestone.plans.sql_text import text_extract  # noqa: E402
 from lodestone.session import shared_folder, tune  # noqa: E402
-from lodestone.sinks.jsonl import read_stream  # noqa: E402
-from lodestone.sources.catalog import RELATION_SCHEMAS, Catalog, catalog_from  # noqa: E402
+from lodestone.sinks.jsonl import current_delivery, delivered_files, read_stream  # noqa: E402
+from lodestone.sinks.ordered import read_ordered, write_ordered  # noqa: E402
+from lodestone.sinks.snapshots import SnapshotStore, changed_only  # noqa: E402
+from lodestone.sources.bucketed import write_bucketed_catalog  # noqa: E402
+from lodestone.sources.catalog import RELATION_SCHEMAS, Catalog, catalog_from, read_parquet_catalog  # noqa: E402
 from lodestone.sources.derived import DerivedCatalog, table  # noqa: E402
 from oracle import catalog as catalog_oracle  # noqa: E402
 from oracle import seed_views as seed_view_oracle  # noqa: E402
@@ -42,6 +50,7 @@ except ModuleNotFoundError as missing:
 SMOKE_DIR = "/root/testdata/sf0.001"
 CONNECTIONS = catalog_oracle.CONNECTIONS
 TEMP_TABLES = CatalogFilter(exclude_table="_TMP$")
+TEXT_RULES = CatalogFilter(include=r"^def\.nation_1", exclude=r"^def\.NATION_12$", exclude_table="_TMP$")
 TABLE_NAMES = ("connection_qn", "table_schema", "table_name", "table_type")
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +64,29 @@ def _on_catalog(build: Callable[[Catalog], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(_catalog(tune(spark), sf_dir))
 
 
+@lru_cache
+def _stored_root(application: str, sf_dir: str) -> str:
+    """The derived catalog, stored by table once an application."""
+    spark = SparkSession.active()
+    root = shared_folder(spark, "catalog")
+    write_bucketed_catalog(spark, _catalog(spark, sf_dir), root)
+    return root
+
+
+def _on_stored(build: Callable[[Catalog], DataFrame]) -> Query:
+    """A query over the catalog as a user has it: written by an earlier run, read back from its files."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tune(spark)
+        return build(read_parquet_catalog(spark, _stored_root(spark.sparkContext.applicationId, sf_dir)))
+
+    return query
+
+
+def _from_text(name: str, rules: CatalogFilter = CatalogFilter()) -> Query:
+    return lambda spark, sf_dir: text_extract(spark, _catalog(tune(spark), sf_dir), name, rules)
+
+
 def _on_streams(build: Callable[[EntityStreams], DataFrame]) -> Query:
     return _on_catalog(lambda catalog: build(EntityStreams(catalog)))
 
@@ -120,6 +152,24 @@ def _hidden_schemas(catalog: Catalog) -> DataFrame:
     return I.schema_picker(catalog_from({**relations, "schemata": catalog.schemata.withColumn("schema_name", renamed)}))
 
 
+def _two_families(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables of two connections of one server family and one of another, which has other system schemas, another catalog name and
+    attributes of its own."""
+    catalog = _catalog(tune(spark), sf_dir)
+    other = Family(Dialect(system_schemas=(*SYSTEM_SCHEMAS, "NATION_5"), default_catalog="main"))
+    # This family's catalog name is the server's, not the one in its rows.
+    other = other.with_attribute(spark, "table", "databaseName", lambda rows, stamp: F.lit(stamp.dialect.default_catalog))
+    other = other.with_attribute(spark, "table", "description", lambda rows, stamp: F.upper(F.coalesce("remarks", F.lit("none"))))
+    other = other.with_attribute(spark, "table", "comparison", lambda rows, stamp: F.col("table_collation"))
+    other = other.with_attribute(spark, "table", "engine", lambda rows, stamp: F.lower(F.coalesce("engine", F.lit("-"))), custom=True)
+    family = F.when(F.col("connection_qn") == "default/mysql/3", "other").otherwise("common")
+    streams = FamilyStreams(catalog, {"common": Family(), "other": other}, catalog.connections.select("connection_qn", family.alias("family")))
+    a = "attributes."
+    return streams["table"].select(
+        "connection_qn", "typeName", a + "qualifiedName", a + "databaseName", a + "schemaName", a + "description", a + "comparison", "customAttributes.engine"
+    )
+
+
 # ---- JSON ---------------------------------------------------------------------------------------------------
 
 
@@ -166,6 +216,25 @@ def _delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).groupBy("stream", "connection_id").agg(F.count("*").alias("lines"))
 
 
+def _delivery_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines and bytes of each stream, from the list of files that the last delivery published."""
+    prefix = shared_folder(spark, "delivery")
+    extract(spark, _catalog(tune(spark), sf_dir), prefix)
+    files = delivered_files(spark, current_delivery(spark, prefix))
+    return files.groupBy("stream").agg(F.sum("lines").alias("lines"), F.sum("bytes").alias("bytes"))
+
+
+def _in_order(build: Callable[[Catalog], DataFrame], order: tuple[str, ...]) -> Query:
+    """Rows of an extract written in one order over all files, with the position each has there."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = shared_folder(spark, "ordered")
+        write_ordered(build(_catalog(tune(spark), sf_dir)).select(*order), path, order)
+        return read_ordered(spark, path)
+
+    return query
+
+
 def _feed_from_json(streams: EntityStreams) -> DataFrame:
     return lineage_parse_feed_from_json(_lines(streams["table"]).unionByName(_lines(streams["procedure"])))
 
@@ -282,6 +351,8 @@ def _count_floors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.count_floors(spark, list(streams.values()), floors)
 
 
+CHANGED = ("connection_qn", "typeName", "attributes.qualifiedName", "attributes.rowCount", "attributes.description")
+
 # ---- snapshots ----------------------------------------------------------------------------------------------
 
 
@@ -294,11 +365,32 @@ def _table_snapshots(streams: EntityStreams) -> tuple[DataFrame, DataFrame]:
     return old, _with_attribute(new, "rowCount", F.when(description == "2-HIGH", rows + 1).otherwise(rows))
 
 
-def _procedure_diff(streams: EntityStreams) -> DataFrame:
+def _procedure_snapshots(streams: EntityStreams) -> tuple[DataFrame, DataFrame]:
     """Some names are shared by a procedure and a function; the new side lost the French functions."""
     old = streams["procedure"]
     gone = (F.col("attributes.subType") == "FUNCTION") & (F.col("attributes.description") == "fr")
-    return D.snapshot_diff(old, old.where(~gone))
+    return old, old.where(~gone)
+
+
+def _two_runs(spark: SparkSession, sf_dir: str) -> tuple[SnapshotStore, DataFrame]:
+    """A store after a run over the old tables and procedures and one over the new, with the new tables."""
+    streams = EntityStreams(_catalog(tune(spark), sf_dir))
+    (old_tables, new_tables), (old_procedures, new_procedures) = _table_snapshots(streams), _procedure_snapshots(streams)
+    store = SnapshotStore(spark, shared_folder(spark, "snapshots"))
+    store.publish([old_tables, old_procedures])
+    store.publish([new_tables, new_procedures])
+    return store, new_tables
+
+
+def _incremental_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store, _ = _two_runs(spark, sf_dir)
+    return store.changes(store.current())
+
+
+def _incremental_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the second run has to publish of its tables, from what it stored."""
+    store, tables = _two_runs(spark, sf_dir)
+    return changed_only(tables, store.changes(store.current())).select(*CHANGED)
 
 
 # ---- scalar rules -------------------------------------------------------------------------------------------
@@ -374,6 +466,25 @@ def _error_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(tune(spark), sf_dir, "events").select("event_id", error_class(errno).alias("error_class"))
 
 
+def _error_causes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Errors of which each wraps the one before it, in chains of up to about a hundred; some run in circles."""
+    event, kind = F.col("event_id"), F.col("event_type")
+    number = (
+        F.when((kind == "error") & (event % 5 == 0), 2006)
+        .when((kind == "view") & (event % 40 == 0), 1040)
+        .when((kind == "click") & (event % 45 == 0), 1045)
+    )
+    cause = F.when(event % 97 != 0, event - 1).when(event % 970 == 0, event + 9)
+    errors = table(tune(spark), sf_dir, "events").select(
+        event.alias("error_id"),
+        F.when(event % 11 == 0, event - 2).alias("orig_id"),
+        cause.alias("cause_id"),
+        number.cast("long").alias("number"),
+        (event % 61 == 0).alias("is_timeout"),
+    )
+    return classified(errors).select("error_id", "errno", "error_class", "retryable")
+
+
 def _setting_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     prefix = F.when(F.col("value") >= 20, "extra.").otherwise("")
     return table(tune(spark), sf_dir, "events").select(
@@ -419,6 +530,8 @@ def catalog_queries() -> dict[str, Query]:
                 "connection_qn", "table_schema", "table_name", "column_name", "table_type", "constraint_type"
             )
         ),
+        "schema_order": _in_order(I.schema_inventory, ("connection_qn", "schema_name")),
+        "column_order": _in_order(I.column_inventory, ("connection_qn", "table_schema", "table_name", "ordinal_position")),
         "routine_inventory": _on_catalog(I.routine_inventory),
         "filter_include_exclude": _kept_names(CatalogFilter(include=r"^def\.nation_1", exclude=r"^def\.NATION_12$")),
         "filter_temp_tables": _kept_names(CatalogFilter(exclude_table="_(tmp|scratch)$")),
@@ -431,8 +544,10 @@ def catalog_queries() -> dict[str, Query]:
         "entity_view": _on_streams(lambda s: _of_type(s["table"], E.VIEW, NOT_IN_VIEW)),
         "entity_column": _on_streams(lambda s: flatten(s["column"])),
         "entity_procedure": _on_streams(lambda s: flatten(s["procedure"])),
+        "entity_two_families": _two_families,
         "entity_json": _on_streams(_entity_json),
         "jsonl_delivery": _delivery,
+        "delivery_manifest": _delivery_manifest,
         "entity_json_fields": _on_streams(_entity_json_fields),
         "lineage_parse_feed": _on_streams(lambda s: lineage_parse_feed(s["table"], s["procedure"])),
         "lineage_parse_feed_json": _on_streams(_feed_from_json),
@@ -447,19 +562,33 @@ def catalog_queries() -> dict[str, Query]:
         "stream_type_check": _on_streams(_stream_types),
         "entity_count_floors": _count_floors,
         "snapshot_diff": _on_streams(lambda s: D.snapshot_diff(*_table_snapshots(s))),
-        "snapshot_diff_shared_names": _on_streams(_procedure_diff),
+        "snapshot_diff_shared_names": _on_streams(lambda s: D.snapshot_diff(*_procedure_snapshots(s))),
         "undelivered_connections": _on_streams(lambda s: D.undelivered_connections(*_table_snapshots(s))),
         "incremental_changes": _on_streams(lambda s: D.incremental_changes(*_table_snapshots(s))),
         "changed_entities": _on_streams(
-            lambda s: D.changed_entities(*_table_snapshots(s)).select(
-                "connection_qn", "typeName", "attributes.qualifiedName", "attributes.rowCount", "attributes.description"
-            )
+            lambda s: D.changed_entities(*_table_snapshots(s)).select(*CHANGED)
         ),
+        "incremental_run": _incremental_run,
+        "incremental_entities": _incremental_entities,
+        "stored_schema_inventory": _on_stored(I.schema_inventory),
+        "stored_table_inventory": _on_stored(I.table_inventory),
+        "stored_partition_summary": _on_stored(I.partition_summary),
+        "stored_constraint_roles": _on_stored(constraint_roles),
+        "stored_column_inventory": _on_stored(I.column_inventory),
+        "stored_routine_inventory": _on_stored(I.routine_inventory),
+        "stored_entity_column": _on_stored(lambda c: flatten(EntityStreams(c)["column"])),
+        "text_database": _from_text("database"),
+        "text_schema": _from_text("schema"),
+        "text_table": _from_text("table"),
+        "text_column": _from_text("column"),
+        "text_procedure": _from_text("procedure"),
+        "text_with_rules": lambda spark, sf_dir: _from_text("table", TEXT_RULES)(spark, sf_dir).select(*TABLE_NAMES),
         "scalar_epoch_ms": _epoch_ms,
         "scalar_safe_str": _safe_str,
         "scalar_coerce_numeric": _coerce_numeric,
         "region_from_host": _region,
         "error_class": _error_class,
+        "error_causes": _error_causes,
         "latest_settings": _latest_settings,
         "settings_map": _settings_map,
         **{name: (lambda spark, sf_dir, view=view: view(tune(spark), sf_dir)) for name, view in SEED_VIEWS.items()},

@@ -79,8 +79,16 @@ def safe_str(df: DataFrame, name: str) -> Column:
 
 # A zone at the end of a text with a time: Z, an offset, or a zone's name.
 ZONED = r":\d{2}(?:\.\d+)?\s*(?:[Zz]|[+-]\d{1,2}(?::?\d{2}){0,2}|(?:UTC|GMT)\S*|[A-Za-z]+/\S+)\s*$"
-# Forms of date texts beside the standard one, tried in this order; each also with a time.
-DATE_FORMS = ("yyyyMMdd", "d MMM yyyy", "d MMMM yyyy", "MMM d, yyyy", "MMMM d, yyyy", "M/d/yyyy", "yyyy/M/d")
+# Forms of date texts beside the standard one, each told by how it begins; the time that may follow, by its colons.
+DATE_FORMS = {
+    r"^ *\d{5,}( |$)": "yyyyMMdd",
+    r"^ *\d+ \p{L}{3} ": "d MMM yyyy",
+    r"^ *\d+ \p{L}{4,} ": "d MMMM yyyy",
+    r"^ *\p{L}{3} \d+,": "MMM d, yyyy",
+    r"^ *\p{L}{4,} \d+,": "MMMM d, yyyy",
+    r"^ *\d{1,3}/": "M/d/yyyy",
+    r"^ *\d{4,}/": "yyyy/M/d",
+}
 TIME_FORMS = ("", " HH:mm", " HH:mm:ss")
 
 
@@ -92,14 +100,18 @@ def _naive_micros(c: Column) -> Column:
 
 
 def _text_micros(c: Column) -> Column:
-    """Microseconds since 1970 of a text; one without zone is read as UTC. NULL if no form fits."""
-    zoned = F.when(F.rlike(c, F.lit(ZONED)), F.unix_micros(c.try_cast("timestamp")))
+    """Microseconds since 1970 of a text; one without zone is read as UTC. NULL if its form doesn't fit. The beginning of a text
+    tells its form, so each is parsed once."""
+    colons = F.length(c) - F.length(F.replace(c, F.lit(":")))
     # A zone is added to the text and the form, so that the session's never counts.
     in_utc = F.concat(F.trim(c), F.lit(" +00:00"))
-    forms = [F.unix_micros(F.try_to_timestamp(in_utc, F.lit(f"{d}{t} XXX"))) for d in DATE_FORMS for t in TIME_FORMS]
-    # Digits alone could be a year to the standard form.
-    standard = F.when(~F.rlike(c, F.lit(r"^\s*\d{5,}\s*$")), _naive_micros(c.try_cast("timestamp_ntz")))
-    return F.coalesce(zoned, standard, *forms)
+    parsed = F.when(F.rlike(c, F.lit(ZONED)), F.unix_micros(c.try_cast("timestamp")))
+    for beginning, date in DATE_FORMS.items():
+        with_time = F.lit(None).cast("bigint")
+        for n, time in enumerate(TIME_FORMS):
+            with_time = F.when(colons == n, F.unix_micros(F.try_to_timestamp(in_utc, F.lit(f"{date}{time} XXX")))).otherwise(with_time)
+        parsed = parsed.when(F.rlike(c, F.lit(beginning)), with_time)
+    return parsed.otherwise(_naive_micros(c.try_cast("timestamp_ntz")))
 
 
 def epoch_ms(df: DataFrame, name: str) -> Column:

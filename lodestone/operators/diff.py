@@ -21,7 +21,8 @@ def refuse_empty(new: DataFrame, old: DataFrame) -> None:
         raise EmptySnapshotError("the new snapshot is empty; nothing is archived")
 
 
-def _fingerprints(entities: DataFrame, is_new: bool) -> DataFrame:
+def fingerprints(entities: DataFrame) -> DataFrame:
+    """ENTITY_KEY and two hashes of the content, a row for each entity."""
     # Hashes of the JSON text, not of the struct: hashing a struct skips NULLs and would confuse attributes.
     content = entity_json(entities)
     return entities.select(
@@ -30,7 +31,6 @@ def _fingerprints(entities: DataFrame, is_new: bool) -> DataFrame:
         F.col("attributes.qualifiedName").alias("qualifiedName"),
         F.xxhash64(content).alias("h1"),
         F.xxhash64(F.lit("second"), content).alias("h2"),
-        F.lit(is_new).alias("is_new"),
     )
 
 
@@ -40,23 +40,35 @@ def _change(has_old: Column, has_new: Column, same: Column) -> Column:
     )
 
 
-def snapshot_diff(old: DataFrame, new: DataFrame) -> DataFrame:
-    """One row per entity key with its change: insert, update, unchanged or archive.
-
-    Only connections of which the new snapshot delivered anything take part; what the others had stays as it is
-    (see `undelivered_connections`). Both sides are aggregated together instead of outer-joined: contents first
-    (copies collapse on the map side), then keys, so a qualified name that many entities share never pairs them up.
-    Such a name is unchanged when both sides hold the same set of contents.
-    """
-    both = _fingerprints(old, False).unionByName(_fingerprints(new, True))
+def _by_key(both: DataFrame) -> DataFrame:
     contents = both.groupBy(*ENTITY_KEY, "h1", "h2").agg(
         F.bool_or(~F.col("is_new")).alias("in_old"), F.bool_or("is_new").alias("in_new")
     )
-    keys = contents.groupBy(*ENTITY_KEY).agg(
+    return contents.groupBy(*ENTITY_KEY).agg(
         F.bool_or("in_old").alias("has_old"),
         F.bool_or("in_new").alias("has_new"),
         F.bool_and(F.col("in_old") & F.col("in_new")).alias("same"),
     )
+
+
+def compared(both: DataFrame) -> DataFrame:
+    """One row per entity key of `both` (`fingerprints` of two snapshots, with is_new) with its change.
+
+    Both sides are aggregated together instead of outer-joined: contents first (copies collapse on the map side), then keys, so a
+    qualified name that many entities share never pairs them up. Such a name is unchanged when both sides hold the same
+    set of contents.
+    """
+    return _by_key(both).select(*ENTITY_KEY, _change(F.col("has_old"), F.col("has_new"), F.col("same")).alias("change"))
+
+
+def snapshot_diff(old: DataFrame, new: DataFrame) -> DataFrame:
+    """One row per entity key with its change: insert, update, unchanged or archive.
+
+    Only connections of which the new snapshot delivered anything take part; what the others had stays as it is
+    (see `undelivered_connections`).
+    """
+    sides = [fingerprints(df).withColumn("is_new", F.lit(is_new)) for df, is_new in ((old, False), (new, True))]
+    keys = _by_key(sides[0].unionByName(sides[1]))
     # From the keys, which are there already: the new snapshot is planned and read once. Connection and type, not connection
     # alone: a semi join does not mind the repeats, and this side is then shuffled for the join itself, which lets Spark
     # split a hot connection.

@@ -85,8 +85,22 @@ def _attributes(stamp: Stamp, name: Column, qualified_name: Column, **own: Colum
     return F.struct(*(value.alias(key) for key, value in {**shared, **own}.items()))
 
 
+# Columns of an extract that hold attributes made in a way of a server family's own; they replace the mapper's.
+OWN_ATTRIBUTES, OWN_CUSTOM = "_own_attributes", "_own_custom"
+
+
+def _replaced(df: DataFrame, value: Column, own: str) -> Column:
+    if own in df.columns:
+        for name in df.schema[own].dataType.fieldNames():
+            value = value.withField(name, F.col(own)[name])
+    return value
+
+
 def _entity(df: DataFrame, type_name: Column | str, attributes: Column, **extra: Column) -> DataFrame:
     type_name = F.lit(type_name) if isinstance(type_name, str) else type_name
+    attributes = _replaced(df, attributes, OWN_ATTRIBUTES)
+    if "customAttributes" in extra:
+        extra["customAttributes"] = _replaced(df, extra["customAttributes"], OWN_CUSTOM)
     return df.select(
         "connection_qn",
         type_name.alias("typeName"),

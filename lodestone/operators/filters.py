@@ -90,7 +90,7 @@ def keep(
     df = df.where(not_system(F.col(schema), dialect, rules.case_sensitive))
     key = schema_key(F.col(schema), rules, dialect)
     if rules.per_connection is not None:
-        return _keep_per_connection(df, key, rules, table)
+        return _keep_per_connection(df, schema, key, rules, table)
     # The default patterns decide nothing (a schema key is never empty), so they cost nothing either.
     if rules.include in ("", INCLUDE_ALL):
         df = df.where(key.isNotNull())
@@ -103,21 +103,51 @@ def keep(
     return df
 
 
-def _keep_per_connection(df: DataFrame, key: Column, rules: CatalogFilter, table: str | None) -> DataFrame:
-    # A connection's rules are one row. A second one would double the source's rows, so it fails the run instead.
+# So many different table patterns are compiled into the plan; of more, each is tried once for each different name.
+LITERAL_PATTERNS = 64
+
+
+def _rules_by_connection(rules: CatalogFilter) -> DataFrame:
+    """The given rules, one row a connection. A second one would double the source's rows, so it fails the run instead."""
     repeated = F.raise_error(F.concat(F.lit("several rules for connection "), F.col("connection_qn")))
     given = rules.per_connection.groupBy("connection_qn").agg(
         F.count("*").alias("n"), *[F.max(F.nullif(F.col(c), F.lit(""))).alias(c) for c in RULE_COLUMNS[1:]]
     )
-    given = given.withColumn("include_re", F.when(F.col("n") > 1, repeated).otherwise(F.col("include_re"))).drop("n")
-    joined = df.join(given, "connection_qn", "left")
+    return given.withColumn("include_re", F.when(F.col("n") > 1, repeated).otherwise(F.col("include_re"))).drop("n")
+
+
+def _admitted_schemas(df: DataFrame, schema: str, key: Column, rules: CatalogFilter) -> DataFrame:
+    """(connection_qn, `schema`, exclude_table_re): the admitted schemas of `df`. Patterns are tried once for each connection and
+    schema; these are made distinct before anything is moved, which leaves few rows of any number."""
+    places = df.select("connection_qn", F.col(schema), key.alias("schema_key")).distinct()
     include = F.coalesce("include_re", F.lit(rules.include or INCLUDE_ALL))
     exclude = F.coalesce("exclude_re", F.lit(rules.exclude or EXCLUDE_NONE))
+    key = F.col("schema_key")
     admitted = F.rlike(key, rules._cased_column(include)) & ~F.rlike(key, rules._cased_column(exclude))
-    if table:
-        table_re = F.coalesce("exclude_table_re", F.lit(rules.exclude_table or None).cast("string"))
-        admitted = admitted & F.coalesce(~F.rlike(F.col(table), rules._cased_column(table_re)), F.lit(True))
-    return joined.where(admitted).select(*df.columns)
+    table_re = F.coalesce("exclude_table_re", F.lit(rules.exclude_table or None).cast("string"))
+    decided = places.join(_rules_by_connection(rules), "connection_qn", "left").where(admitted)
+    return decided.select("connection_qn", schema, table_re.alias("exclude_table_re"))
+
+
+def _keep_per_connection(df: DataFrame, schema: str, key: Column, rules: CatalogFilter, table: str | None) -> DataFrame:
+    """Source rows meet their schema's decision in one join, of which the small side prunes the large one's scan at run time.
+    Table patterns are literals of the plan, told apart by a comparison, so no row compiles one."""
+    decided = _admitted_schemas(df, schema, key, rules)
+    if not table:
+        return df.join(decided.drop("exclude_table_re"), ["connection_qn", schema], "left_semi")
+    kept = df.join(decided, ["connection_qn", schema])
+    pattern, name = F.col("exclude_table_re"), F.col(table)
+    given = rules.per_connection.select(F.nullif("exclude_table_re", F.lit("")).alias("re")).where("re is not null").distinct()
+    patterns = [row["re"] for row in given.limit(LITERAL_PATTERNS + 1).collect()]
+    if rules.exclude_table and rules.exclude_table not in patterns:
+        patterns.append(rules.exclude_table)
+    if len(patterns) <= LITERAL_PATTERNS:
+        for literal in sorted(patterns):
+            kept = kept.where(~((pattern == literal) & rules.matches(name, literal)) | pattern.isNull() | name.isNull())
+    else:
+        names = kept.select(pattern, name).distinct().where(F.rlike(name, rules._cased_column(pattern)))
+        kept = kept.join(names, ["exclude_table_re", table], "left_anti")
+    return kept.select(*df.columns)
 
 
 def hidden_in_picker(

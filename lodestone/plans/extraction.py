@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lodestone.operators import entities as E
 from lodestone.operators import inventory as I
@@ -48,7 +49,8 @@ def grouped_by_connection(rows: DataFrame, order: tuple[str, ...]) -> DataFrame:
 
 
 class EntityStreams(Mapping):
-    """The five streams by name. A stream's plan is made when it is first asked for; nothing runs until it is used."""
+    """The five streams by name. A stream's plan is made when it is first asked for; nothing runs until it is used. `attributes` and
+    `custom` hold builders that replace the mappers' (`families.Family`)."""
 
     def __init__(
         self,
@@ -56,8 +58,11 @@ class EntityStreams(Mapping):
         rules: CatalogFilter = KEEP_ALL,
         stamp: E.Stamp = E.PLAIN,
         for_writing: bool = False,
+        attributes: Mapping[str, Mapping[str, Callable[..., Column]]] | None = None,
+        custom: Mapping[str, Mapping[str, Callable[..., Column]]] | None = None,
     ):
         self._source, self._stamp, self._for_writing = (catalog, rules, stamp), stamp, for_writing
+        self._own = {E.OWN_ATTRIBUTES: attributes or {}, E.OWN_CUSTOM: custom or {}}
         self._made: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -66,6 +71,9 @@ class EntityStreams(Mapping):
             rows = stream.extract(*self._source)
             if self._for_writing:
                 rows = grouped_by_connection(rows, stream.order)
+            for column, builders in self._own.items():
+                if given := builders.get(name):
+                    rows = rows.withColumn(column, F.struct(*(build(rows, self._stamp).alias(key) for key, build in given.items())))
             self._made[name] = stream.entities(rows, self._stamp)
         return self._made[name]
 

@@ -26,6 +26,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16MB",
     # Where every partition of one side is measured to be that small, hash it instead of sorting both sides.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "16MB",
+    # Rows that lie together by table are joined by column where they are: a table has few thousand columns at most, so that
+    # moving the widest relation once more would even out nothing.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # A task that writes a few connections keeps their files open instead of sorting its lines by connection.
     "spark.sql.maxConcurrentOutputFileWriters": "16",
 }

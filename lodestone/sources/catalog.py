@@ -81,7 +81,12 @@ def catalog_from(relations: dict[str, DataFrame]) -> Catalog:
 
 
 def read_parquet_catalog(spark: SparkSession, root: str) -> Catalog:
-    """Read `<root>/<relation>` as Parquet with the declared schemas (no inference, no footer merging)."""
+    """Read `<root>/<relation>` as Parquet with the declared schemas (no inference, no footer merging). A catalog stored by table
+    (`bucketed.write_bucketed_catalog`) is read with its layout."""
+    from lodestone.sources import bucketed  # which reads this module's layouts
+
+    if bucketed.is_bucketed(spark, root):
+        return bucketed.read_bucketed_catalog(spark, root)
     return catalog_from(
         {name: spark.read.schema(schema).parquet(f"{root}/{name}") for name, schema in RELATION_SCHEMAS.items()}
     )

@@ -414,6 +414,17 @@ PROCEDURE_DIFF = _diff(
     "e_procedure", '"subType"', "definition",
 )
 
+# Two runs over tables and procedures; of connection 3 the second run has procedures, so its tables are gone.
+_ROW = 'connection_qn, "typeName", "qualifiedName"'
+RUN_DIFF = _diff(
+    f"""SELECT {_ROW}, CAST("rowCount" AS VARCHAR) AS a, description AS b FROM e_table WHERE "sourceCreatedAt" < {_DAY_MS}
+        UNION ALL SELECT {_ROW}, "subType", definition FROM e_procedure""",
+    f"""SELECT {_ROW}, CAST(CASE WHEN description = '2-HIGH' THEN "rowCount" + 1 ELSE "rowCount" END AS VARCHAR) AS a, description AS b
+        FROM e_table WHERE description <> '1-URGENT' AND connection_qn <> 'default/mysql/3'
+        UNION ALL SELECT {_ROW}, "subType", definition FROM e_procedure WHERE NOT ("subType" = 'FUNCTION' AND description = 'fr')""",
+    "e_table", "a", "b",
+)
+
 _WEAK = "CASE WHEN l_linenumber = 7 THEN 'NaN'::DOUBLE WHEN l_linenumber = 6 THEN 'Infinity'::DOUBLE " \
         "WHEN l_linenumber <> 5 THEN l_extendedprice END"
 
@@ -438,6 +449,10 @@ SQL = {
     "column_inventory": _with(KEPT, COLUMNS) + "SELECT * FROM columns",
     "column_inventory_without_temp": _with(kept_tables(temp="_TMP$"), COLUMNS)
     + "SELECT connection_qn, table_schema, table_name, column_name, table_type, constraint_type FROM columns",
+    "schema_order": _with(SCHEMAS) + """SELECT connection_qn, schema_name,
+        row_number() OVER (ORDER BY connection_qn, schema_name) AS position FROM schemas""",
+    "column_order": _with(KEPT, COLUMNS) + """SELECT connection_qn, table_schema, table_name, ordinal_position,
+        row_number() OVER (ORDER BY connection_qn, table_schema, table_name, ordinal_position) AS position FROM columns""",
     "routine_inventory": _with(ROUTINES) + "SELECT * FROM routines",
     "filter_include_exclude": _with(kept_tables(r"^def\.nation_1", r"^def\.NATION_12$"))
     + "SELECT connection_qn, table_schema, table_name, table_type FROM kept",
@@ -459,11 +474,22 @@ SQL = {
         FROM e_table WHERE "typeName" = 'View'""",
     "entity_column": _with(E_COLUMN) + "SELECT * FROM e_column",
     "entity_procedure": _with(E_PROCEDURE) + "SELECT * FROM e_procedure",
+    "entity_two_families": _with(E_TABLE) + """SELECT connection_qn, "typeName", "qualifiedName",
+        CASE connection_qn WHEN 'default/mysql/3' THEN 'main' ELSE "databaseName" END AS "databaseName", "schemaName",
+        CASE WHEN connection_qn <> 'default/mysql/3' THEN e.description WHEN table_comment IS NULL THEN 'NONE'
+          ELSE upper(e.description) END AS description,
+        CASE WHEN connection_qn = 'default/mysql/3' THEN s.table_collation END AS comparison,
+        CASE WHEN connection_qn <> 'default/mysql/3' THEN custom_engine ELSE COALESCE(lower(s.engine), '-') END AS engine
+        FROM e_table e JOIN (SELECT connection_qn, table_schema AS "schemaName", table_name AS name, engine, table_collation, table_comment
+          FROM src_tables) s USING (connection_qn, "schemaName", name)
+        WHERE connection_qn <> 'default/mysql/3' OR "schemaName" <> 'NATION_5'""",
     "entity_json": _with(_ALL_ENTITIES) + JSON_LINES,
     "jsonl_delivery": _with(_ALL_ENTITIES) + "\nUNION ALL ".join(
         f"SELECT '{stream}' AS stream, connection_qn AS connection_id, count(*) AS lines "
         f"FROM e_{stream} GROUP BY ALL" for stream in ("database", "schema", "table", "column", "procedure")
     ),
+    "delivery_manifest": _with(_ALL_ENTITIES) + f"""SELECT stream, count(*) AS lines, CAST(sum(strlen(value) + 1) AS BIGINT) AS bytes
+        FROM ({JSON_LINES}) GROUP BY stream""",
     "entity_json_fields": _with(_ALL_ENTITIES) + """
         SELECT 'database' AS stream, "typeName" AS type_name, "qualifiedName" AS qualified_name, NULL::VARCHAR AS detail FROM e_database
         UNION ALL SELECT 'schema', "typeName", "qualifiedName", CAST("tableCount" AS VARCHAR) FROM e_schema
@@ -520,6 +546,10 @@ SQL = {
     "changed_entities": _with(E_TABLE, TABLE_DIFF) + """SELECT new_s.* FROM new_s
         SEMI JOIN (SELECT * FROM diff WHERE change IN ('insert', 'update')) d
         USING (connection_qn, "typeName", "qualifiedName")""",
+    "incremental_run": _with(E_TABLE, E_PROCEDURE, RUN_DIFF) + "SELECT * FROM diff WHERE change <> 'unchanged'",
+    "incremental_entities": _with(E_TABLE, TABLE_DIFF) + """SELECT new_s.* FROM new_s
+        SEMI JOIN (SELECT * FROM diff WHERE change IN ('insert', 'update')) d
+        USING (connection_qn, "typeName", "qualifiedName")""",
     "scalar_epoch_ms": """SELECT o_orderkey, epoch_ms(o_orderdate) AS from_time,
         CASE WHEN o_orderpriority <> '5-LOW' THEN epoch_ms(o_orderdate) END AS from_text,
         CASE WHEN o_orderpriority <> '5-LOW' THEN epoch_ms(o_orderdate) END AS from_zoned_text,
@@ -535,6 +565,18 @@ SQL = {
         CASE WHEN l_linenumber = 5 THEN 0 ELSE l_linenumber END AS whole FROM lineitem""",
     "region_from_host": """SELECT s_suppkey, CASE WHEN s_nationkey % 4 = 0 THEN NULL WHEN s_nationkey % 4 = 1 THEN NULL
         WHEN s_nationkey % 4 = 2 THEN NULL ELSE 'zone-' || s_nationkey || '-a' END AS region FROM supplier""",
+    "error_causes": """WITH RECURSIVE err AS (SELECT event_id AS id,
+          CASE WHEN event_type = 'error' AND event_id % 5 = 0 THEN 2006 WHEN event_type = 'view' AND event_id % 40 = 0 THEN 1040
+            WHEN event_type = 'click' AND event_id % 45 = 0 THEN 1045 END AS number,
+          CASE WHEN event_id % 11 = 0 THEN event_id - 2 WHEN event_id % 97 <> 0 THEN event_id - 1
+            WHEN event_id % 970 = 0 THEN event_id + 9 END AS next FROM events),
+        walk AS (SELECT id, id AS here FROM err
+          UNION SELECT w.id, e.next FROM walk w JOIN err e ON e.id = w.here WHERE e.number IS NULL AND e.next IS NOT NULL),
+        found AS (SELECT w.id, CAST(max(e.number) AS BIGINT) AS errno FROM walk w LEFT JOIN err e ON e.id = w.here GROUP BY 1),
+        classes AS (SELECT id AS error_id, errno, CASE WHEN id % 61 = 0 THEN 'timeout'
+          WHEN errno IN (1040, 1203, 1226) THEN 'connection_limit' WHEN errno IN (1053, 2006, 2013) THEN 'server_restart'
+          ELSE 'definitive' END AS error_class FROM found)
+        SELECT *, error_class <> 'definitive' AS retryable FROM classes""",
     "error_class": """SELECT event_id, CASE WHEN event_type IN ('view', 'signup') THEN 'connection_limit'
         WHEN event_type = 'error' THEN 'server_restart' ELSE 'definitive' END AS error_class FROM events""",
     "settings_map": """SELECT user_id,
@@ -545,3 +587,12 @@ SQL = {
     "latest_settings": """SELECT user_id, CASE WHEN value >= 20 THEN 'extra' ELSE '' END AS section, event_type AS key,
         arg_max(props, event_id) AS value FROM events GROUP BY 1, 2, 3""",
 }
+# A stored catalog gives the rows of the one it was written from.
+_STORED = ("schema_inventory", "table_inventory", "partition_summary", "constraint_roles", "column_inventory", "routine_inventory", "entity_column")
+SQL |= {f"stored_{name}": SQL[name] for name in _STORED}
+# So do extracts from text.
+_TEXTS = {"database": "database_inventory", "schema": "schema_inventory", "table": "table_inventory", "column": "column_inventory", "procedure": "routine_inventory"}
+SQL |= {f"text_{name}": SQL[operator] for name, operator in _TEXTS.items()}
+SQL["text_with_rules"] = (
+    _with(kept_tables(r"^def\.nation_1", r"^def\.NATION_12$", temp="_TMP$")) + "SELECT connection_qn, table_schema, table_name, table_type FROM kept"
+)

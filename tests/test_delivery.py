@@ -1,6 +1,8 @@
 """JSON-lines delivery, completeness, run summary, and catalogs read back from storage."""
 
 import json
+import os
+import re
 
 import pytest
 from conftest import CONNECTION, SF_DIR
@@ -148,3 +150,79 @@ def test_jdbc_options():
     with pytest.raises(ValueError, match="host"):
         C.jdbc_options({**settings, "host": ""})
     assert C.schema_predicates(["a", "o'b"]) == ["TABLE_SCHEMA = 'a'", "TABLE_SCHEMA = 'o''b'"]
+
+
+# ---- a delivery as one commit -------------------------------------------------------------------------------
+
+
+def test_a_delivery_that_fails_leaves_the_last_one_whole(spark, delivered, tmp_path, monkeypatch):
+    catalog, _ = delivered
+    streams = dict(EntityStreams(catalog))
+    first = J.deliver(spark, streams, str(tmp_path))
+    write, written = J.write_stream, []
+
+    def failing(df, target):
+        if len(written) == after:
+            raise OSError("the disk is gone")
+        written.append(target)
+        return write(df, target)
+
+    monkeypatch.setattr(J, "write_stream", failing)
+    for after in range(len(streams)):
+        written.clear()
+        with pytest.raises(OSError, match="gone"):
+            J.deliver(spark, {**streams, "schema": streams["schema"].limit(3)}, str(tmp_path))
+        assert len(written) == after
+        assert J.current_delivery(spark, str(tmp_path)) == first
+    assert J.damaged_files(spark, first).isEmpty()
+    monkeypatch.setattr(J, "write_stream", write)
+    second = J.deliver(spark, {**streams, "procedure": streams["procedure"].limit(2)}, str(tmp_path))
+    assert J.current_delivery(spark, str(tmp_path)) == second != first and second.lines["procedure"] == 2
+    assert J.damaged_files(spark, first).isEmpty()
+
+
+def local(name):
+    """The path of a file as Spark names it; what is escaped in a directory's name stays so."""
+    return re.sub("^file:/+", "/", name).replace("%25", "%")
+
+
+def test_files_tell_what_was_done_to_them(spark, delivered, tmp_path):
+    catalog, _ = delivered
+    delivery = J.deliver(spark, EntityStreams(catalog), str(tmp_path))
+    files = {r.file: r for r in J.delivered_files(spark, delivery).collect()}
+    for name, row in files.items():
+        text = open(local(name)).read()
+        assert (row.lines, row.bytes) == (text.count("\n"), len(text.encode()))
+    by_stream = {}
+    for row in files.values():
+        by_stream.setdefault(row.stream, []).append(local(row.file))
+    changed, lost, copied = by_stream["table"][0], by_stream["schema"][0], by_stream["column"][0]
+    lines = open(changed).read().splitlines()
+    # The same number of bytes, and as many lines: the first two have changed places, one has another letter.
+    lines[0], lines[1], lines[2] = lines[1], lines[0], lines[2].replace("ACTIVE", "ACTIVF")
+    open(changed, "w").write("\n".join(lines) + "\n")
+    text = open(lost).read()
+    os.remove(lost)
+    # What a task that ran twice would leave.
+    open(copied.replace("part-", "part-9"), "w").write(open(copied).read())
+    for folder in {os.path.dirname(f) for f in (changed, lost, copied)}:
+        for name in os.listdir(folder):
+            if name.endswith(".crc"):
+                os.remove(f"{folder}/{name}")
+    found = {(r.stream, r.damage) for r in J.damaged_files(spark, delivery).collect()}
+    assert text and found == {("table", "changed"), ("schema", "lost"), ("column", "added")}
+
+
+def test_an_empty_delivery_is_not_published(spark, make_catalog, delivered, tmp_path):
+    catalog, _ = delivered
+    first = extract(spark, catalog, str(tmp_path))
+    assert extract(spark, make_catalog(connections=[]), str(tmp_path)).prefix == ""
+    assert J.current_delivery(spark, str(tmp_path)).prefix == first.prefix
+    assert J.current_delivery(spark, str(tmp_path / "none")) is None
+
+
+def test_only_the_table_stream_is_searched(spark, delivered):
+    _, delivery = delivered
+    plans = {name: J.landed_files(spark, f"{delivery.prefix}/{name}")._jdf.queryExecution().optimizedPlan().toString() for name in delivery.lines}
+    assert not any("get_json_object" in plan for plan in plans.values())
+    assert J.landed_lines(spark, f"{delivery.prefix}/table")[1] == {f"default/mysql/{n}" for n in (1, 2, 3)}

@@ -1,8 +1,11 @@
 """Edge rows of the extracts and filters, as literal relations."""
 
+import re
+
 import pytest
 from conftest import CONNECTION
 
+from lodestone.operators import filters as F_
 from lodestone.operators import inventory as I
 from lodestone.operators.constraints import constraint_roles
 from lodestone.operators.filters import (
@@ -99,6 +102,33 @@ def test_per_connection_rules(make_catalog, spark):
     ]
 
 
+def test_many_patterns_give_what_few_do(make_catalog, spark, monkeypatch):
+    """Patterns that the plan holds, and patterns that are tried once for each name."""
+    rules = {f"c{i}": (r"^def\.[a-m]" if i % 3 else None, r"\.b$", f"_{i % 7}$" if i % 2 else None) for i in range(30)}
+    rows = [{"connection_qn": f"c{i}", **table(f"t_{t}", schema=s)} for i in range(32) for s in ("a", "b", "z") for t in range(8)]
+    c = make_catalog(tables=rows)
+    for default in (None, "_0$"):
+        filters = CatalogFilter(per_connection=connection_rules(spark, rules), exclude_table=default)
+        expected = set()
+        for row in rows:
+            include, exclude, in_table = rules.get(row["connection_qn"], (None, None, None))
+            place, in_table = f"def.{row['table_schema']}", in_table or default
+            if re.search(include or "", place) and not (exclude and re.search(exclude, place)) and not (in_table and re.search(in_table, row["table_name"])):
+                expected.add((row["connection_qn"], row["table_schema"], row["table_name"]))
+        for most in (64, 2):
+            monkeypatch.setattr(F_, "LITERAL_PATTERNS", most)
+            kept = I.accessible_tables(c, filters)
+            assert sorted((r.connection_qn, r.table_schema, r.table_name) for r in kept.collect()) == sorted(expected)
+
+
+def test_no_row_of_the_source_meets_a_pattern_column(make_catalog, spark):
+    rows = [{"connection_qn": "c1", **table(f"t{i}")} for i in range(9)]
+    filters = CatalogFilter(per_connection=connection_rules(spark, {"c1": ("^def", "x$", "_tmp$"), "c2": (None, "^y", "_old$")}))
+    plan = I.accessible_tables(make_catalog(tables=rows), filters)._jdf.queryExecution().optimizedPlan().toString()
+    assert set(re.findall(r"RLIKE\((\w+)#\d+, concat", plan)) == {"schema_key"}
+    assert "(?iu)_tmp$" in plan and "(?iu)_old$" in plan
+
+
 def test_no_rules_at_all(make_catalog, spark):
     c = make_catalog(tables=[table("t")])
     assert I.accessible_tables(c, CatalogFilter(per_connection=connection_rules(spark, {}))).count() == 1

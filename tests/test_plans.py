@@ -42,15 +42,11 @@ def shuffled(conf):
     )
 
 
-def test_no_query_leaves_the_jvm_or_crosses_tables(spark):
+def test_no_query_leaves_the_jvm_crosses_tables_or_forces_a_broadcast(spark):
     for name, query in entry.catalog_queries().items():
-        text = plan(query(spark, SF_DIR))
-        assert not re.search("Python|Pandas|CartesianProduct|BroadcastNestedLoopJoin", text), name
-
-
-def test_no_hint_forces_a_broadcast(spark):
-    for name, query in entry.catalog_queries().items():
-        text = query(spark, SF_DIR)._jdf.queryExecution().logical().toString()
+        df = query(spark, SF_DIR)
+        assert not re.search("Python|Pandas|CartesianProduct|BroadcastNestedLoopJoin", plan(df)), name
+        text = df._jdf.queryExecution().logical().toString()
         assert "ResolvedHint" not in text and "UnresolvedHint" not in text, name
 
 
@@ -73,9 +69,9 @@ def test_constraint_relations_are_scanned_once(stored, shuffled):
     assert len(re.findall(r"FileScan parquet", text)) == 4
 
 
-def test_column_rows_are_shuffled_twice_and_key_relations_stay_narrow(stored, shuffled):
+def test_column_rows_are_shuffled_once_and_key_relations_stay_narrow(stored, shuffled):
     left = plan(I.column_inventory(stored)).split("FileScan parquet")[0]
-    assert left.count("Exchange hashpartitioning") == 2 and left.count("SortMergeJoin") == 2
+    assert left.count("Exchange hashpartitioning") == 1 and left.count("SortMergeJoin") == 2
 
 
 def test_table_rows_are_shuffled_once(stored, shuffled):

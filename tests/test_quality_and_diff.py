@@ -50,6 +50,26 @@ def test_sibling_with_a_common_prefix_is_not_below(frame, streams):
     assert {r.violation for r in rows} == {"not_below_parent"}
 
 
+def test_names_of_equal_numbers_are_told_apart(streams):
+    """With forged numbers, every parent collides with every other; the names decide."""
+    every = list(streams.values())
+    kept = [df.where("attributes.name <> 't'") if "customAttributes" in df.columns else df for df in every]
+    expected = sorted(map(tuple, Q.hierarchy_violations(every, kept[:-1]).collect()))
+    assert {(r[0], r[3]) for r in expected} == {("Column", "parent_missing"), ("Database", "parent_missing")}
+    for forged in (lambda c: (F.lit(1).cast("bigint"),) * 2, lambda c: (F.length(c).cast("bigint"), F.lit(0).cast("bigint"))):
+        assert sorted(map(tuple, Q.hierarchy_violations(every, kept[:-1], forged).collect())) == expected
+
+
+def test_parents_are_joined_by_number(streams, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
+    every = list(streams.values())
+    df = Q.hierarchy_violations(every[1:], every[:-1])
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    join = next(line for line in plan.splitlines() if "LeftAnti" in line)
+    keys = join[join.index("[") : join.index("LeftAnti")]
+    assert "p1" in keys and "k1" in keys and "known" not in keys and "Name" not in keys
+
+
 def test_floors(spark, streams):
     got = {r.typeName: (r.n, r.ok) for r in Q.count_floors(spark, list(streams.values()), {"Table": 2, "View": 2, "Job": 1}).collect()}
     assert got == {"Table": (2, True), "View": (1, False), "Job": (0, False)}

@@ -115,3 +115,27 @@ def test_region(frame, host, region):
 )
 def test_error_class(frame, errno, expected):
     assert one(frame, "int", errno, lambda df: error_class(F.col("x"))) == expected
+
+
+DAYS = ("20180504", "4 May 2018", "14 Sep 2018", "4 September 2018", "04 Sept 2018", "May 4, 2018", "Sep 04, 2018", "September 4, 2018", "JUNE 4, 2018",
+        "5/4/2018", "05/04/2018", "13/4/2018", "2018/5/4", "2018/05/04", "12018/5/4", "201/5/4", "2018", "2018-05", "2018-5-4", "+2018-05-04", "12345",
+        "123456789", "0020180504", "Mai 4, 2018", "4 5 2018", "4. May 2018", "day", "")
+CLOCKS = ("", " 06:30", " 06:30:15", " 6:30", "T06:30:15", " 06:30:15.25", " 25:00", " 06:30:15Z", " 06:30:15+02:00", " 06:30 UTC", "\t06:30", ":")
+
+
+def test_each_text_is_parsed_as_the_first_form_that_fits(frame):
+    """One parse a text, chosen by how it begins, gives what trying every form gives."""
+    texts = [f"{space}{day}{clock}{space}" for day in DAYS for clock in CLOCKS for space in ("", " ")]
+    c = F.col("x")
+    every = [
+        F.unix_micros(F.try_to_timestamp(F.concat(F.trim(c), F.lit(" +00:00")), F.lit(f"{date}{time} XXX")))
+        for date in ("yyyyMMdd", "d MMM yyyy", "d MMMM yyyy", "MMM d, yyyy", "MMMM d, yyyy", "M/d/yyyy", "yyyy/M/d")
+        for time in ("", " HH:mm", " HH:mm:ss")
+    ]
+    zoned = F.when(F.rlike(c, F.lit(V.ZONED)), F.unix_micros(c.try_cast("timestamp")))
+    standard = F.when(~F.rlike(c, F.lit(r"^\s*\d{5,}\s*$")), V._naive_micros(c.try_cast("timestamp_ntz")))
+    tried = F.call_function("div", F.coalesce(zoned, standard, *every), F.lit(1000))
+    df = frame("x string", *((t,) for t in texts))
+    rows = df.select("x", V.epoch_ms(df, "x").alias("found"), tried.alias("tried")).collect()
+    assert {r.x: r.found for r in rows} == {r.x: r.tried for r in rows}
+    assert sum(r.found is not None for r in rows) > 100
