@@ -60,8 +60,8 @@ def _spell_word(text: str) -> str | None:
 class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit numbers, the same as of one `encode` call on each text.
 
-    Special tokens' strings in a text are ordinary text, and none are added. Ids are kept for the latest pieces, bounded
-    in number and length.
+    A special token's string in a text gives that token's id, as the tokenizer has it; none are added. Texts with such a string are
+    encoded whole. Ids are kept for the latest pieces, bounded in number and length.
     """
 
     def __init__(self, path: str) -> None:
@@ -69,14 +69,17 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
+        added = self._tokenizer.get_added_tokens_decoder().values()
+        self._special = re.compile("|".join(re.escape(token.content) for token in added)) if added else None
         with open(path, encoding="utf-8") as file:
             model = json.load(file)
         kinds = json.dumps([model.get("normalizer"), model.get("pre_tokenizer")])
         byte_level = (model.get("pre_tokenizer") or {}).get("type") == "ByteLevel" and model.get("normalizer") is None
         word_level = "Lowercase" in kinds and "Prepend" not in kinds and "Metaspace" not in kinds
         prefixed = '"add_prefix_space": true' in kinds
-        self._cuts, self._led = (byte_level or word_level) and not prefixed, byte_level
+        # A special token that is looked for after normalising could stand in any text.
+        plain = not any(token.normalized for token in added)
+        self._cuts, self._led = (byte_level or word_level) and not prefixed and plain, byte_level
         self._break = LED_BREAK if byte_level else WORD_BREAK
         found = self._tokenizer.encode(self._break, add_special_tokens=False).ids
         self._break_id = found[0] if len(found) == 1 else None
@@ -165,13 +168,18 @@ class Encoder:
     def batch(self, texts: list[str]) -> list[bytes]:
         if not self._cuts:
             return self._encode(texts)
+        whole = [i for i, t in enumerate(texts) if self._special and self._special.search(t)]
+        if whole:
+            of_whole = dict(zip(whole, self._encode([texts[i] for i in whole]), strict=True))
+            others = iter(self.batch([t for i, t in enumerate(texts) if i not in of_whole]))
+            return [of_whole[i] if i in of_whole else next(others) for i in range(len(texts))]
         split = [self._pieces(t) for t in texts]
         if len(self._ids) > KEPT_PIECES:
             self._ids, self._older = {}, self._ids
         known, older = self._ids, self._older
         new = set().union(*split) - known.keys()
-        # A word with a mark after it has the ids of the word and of the mark.
-        marked = [n for n in new if n[-1:] in MARKS and n[:-1].lstrip("\n").isalpha()]
+        # A word with a mark after it has the ids of the word and of the mark, if in lower case it is all letters too.
+        marked = [n for n in new if n[-1:] in MARKS and n[:-1].lstrip("\n").lower().isalpha()]
         new.difference_update(marked)
         new.update(stem for n in marked if (stem := n[:-1]) not in known)
         seen = new & older.keys()

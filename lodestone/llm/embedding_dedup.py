@@ -100,6 +100,15 @@ def usable(vector: str) -> Column:
     return F.coalesce(F.col(vector).isNotNull() & fine & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
+def in_range(vector: str) -> Column:
+    """The vector in double precision; where squares of its components would leave the range of doubles, times a power of two, which
+    changes no digit of a cosine."""
+    doubles = F.transform(vector, lambda x: x.cast("double"))
+    largest = F.array_max(F.transform(doubles, F.abs))
+    scale = F.pow(F.lit(2.0), F.floor(F.log2(largest)).cast("double"))
+    return F.when(largest.between(1e-100, 1e100), doubles).otherwise(F.transform(doubles, lambda x: x / scale))
+
+
 def cosine(a: str, b: str) -> Column:
     def dot(x: str, y: str) -> Column:
         products = F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double"))
@@ -118,7 +127,7 @@ def close_vectors(classes: DataFrame, scratch: Scratch, least: float = COSINE) -
     meet = (F.col("key") == F.col("probe")) & (F.col("a") != F.col("b")) & (different <= SKETCH_DIFFERENT)
     pairs = base.join(probing, meet).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     for side in ("a", "b"):
-        own = classes.select(F.col("class_no").alias(side), F.col("label").alias(f"{side}_label"), F.col("embedding").alias(f"{side}_vector"))
+        own = classes.select(F.col("class_no").alias(side), F.col("label").alias(f"{side}_label"), in_range("embedding").alias(f"{side}_vector"))
         pairs = pairs.join(own, side)
     same = (F.col("a_label") == F.col("b_label")) & (F.size("a_vector") == F.size("b_vector"))
     return pairs.where(same).where(cosine("a_vector", "b_vector") >= least).select("a", "b")

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from lodestone.llm.scratch import Scratch, documents, ship
 
-# Rows of each language to learn from, at most, chosen by a hash of the id; and languages, by rows.
-TRAIN_ROWS, MOST_LANGUAGES = 2_000, 200
+# Rows of each language to learn from, on average at most, chosen by a hash of the id.
+TRAIN_ROWS = 2_000
 BUCKETS = 1 << 15
 SMOOTHING = 0.5
 ROUNDS = 25
@@ -113,9 +113,10 @@ def _em(likely: np.ndarray, counts: np.ndarray, total: float) -> tuple[np.ndarra
 
 
 def learn_model(docs: DataFrame, scratch: Scratch, learn: Column | None = None) -> Model:
-    """Smoothed n-gram frequencies of each language, from a bounded sample of rows with lang that `learn` allows."""
+    """Smoothed n-gram frequencies of each language, from a bounded sample of rows with lang that `learn` allows. The model has 128 KB
+    a language, and the driver gets one row of each."""
     rows = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & (F.lit(True) if learn is None else learn))
-    known = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()
+    known = rows.groupBy("lang").agg(F.count("*").alias("n")).collect()
     languages = sorted(r["lang"] for r in known)
     if not languages:
         return Model([], np.zeros((BUCKETS, 0)))
@@ -139,8 +140,10 @@ def learn_model(docs: DataFrame, scratch: Scratch, learn: Column | None = None)
     grams = sample.mapInArrow(counted, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     counts = np.zeros((BUCKETS, len(languages)))
     place_of = {lang: i for i, lang in enumerate(languages)}
-    for lang, bucket, n in scratch.save(grams, "grams").collect():
-        counts[bucket, place_of[lang]] = n
+    # At most BUCKETS pairs a language.
+    by_language = scratch.save(grams, "grams").groupBy("lang").agg(F.collect_list("bucket").alias("buckets"), F.collect_list("n").alias("ns"))
+    for row in by_language.toLocalIterator():
+        counts[row["buckets"], place_of[row["lang"]]] = row["ns"]
     counts += SMOOTHING
     return Model(languages, np.log(counts / counts.sum(axis=0)).astype(np.float32))
 

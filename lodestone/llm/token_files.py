@@ -122,7 +122,7 @@ def write_tokens(docs: DataFrame, scratch: Scratch, tokenizer: str, file_tokens:
     of the text); returns the written files: file_no, path, n_docs, n_tokens, start.
 
     Documents are dealt by ranges of that order; a task writes the files of its range, one after another, each under a
-    name of the attempt's own that is changed to the final one when complete. A task that runs twice writes the same files.
+    name of the attempt's own. Only the attempt that counts returns its names, so what a lost or repeated one wrote is never read.
     Null texts are empty: a document of the end id alone. No rows give no files. Repeated rows are documents of their own.
     """
     folder = f"{scratch.folder}/tokens"
@@ -137,12 +137,10 @@ def write_tokens(docs: DataFrame, scratch: Scratch, tokenizer: str, file_tokens:
 
         def flush() -> pa.RecordBatch:
             nonlocal held, tokens, files
-            name = f"{base}/part-{task.partitionId():06d}-{files:05d}.dac"
+            name = f"{base}/part-{task.partitionId():06d}-{files:05d}-{task.taskAttemptId()}.dac"
             data = encode(np.frombuffer(b"".join(i for _, i in held), "<u4"), [d for d, _ in held], [len(i) // 4 for _, i in held])
-            own = f"{name}.{task.taskAttemptId()}"
-            with store.open_output_stream(own) as out:
+            with store.open_output_stream(name) as out:
                 out.write(data)
-            store.move(own, name)
             row = [task.partitionId() << 20 | files, name, len(held), tokens]
             held, tokens, files = [], 0, files + 1
             return pa.record_batch([pa.array([v]) for v in row], ["file_no", "path", "n_docs", "n_tokens"])

@@ -17,7 +17,6 @@ from lodestone.llm.scratch import Scratch, documents, ship
 
 # The labelled rows to learn from: at most so many of each label, chosen by a hash of the id. Every fifth calibrates.
 TOXIC_ROWS, CLEAN_ROWS, CALIBRATE = 8_000, 32_000, 5
-MOST_TERMS = 20_000
 SHORTEST_MISSPELT, MISSPELT_WEIGHT = 5, 0.5
 WINDOW = 12
 WORD = re.compile(r"[^\W_]+")
@@ -101,6 +100,7 @@ class Matcher:
             half = len(term) // 2
             self.heads.setdefault(half, set()).add(term[:half])
             self.tails.setdefault(len(term) - half, set()).add(term[half:])
+        self._longest = max(map(len, long), default=0)
         self._found: dict[str, float] = {}
         self._none: set[str] = set()
 
@@ -108,7 +108,8 @@ class Matcher:
         return Matcher, (self.weights, self.ordinary)
 
     def misspells(self, word: str) -> list[tuple[str, int]]:
-        if len(word) < SHORTEST_MISSPELT - 1 or not (
+        # A word that is longer than every term by more than the one edit is near none.
+        if not SHORTEST_MISSPELT - 1 <= len(word) <= self._longest + 1 or not (
             any(word[:n] in heads for n, heads in self.heads.items())
             or any(word[-n:] in tails for n, tails in self.tails.items())
         ):
@@ -226,17 +227,17 @@ def learn_model(docs: DataFrame, labels: DataFrame, scratch: Scratch, learn: Col
     least = math.log(max(counts.count(), 1)) + 1
     surprise = _surprise(F.col("toxic"), F.col("clean"), base)
     candidates = counts.withColumn("surprise", surprise).where((F.col("toxic") >= 3) & (F.col("surprise") > least))
-    best = candidates.orderBy(F.desc("surprise"), "word").limit(MOST_TERMS)
-    weights = _terms(learned, best, least, toxic, clean, base)
+    # The sample bounds these: a significant word stands in three of its toxic rows at least.
+    weights = _terms(learned, candidates, least, toxic, clean, base)
     matcher = Matcher(weights)
     ordinary = counts.where("clean > 0").select("word").mapInArrow(_resembling(matcher), "word string").collect()
     matcher = Matcher(weights, frozenset(r["word"] for r in ordinary) - weights.keys())
     return Model(matcher, *_calibrated(rows.where("calibrate"), matcher, base))
 
 
-def _terms(learned: DataFrame, best: DataFrame, least: float, toxic: int, clean: int, base: float) -> dict[str, float]:
+def _terms(learned: DataFrame, candidates: DataFrame, least: float, toxic: int, clean: int, base: float) -> dict[str, float]:
     """The candidates that hold when toxic rows count by neighbours, with their log odds, 1 for the clearest possible."""
-    found = {r["word"]: (r["toxic"], r["clean"]) for r in best.collect()}
+    found = {r["word"]: (r["toxic"], r["clean"]) for r in candidates.collect()}
 
     def neighbours(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:

@@ -267,3 +267,14 @@ def test_recall_on_the_given_vectors(spark):
     links = plain_links(rows)
     found = {r.vec_id: r.n_links for r in QUERIES["op8_embedding"](spark, SF_DIR).collect()}
     assert sum(found.values()) >= 0.99 * sum(map(len, links.values())) and len(found) == len(rows)
+
+
+def test_doubles_of_any_size_link_as_their_directions_do(spark, scratch):
+    """Squares of these leave the range of doubles at either end; the angles are those of plain vectors."""
+    rows = [
+        (1, [1e-200, 1e-200, 0.0], 1), (2, [2e-200, 1.9e-200, 0.0], 1), (3, [1e200, 1e200, 0.0], 1), (4, [1e300, -1e300, 0.0], 1), (5, [3.0, 3.0, 0.0], 1),
+        (6, [5e-324, 5e-324, 0.0], 1), (7, [0.0, 0.0, 1e308], 1), (8, [0.0, 1e-320, 1e308], 1), (9, [1e-160, 0.0, 0.0], 2), (10, [1e160, 1e159, 0.0], 2),
+    ]
+    found = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), scratch).collect()}
+    alike = {1, 2, 3, 5, 6}
+    assert found == {**{i: (4, 1) for i in alike}, 4: (0, 4), 7: (1, 7), 8: (1, 7), 9: (1, 9), 10: (1, 9)}

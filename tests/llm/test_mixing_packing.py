@@ -111,14 +111,14 @@ def test_keep_mix_repeats_leaves_out_and_cuts(spark, scratch):
 def both(kind):
     path = public_tokenizers.path(FILES[kind])
     plain = Tokenizer.from_file(path)
-    plain.encode_special_tokens = True
     return plain, Encoder(path)
 
 
 ODD_TEXTS = [
     "", " ", "  ", "a  b", "a   b c", " a", "a ", "a \n b", "x\n\n y", "x\ny", "it's  \t tab", "don't we'll 'S", "a,b,", ",", "a..",
     "é́ ́a", "ΑΣ ΣΑΣ", "<|endoftext|> hi", "a b c　d e", "123 45", "日本語 テキスト", "\x00 a \x1c b", "a\r\n b", "İstanbul I ı ẞ", "\x01 x",
-    "<|startoftext|>a</w>", "w" * 500 + " " + "v" * 65,
+    "<|startoftext|>a</w>", "w" * 500 + " " + "v" * 65, "SABRİ, geldi", "BÜYÜKELÇİLİĞİ. Son.", "İ,", "a <|endoftext|>\n\nb <|end oftext|>",
+    "x<|endoftext|><|startoftext|>.", "<|ENDOFTEXT|>", " <|endoftext|> ", "\u212bB, \ufb01. ΟΔΟΣ, ẞ.",
 ]
 
 
@@ -141,6 +141,19 @@ def test_encoder_on_any_text(kind, texts):
     assert [np.frombuffer(i, "<u4").tolist() for i in own.batch(texts)] == expected
 
 
+LETTERS = st.characters(categories=("Lu", "Ll", "Lt", "Lm", "Lo", "Mn", "Mc"))
+PARTS = st.one_of(st.text(LETTERS, min_size=1, max_size=6), st.sampled_from([",", ".", " ", "\n", "<|endoftext|>", "<|startoftext|>", "<|", "İ", "Σ", "1"]))
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(PARTS, max_size=12).map("".join), max_size=40))
+@pytest.mark.parametrize("kind", FILES)
+def test_encoder_on_all_letters_marks_and_special_strings(kind, texts):
+    plain, own = both(kind)
+    expected = [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(i, "<u4").tolist() for i in own.batch(texts)] == expected
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 200), max_size=80), st.integers(1, 20))
 def test_packer_places_every_id_once(lengths, open_windows):

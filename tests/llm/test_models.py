@@ -1,17 +1,21 @@
 """Language mixtures and toxicity: held-out accuracy, and the parts against plain Python."""
 
 import itertools
+import math
 import random
+import re
+import time
 import zlib
 
 import numpy as np
 import pytest
 from llm_cases import SF_DIR, no_docs, odd_docs, real_docs
+from pyspark.sql import functions as F
 
 from lodestone.llm import langid
 from lodestone.llm.queries import QUERIES
 from lodestone.llm.scratch import Scratch
-from lodestone.llm.toxicity import Matcher, Model, amount, build_trie, close_terms, keep_clean, learn_model, toxicity_scores
+from lodestone.llm.toxicity import ADDRESSING, REPORTING, Matcher, Model, amount, build_trie, close_terms, keep_clean, learn_model, toxicity_scores
 
 
 @pytest.fixture
@@ -136,3 +140,102 @@ def test_codes_see_letters_of_any_script_and_nothing_else():
     assert len(langid.codes("12 3 !? \n")) == 0 and len(langid.codes("")) == 0
     assert langid.codes("a1b").tolist() == langid.codes("A..B").tolist() == langid.codes("a b").tolist()
     assert len(langid.codes("日本")) and len(langid.codes("é")) and SF_DIR
+
+
+def likelihood(model, text, shares):
+    grams = langid.codes(text)
+    return float(np.log(np.exp(model.logs[grams].astype(float)) @ shares).sum())
+
+
+def test_mixture_is_the_best_of_a_grid_over_sets_and_proportions(spark, scratch):
+    """The penalised likelihood of what is found, against every set of the four languages and proportions in steps of a twentieth."""
+    docs = real_docs(spark)
+    model = langid.learn_model(docs, scratch)
+    rng = random.Random(4)
+    rows = docs.where("lang is not null and text is not null").select("lang", "text").collect()
+    size = len(model.languages)
+    grid = [np.array(p) / 20 for p in itertools.product(range(21), repeat=size) if sum(p) == 20]
+    shorter = 0
+    for _ in range(25):
+        one, other = rng.choice(rows).text, rng.choice(rows).text
+        text = one[: rng.choice([30, 120, 400])] + " " + other[: rng.choice([0, 60, 200])]
+        if not len(langid.codes(text)):
+            continue
+        penalty = 0.5 * np.log(len(langid.codes(text)) + 1)
+        logs = np.exp(model.logs[langid.codes(text)].astype(float))
+        best = max(float(np.log(logs @ p + 1e-300).sum()) - penalty * np.count_nonzero(p) for p in grid)
+        found = model.mixture(text)
+        value = likelihood(model, text, found) - penalty * np.count_nonzero(found)
+        # Dropping one language after another may end beside the best set; never by as much as one language costs.
+        assert value > best - 0.5 * penalty, text
+        shorter += value < best - 0.05
+        name, score = model.predict(text)
+        assert name == model.languages[int(found.argmax())] and score == pytest.approx(found.max())
+    assert shorter <= 2
+
+
+def test_any_number_of_languages_is_learned(spark, scratch):
+    """Beyond two hundred languages, each with letters of its own."""
+    names = [f"l{i:03d}" for i in range(230)]
+    word = {n: "".join(chr(97 + (i // 26**k) % 26) for k in range(2)) * 3 for i, n in enumerate(names)}
+    rows = [(i, " ".join([word[n]] * 20), n) for i, n in enumerate(names)]
+    found = langid.languages(spark.createDataFrame(rows, "doc_id long, text string, lang string"), scratch).collect()
+    assert [r.lang_pred for r in sorted(found, key=lambda r: r.doc_id)] == names
+
+
+def plain_amount(text, weights, ordinary):
+    """What a text's terms add up to, by comparing each word with each term."""
+    text = text.lower()
+    words = [(m.group(), m.start(), m.end()) for m in re.finditer(r"[^\W_]+", text)]
+
+    def weight(word):
+        if word in weights or word in ordinary:
+            return weights.get(word, 0)
+        close = [w for t, w in weights.items() if len(t) >= 5 and edits(word, t) <= 1]
+        return 0.5 * max(close) if close else 0
+
+    worth = [weight(w) for w, _, _ in words]
+    total = 0.0
+    for i, (_, start, end) in enumerate(words):
+        if not worth[i]:
+            continue
+        near = range(max(0, i - 12), min(len(words), i + 13))
+        left, right = text[max(0, start - 60) : start], text[end : end + 60]
+        quoted = any(
+            b in right and (left.count(a) % 2 if a == b else left.rfind(a) > left.rfind(b)) for a, b in (('"', '"'), ("“", "”"), ("„", "“"), ("«", "»"), ("‘", "’"))
+        )
+        around = {words[j][0] for j in near if j != i}
+        value = 1 - 0.5 * quoted - 0.2 * bool(around & REPORTING) + 0.2 * bool(around & ADDRESSING) + 0.1 * min(3, sum(worth[j] > 0 for j in near) - 1)
+        total += worth[i] * min(max(value, 0.2), 1.5)
+    return total
+
+
+def test_whole_scores_against_comparing_every_word_with_every_term(spark, scratch):
+    """Of documents with toxic labels and others, their words partly misspelt and quoted."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    model = learn_model(docs, labels, scratch)
+    weights, ordinary = model.matcher.weights, model.matcher.ordinary
+    assert weights
+    rng = random.Random(6)
+    texts = [r.text for r in docs.join(labels, "doc_id").orderBy(F.desc("toxic"), "doc_id").limit(12).collect()]
+    terms = sorted(weights)
+    for _ in range(25):
+        words = rng.choices(["you", "said", "der", "x1", "Ding"], k=25)
+        for _ in range(4):
+            term = rng.choice(terms)
+            at = rng.randrange(len(term))
+            words.insert(rng.randrange(len(words)), rng.choice([term, term.upper(), term[:at] + term[at + 1 :], term[:at] + "q" + term[at:], f'"{term}"', f"«{term}»"]))
+        texts.append(" ".join(words))
+    for text in texts:
+        found = plain_amount(text[:4000], weights, ordinary)
+        assert amount(text[:4000], model.matcher) == pytest.approx(found, rel=1e-9)
+        expected = 1 / (1 + math.exp(-max(-30, min(30, model.slope * math.log1p(found) + model.bias))))
+        assert model.score(text[:4000]) == pytest.approx(expected, rel=1e-9)
+
+
+def test_a_very_long_word_costs_no_time():
+    matcher = Matcher({"worthless": 1.0, "scoundrel": 1.0})
+    start = time.perf_counter()
+    assert amount("wort" + "h" * 300_000 + " worthles", matcher) > 0
+    assert time.perf_counter() - start < 0.5
