@@ -15,6 +15,8 @@ from lodestone.sinks.commits import CommitLog
 
 # Rows of a leaf of the tree and of a file, about; both numbers are kept as powers of two of parts.
 LEAF_ROWS, SHARD_ROWS = 16_384, 262_144
+# So many shards are named in a filter.
+LISTED_SHARDS = 10_000
 GROUP = ("connection_qn", "typeName")
 KEYS = "connection_qn string, typeName string, qualifiedName string, h1 long, h2 long, spread int, bucket int, shard int"
 
@@ -46,7 +48,7 @@ class SnapshotStore:
     A version has one row for each entity and content (`keys`): connection, type, qualified name, two hashes. A connection's
     entities of a type are dealt by name over `spread` leaves, a power of two, so that a leaf of a smaller spread is the union of
     some of a larger one, and its digest their exclusive or; that is what makes the leaves a tree although only they are stored. Leaves are
-    dealt over shards, each a directory, so that Spark prunes the directories without a changed leaf at run time.
+    dealt over shards, each a directory, so that directories without a changed leaf are not read.
 
     A version is written aside and becomes the current one by a single rename at the end; a run that stops earlier changes nothing
     for readers, and its folder is never looked at again. Two runs at a time: the second to finish fails.
@@ -88,10 +90,18 @@ class SnapshotStore:
         return nodes.groupBy(*GROUP, "common", "node").agg(*sums).where(~same).select(*GROUP, "common", "node")
 
     def _rows_below(self, version: Version, nodes: DataFrame) -> DataFrame:
-        """The key rows below the nodes. Only the shards that hold some of their leaves are read."""
+        """The key rows below the nodes."""
         leaves = self.tree(version).join(nodes, list(GROUP)).where(F.col("bucket") % F.col("common") == F.col("node"))
-        wanted = leaves.where("entities > 0").select(*GROUP, "shard", "bucket").distinct()
-        return self.keys(version).join(wanted, [*GROUP, "shard", "bucket"], "left_semi")
+        return self._rows_of(version, leaves)
+
+    def _rows_of(self, version: Version, leaves: DataFrame) -> DataFrame:
+        """The key rows of some leaves. Shards that hold one are named in the filter, so no file of others is opened; where very many
+        are, there is little to leave out, and all are read."""
+        shards = [row["shard"] for row in leaves.select("shard").distinct().limit(LISTED_SHARDS + 1).collect()]
+        rows = self.keys(version)
+        if len(shards) <= LISTED_SHARDS:
+            rows = rows.where(F.col("shard").isin(shards))
+        return rows.join(leaves.select(*GROUP, "shard", "bucket"), [*GROUP, "shard", "bucket"], "left_semi")
 
     def changes_between(self, old: Version, new: Version, nodes: DataFrame) -> DataFrame:
         """The changed entities below the nodes, as the diff of the two whole snapshots has them."""
@@ -133,10 +143,9 @@ class SnapshotStore:
             kept = self.tree(before).join(connections, "connection_qn", "left_anti")
             kept = self._save(kept, f"{folder}/kept")
             total += kept.agg(F.coalesce(F.sum("entities"), F.lit(0))).first()[0]
-            wanted = kept.where("entities > 0").select(*GROUP, "shard", "bucket")
-            rows = rows.unionByName(self.keys(before).join(wanted, [*GROUP, "shard", "bucket"], "left_semi").select(*rows.columns))
+            rows = rows.unionByName(self._rows_of(before, kept).select(*rows.columns))
             spreads = spreads.unionByName(kept.select(*GROUP, "spread").distinct())
-        shards = 1 << max(0, ((total or 0) // self._shard_rows)).bit_length()
+        shards = 1 << ((total or 0) // self._shard_rows).bit_length()
         placed = self._placed(rows, spreads, shards).repartition("shard").select(*(c.split()[0] for c in KEYS.split(", ")))
         placed.write.partitionBy("shard").parquet(f"{folder}/keys")
         version = Version(number, folder)
