@@ -20,6 +20,9 @@ BITS = 64
 BROADCAST_ROWS = 250_000
 # Rows of two numbers that a task may hash, some 60 MB.
 HASHED_ROWS = 1_000_000
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+DIGITS = "123456789"
+SPACES, MARKS = "\t\r\x0b\x0c", ".,;:!?\"'()[]{}<>|*_#"
 # A line of so many characters has fewer words than a lane of 16 bits can count.
 LANE = 16
 LONG_CHARS = 1 << LANE
@@ -33,10 +36,15 @@ def _repeated(pattern: int, every: int) -> int:
     return sum(pattern << at for at in range(0, BITS, every))
 
 
+def plain(text: Column) -> Column:
+    """Lines as they are compared, but for spaces at their ends: A-Z in lower case, digits all alike, white space as spaces, common
+    marks left out."""
+    zeros, gaps = "0" * len(DIGITS), " " * len(SPACES)
+    return F.translate(text, UPPER + DIGITS + SPACES + MARKS, LOWER + zeros + gaps)
+
+
 def normal(line: Column) -> Column:
-    """The line as it is compared: in lower case, tabs and carriage returns as spaces, none at the ends."""
-    plain = F.replace(F.replace(F.lower(line), F.lit("\t"), F.lit(" ")), F.lit("\r"), F.lit(" "))
-    return F.trim(plain)
+    return F.trim(plain(line))
 
 
 def majority(total: Callable[[int], Column], count: Column, width: int) -> Column:
@@ -82,8 +90,8 @@ def line_rows(docs: DataFrame) -> DataFrame:
     about = ("row", "doc_id", "text_hash", "line_no", "key", "key2", "chars")
 
     def lines_of(some: DataFrame) -> DataFrame:
-        rows = some.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-        rows = rows.select("doc_id", "text_hash", "line_no", normal(F.col("line")).alias("line")).where(F.col("line") != "")
+        rows = some.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split(plain(F.col("text")), "\n")).alias("line_no", "line"))
+        rows = rows.select("doc_id", "text_hash", "line_no", F.trim("line").alias("line")).where(F.col("line") != "")
         return rows.select(
             F.monotonically_increasing_id().alias("row"),
             "doc_id",

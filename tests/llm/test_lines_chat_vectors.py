@@ -26,8 +26,13 @@ def scratch(spark):
 
 # ---- lines --------------------------------------------------------------------------------------------------
 
+CHARACTERS = str.maketrans(
+    "ABCDEFGHIJKLMNOPQRSTUVWXYZ" + "123456789" + "\t\r\x0b\x0c", "abcdefghijklmnopqrstuvwxyz" + "0" * 9 + " " * 4, ".,;:!?\"'()[]{}<>|*_#"
+)
+
+
 def normal(line):
-    return line.lower().replace("\t", " ").replace("\r", " ").strip(" ")
+    return line.translate(CHARACTERS).strip(" ")
 
 
 def plain_print(line):
@@ -278,3 +283,15 @@ def test_doubles_of_any_size_link_as_their_directions_do(spark, scratch):
     found = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), scratch).collect()}
     alike = {1, 2, 3, 5, 6}
     assert found == {**{i: (4, 1) for i in alike}, 4: (0, 4), 7: (1, 7), 8: (1, 7), 9: (1, 9), 10: (1, 9)}
+
+
+def test_lines_that_differ_in_digits_marks_case_or_white_space_are_one(spark, scratch):
+    pairs = [
+        ("Copyright 2023 Example Press. All rights reserved.", "Copyright 2024 Example Press. All rights reserved."),
+        ("Please contact the editor: (see below)!", "please CONTACT the editor see below"),
+        ("Page 12 of 40", "Page 13 of 40"),
+        ("A line\x0bwith\x0cold\tspaces\r", "a line with old spaces"),
+    ]
+    docs = [(2 * i + k, line) for i, pair in enumerate(pairs) for k, line in enumerate(pair)]
+    found = without_repeated_lines(spark.createDataFrame(docs, "doc_id long, text string"), scratch).collect()
+    assert {r.doc_id: r.text for r in found} == {i: line if i % 2 == 0 else "" for i, line in docs}
