@@ -139,6 +139,23 @@ class Encoder:
 
     def _new_ids(self, names: list[str]) -> dict[str, bytes]:
         """The ids of pieces that are not kept."""
+        found, others = self._ascii_words(names) if self._spell else ({}, names)
+        found.update(self._other_ids(others))
+        return found
+
+    def _ascii_words(self, names: list[str]) -> tuple[dict[str, bytes], list[str]]:
+        """The ids of the names that are ASCII words, whose spelling needs no table, and the other names."""
+        tokenize, pack, space = self._model.tokenize, PACK, BYTE_LETTERS[0x20]
+        found, others = {}, []
+        for n in names:
+            if n.isascii() and n.isalpha() and len(n) <= LONGEST_KEPT:
+                ids = [token.id for token in tokenize(space + n if self._led else n.lower())]
+                found[n] = pack[len(ids)](*ids)
+            else:
+                others.append(n)
+        return found, others
+
+    def _other_ids(self, names: list[str]) -> dict[str, bytes]:
         texts, after_line = {n: n for n in names}, set()
         if self._led:
             for n in names:
