@@ -170,6 +170,14 @@ def _two_families(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _other_names(catalog: Catalog) -> DataFrame:
+    """Columns mapped from an extract with the other names that mappers look for, some of them beside the first ones."""
+    rows = I.column_inventory(catalog).withColumnsRenamed(
+        {"table_catalog": "datname", "table_schema": "schema_name", "max_length": "character_maximum_length"}
+    )
+    return flatten(E.column_entities(rows.drop("numeric_scale").withColumn("database_name", F.col("datname"))))
+
+
 # ---- JSON ---------------------------------------------------------------------------------------------------
 
 
@@ -284,6 +292,19 @@ def _required_of(df: DataFrame) -> dict[str, tuple[str, ...]]:
     return {t: names for t, names in Q.REQUIRED_ATTRIBUTES.items() if set(names) <= present}
 
 
+def _all_findings(streams: EntityStreams) -> DataFrame:
+    """Everything wrong with faulty streams, counted: schemas delivered as databases; tables without description, with wrong
+    references and tenants; columns without type."""
+    tables = _with_attribute(streams["table"], "description", F.when(F.col("customAttributes.engine") != "", F.col("attributes.description")))
+    ref, schema = F.col(f"attributes.{E.SCHEMA_REF}"), F.col("attributes.schemaName")
+    tables = _with_attribute(tables, E.SCHEMA_REF, F.when(schema == "NATION_5", ref.withField("typeName", F.lit("Database"))).when(schema != "NATION_7", ref))
+    tenant = F.when(F.col("connection_qn") == "default/mysql/2", F.lit("other")).otherwise(F.col("attributes.tenantId"))
+    tables = _with_attribute(tables, "tenantId", tenant)
+    columns = _with_attribute(streams["column"], "dataType", F.when(F.col("attributes.dataType") != "JSON", F.col("attributes.dataType")))
+    faulty = {"database": streams["schema"], "schema": streams["schema"], "table": tables, "column": columns, "procedure": streams["procedure"]}
+    return Q.findings(faulty, "mysql", E.DEFAULT_TENANT).groupBy("stream", "check", "typeName", "detail").agg(F.count("*").alias("n"))
+
+
 def _parent_conflicts(streams: EntityStreams) -> DataFrame:
     """Fifth columns lose their table, sixth columns get a view besides their table."""
     order, a = F.col("attributes.order"), "attributes."
@@ -545,6 +566,7 @@ def catalog_queries() -> dict[str, Query]:
         "entity_column": _on_streams(lambda s: flatten(s["column"])),
         "entity_procedure": _on_streams(lambda s: flatten(s["procedure"])),
         "entity_two_families": _two_families,
+        "entity_other_names": _on_catalog(_other_names),
         "entity_json": _on_streams(_entity_json),
         "jsonl_delivery": _delivery,
         "delivery_manifest": _delivery_manifest,
@@ -555,6 +577,7 @@ def catalog_queries() -> dict[str, Query]:
         "qn_hierarchy_violations": _on_catalog(_hierarchy),
         "duplicate_qn": _on_streams(lambda s: Q.duplicate_qualified_names(s["procedure"])),
         "required_attributes": _on_streams(_required_attributes),
+        "all_findings": _on_streams(_all_findings),
         "parent_conflicts": _on_streams(_parent_conflicts),
         "bad_references": _on_streams(_bad_references),
         "wrong_constants": _on_streams(_wrong_constants),

@@ -513,6 +513,12 @@ SQL = {
     "duplicate_qn": _with(E_PROCEDURE) + """SELECT "typeName", "qualifiedName", count(*) AS n FROM e_procedure
         GROUP BY ALL HAVING count(*) > 1""",
     "required_attributes": _missing(),
+    "all_findings": _with(E_SCHEMA, E_TABLE, E_COLUMN.replace(f"{KEPT}, ", "", 1)) + """
+        SELECT 'database' AS stream, 'unexpected_type' AS "check", "typeName", '' AS detail, count(*) AS n FROM e_schema GROUP BY ALL
+        UNION ALL SELECT 'table', 'missing_attribute', "typeName", 'description', count(*) FROM e_table WHERE custom_engine = '' GROUP BY ALL
+        UNION ALL SELECT 'table', 'bad_reference', "typeName", '', count(*) FROM e_table WHERE "schemaName" IN ('NATION_5', 'NATION_7') GROUP BY ALL
+        UNION ALL SELECT 'table', 'wrong_constant', "typeName", '', count(*) FROM e_table WHERE connection_qn = 'default/mysql/2' GROUP BY ALL
+        UNION ALL SELECT 'column', 'missing_attribute', 'Column', 'dataType', count(*) FROM e_column WHERE "dataType" = 'JSON' GROUP BY ALL""",
     "parent_conflicts": _with(E_COLUMN) + """SELECT "typeName", "qualifiedName" FROM e_column
         WHERE "order" = 5 AND "viewName" IS NULL OR "order" = 6 AND "tableName" IS NOT NULL""",
     "bad_references": _with(_ALL_ENTITIES) + """SELECT "typeName", "qualifiedName" FROM e_table
@@ -596,3 +602,4 @@ SQL |= {f"text_{name}": SQL[operator] for name, operator in _TEXTS.items()}
 SQL["text_with_rules"] = (
     _with(kept_tables(r"^def\.nation_1", r"^def\.NATION_12$", temp="_TMP$")) + "SELECT connection_qn, table_schema, table_name, table_type FROM kept"
 )
+SQL["entity_other_names"] = SQL["entity_column"]

@@ -6,6 +6,7 @@ import re
 
 import pytest
 from conftest import CONNECTION, SF_DIR
+from test_extracts import table
 
 from lodestone.plans.extraction import EntityStreams, extract
 from lodestone.operators.feed import lineage_parse_feed, lineage_parse_feed_from_json
@@ -226,3 +227,16 @@ def test_only_the_table_stream_is_searched(spark, delivered):
     plans = {name: J.landed_files(spark, f"{delivery.prefix}/{name}")._jdf.queryExecution().optimizedPlan().toString() for name in delivery.lines}
     assert not any("get_json_object" in plan for plan in plans.values())
     assert J.landed_lines(spark, f"{delivery.prefix}/table")[1] == {f"default/mysql/{n}" for n in (1, 2, 3)}
+
+
+def test_a_faulty_delivery_is_not_published(spark, make_catalog, tmp_path):
+    catalog = make_catalog("default/mysql/1", schemata=[{"schema_name": "s"}], tables=[table("t", schema="s")])
+    streams = dict(EntityStreams(catalog))
+    sound = J.deliver(spark, streams, str(tmp_path), checked_as=("mysql", "default"))
+    assert sound.lines == {"database": 1, "schema": 1, "table": 1, "column": 0, "procedure": 0}
+    faulty = streams["table"].withColumn("attributes", F.col("attributes").withField("description", F.lit(None).cast("string")))
+    with pytest.raises(J.FaultyDeliveryError, match="1 things wrong in stream table"):
+        J.deliver(spark, {**streams, "table": faulty}, str(tmp_path), checked_as=("mysql", "default"))
+    with pytest.raises(J.FaultyDeliveryError, match="database, .* schema, .* table"):
+        J.deliver(spark, streams, str(tmp_path), checked_as=("mysql", "other"))
+    assert J.current_delivery(spark, str(tmp_path)) == sound

@@ -134,3 +134,37 @@ def test_last_setting_wins_and_extra_is_nested(frame):
     got = {(r.connection_qn, r.section, r.key): r.value for r in latest_settings(df).collect()}
     assert got == {("c", "", "host"): "b", ("c", "extra", "database"): "d", ("c", "extra", "host"): "e", ("d", "", "host"): "z"}
     assert latest_settings(df.limit(0)).isEmpty()
+
+
+def test_one_pass_finds_what_the_checks_find(streams):
+    """Faults of every kind in one stream, against each check on its own."""
+    a = F.col("attributes")
+    faulty = streams["column"].withColumn("attributes", a.withField("dataType", F.when(a["viewName"].isNull(), a["dataType"])))
+    faulty = faulty.withColumn("attributes", F.col("attributes").withField("tenantId", F.lit(None).cast("string")))
+    faulty = faulty.withColumn("attributes", F.col("attributes").withField("viewName", F.coalesce("attributes.viewName", F.lit("v"))))
+    mixed = {"column": faulty, "table": streams["table"], "schema": streams["schema"], "database": streams["schema"], "procedure": streams["procedure"]}
+    found = Q.findings(mixed, "mysql", "default").collect()
+
+    def names(check, stream="column"):
+        return sorted((r.typeName, r.qualifiedName) for r in found if (r.check, r.stream) == (check, stream))
+
+    for check, rows in {
+        "parent_conflict": Q.parent_conflicts(faulty), "bad_reference": Q.bad_references(faulty), "wrong_constant": Q.wrong_constants(faulty, "mysql", "default"),
+    }.items():
+        assert names(check) == sorted(map(tuple, rows.collect())), check
+    missing = {r.attribute: r.missing for r in Q.missing_attributes(faulty, {"Column": Q.REQUIRED_ATTRIBUTES["Column"]}).collect() if r.missing}
+    counted = {}
+    for r in found:
+        if (r.stream, r.check) == ("column", "missing_attribute"):
+            counted[r.detail] = counted.get(r.detail, 0) + 1
+    assert counted == missing == {"dataType": 1, "tenantId": 2}
+    assert len(names("unexpected_type", "database")) == streams["schema"].count() == 2
+    assert not [r for r in found if r.stream in ("table", "schema", "procedure") or r.check == "invalid_json"]
+
+
+def test_all_checks_are_one_scan_of_each_stream(spark, streams):
+    for name, df in streams.items():
+        text = Q.findings({name: df}, "mysql", "default")._jdf.queryExecution().optimizedPlan().toString()
+        alone = df._jdf.queryExecution().optimizedPlan().toString()
+        leaves = ("LocalRelation", "LogicalRDD", "Range")
+        assert sum(text.count(leaf) for leaf in leaves) <= sum(alone.count(leaf) for leaf in leaves)
