@@ -240,3 +240,23 @@ def test_a_faulty_delivery_is_not_published(spark, make_catalog, tmp_path):
     with pytest.raises(J.FaultyDeliveryError, match="database, .* schema, .* table"):
         J.deliver(spark, streams, str(tmp_path), checked_as=("mysql", "other"))
     assert J.current_delivery(spark, str(tmp_path)) == sound
+
+
+# ---- compressed deliveries ----------------------------------------------------------------------------------
+
+
+def test_an_extraction_is_stored_compressed_and_its_list_tells_the_bytes_of_its_lines(spark, make_catalog, tmp_path):
+    tables = [table(f"t{n}", schema="s", table_comment="é" * 20) for n in range(300)]
+    catalog = make_catalog("default/mysql/1", schemata=[{"schema_name": "s"}], tables=tables)
+    plain = J.deliver(spark, EntityStreams(catalog), str(tmp_path / "plain"))
+    packed = extract(spark, catalog, str(tmp_path / "packed"))
+    assert packed.lines == plain.lines and packed.lines["table"] == 300
+    lines = [sorted(r.value for r in J.read_stream(spark, f"{d.prefix}/table").collect()) for d in (plain, packed)]
+    assert lines[0] == lines[1]
+    told = {
+        r.stream: r for r in J.delivered_files(spark, packed).groupBy("stream").agg(F.sum("bytes").alias("bytes"), F.sum("stored_bytes").alias("stored")).collect()
+    }
+    assert told["table"].bytes == sum(len(line.encode()) + 1 for line in lines[0])
+    assert told["table"].stored * 5 < told["table"].bytes
+    assert not list((tmp_path / "packed").rglob("part-*.txt")) and list((tmp_path / "packed").rglob("part-*.txt.gz"))
+    assert J.damaged_files(spark, packed).isEmpty() and J.damaged_files(spark, plain).isEmpty()
