@@ -168,3 +168,33 @@ def test_all_checks_are_one_scan_of_each_stream(spark, streams):
         alone = df._jdf.queryExecution().optimizedPlan().toString()
         leaves = ("LocalRelation", "LogicalRDD", "Range")
         assert sum(text.count(leaf) for leaf in leaves) <= sum(alone.count(leaf) for leaf in leaves)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_no_filter_makes_and_parses_lines(spark, make_catalog):
+    """A condition that makes the line itself would be moved below the projection, into a filter."""
+    streams = EntityStreams(make_catalog("default/mysql/1", schemata=[{"schema_name": "s"}]))
+    lines = streams["schema"].select(E.entity_json(streams["schema"]).alias("value"))
+    for df in (Q.invalid_json(lines), Q.findings({"schema": streams["schema"]}, "mysql", "default")):
+        plan = plan_of(df)
+        assert "parseJson" in plan
+        assert not [line for line in plan.splitlines() if "Filter" in line and "Json" in line]
+
+
+def test_lines_are_judged_as_by_three_parses(frame):
+    held = '{"typeName":%s,"attributes":{"qualifiedName":%s}}'
+    values = ['"a"', "null", "5", "1.5", "true", "{}", "[]", '""', "NaN", '"é\\n"', "01"]
+    lines = [held % (a, b) for a in values for b in values]
+    lines += [held % ('"a"', '"q"') + tail for tail in (" ", " x", "{}")] + ["", "null", "5", "[]", "{", "{}", '{"typeName":"a"}']
+    lines += ['{"typeName":"a","attributes":null}', '{"typeName":"a","attributes":[{"qualifiedName":"q"}]}', "[" + held % ('"a"', '"q"') + "]"]
+    df = frame("value string", *((line,) for line in lines))
+    sound = (
+        F.try_parse_json("value").isNotNull()
+        & F.get_json_object("value", "$.typeName").isNotNull()
+        & F.get_json_object("value", "$.attributes.qualifiedName").isNotNull()
+    )
+    expected = sorted(r.value for r in df.where(~sound).collect())
+    assert sorted(r.value for r in Q.invalid_json(df).collect()) == expected and 20 < len(expected) < len(lines)
