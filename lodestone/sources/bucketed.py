@@ -26,6 +26,10 @@ BUCKET_KEYS: dict[str, tuple[str, ...]] = {
 }
 
 
+# Rows of the columns relation in a bucket, about: some hundred MB of memory to sort.
+BUCKET_ROWS = 250_000
+
+
 def _name(root: str, relation: str) -> str:
     return f"lodestone_{sha256(root.encode()).hexdigest()[:16]}_{relation}"
 
@@ -42,10 +46,12 @@ def is_bucketed(spark: SparkSession, root: str) -> bool:
 def write_bucketed_catalog(spark: SparkSession, catalog: Catalog, root: str, buckets: int | None = None) -> None:
     """Store every relation below `root`, a new folder, as one sorted file a bucket.
 
-    By default there are as many buckets as shuffle partitions; choose the size of the columns relation over 128 MB for large
-    catalogs. Sorted by connection first, files let a filter on connections skip most of their rows.
+    By default there are as many buckets as shuffle partitions, or as keep about BUCKET_ROWS columns in each, so that a task sorts its
+    bucket in memory whatever the catalog's size. Sorted by connection first, files let a filter on connections skip most of their
+    rows.
     """
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if buckets is None:
+        buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-catalog.columns.count() // BUCKET_ROWS))
     for relation, key in BUCKET_KEYS.items():
         # The table only carries the layout to the writer; without it the files stay.
         name = f"{_name(root, relation)}_w"

@@ -69,3 +69,16 @@ def test_a_catalog_that_was_not_finished_is_none(spark, tmp_path, monkeypatch):
     assert not B.is_bucketed(spark, root)
     with pytest.raises(ValueError, match="no whole catalog"):
         B.read_bucketed_catalog(spark, root)
+
+
+def test_buckets_grow_with_the_columns(spark, make_catalog, tmp_path, conf, monkeypatch):
+    conf(spark__sql__shuffle__partitions="2")
+    monkeypatch.setattr(B, "BUCKET_ROWS", 100)
+    tables = [{"table_schema": "s", "table_name": f"t{n}"} for n in range(50)]
+    columns = [{**t, "column_name": f"c{i}"} for t in tables for i in range(21)]
+    catalog = make_catalog(tables=tables, columns=columns)
+    B.write_bucketed_catalog(spark, catalog, str(tmp_path / "large"))
+    B.write_bucketed_catalog(spark, make_catalog(tables=tables), str(tmp_path / "small"))
+    assert [B._layout(spark, str(tmp_path / name)).latest()[1]["buckets"] for name in ("large", "small")] == [11, 2]
+    again = read_parquet_catalog(spark, str(tmp_path / "large"))
+    assert again.columns.exceptAll(catalog.columns).isEmpty() and again.columns.count() == 1_050
