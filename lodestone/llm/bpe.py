@@ -6,10 +6,13 @@ import json
 import os
 import re
 import struct
+from collections.abc import Iterator
 from functools import cache
-from itertools import chain
+from itertools import chain, pairwise
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # Both byte-level and word-end BPE cut a text before merging, and never join a character before a lone space with one
 # after it; such a text can be cut there and its pieces encoded one by one.
@@ -222,6 +225,14 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def slices(part: pa.RecordBatch, text: int, most_bytes: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows with texts of about `most_bytes`, or one longer, so that few texts are Python strings at a time."""
+    lengths = pc.fill_null(pc.binary_length(part.column(text)), 0).to_numpy(zero_copy_only=False)
+    cuts = np.flatnonzero(np.diff(np.cumsum(lengths, dtype=np.int64) // most_bytes)) + 1
+    for start, end in pairwise([0, *cuts.tolist(), part.num_rows]):
+        yield part.slice(start, end - start)
+
+
 def batches(texts: list[str | None], most_chars: int = 1 << 22) -> list[list[str]]:
     """The texts in order, null as empty, in lists of about `most_chars`, so that memory follows the longest text."""
     out: list[list[str]] = [[]]

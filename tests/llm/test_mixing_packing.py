@@ -7,17 +7,18 @@ from functools import cache
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_cases import no_docs, odd_docs, real_docs
 from tokenizers import Tokenizer
 
-from lodestone.llm.bpe import Encoder
+from lodestone.llm.bpe import Encoder, slices
 from lodestone.llm.mixing import apportion, keep_mix, mix, source_targets
 from lodestone.llm.packing import Packer, pack, word_bpe
 from lodestone.llm.scratch import Scratch
-from lodestone.llm.token_files import TokenFile, byte_bpe, encode, read_tokens, write_tokens
+from lodestone.llm.token_files import BATCH, TokenFile, byte_bpe, encode, read_tokens, rows_at_once, write_tokens
 
 FILES = {"byte": "byte_bpe_50k.json", "word": "word_bpe_49k.json"}
 
@@ -242,3 +243,31 @@ def test_token_files_in_order_of_ids(spark, scratch, make):
     for r in rows:
         assert r.start == at
         at += r.n_tokens
+
+
+def test_documents_of_a_file_are_read_in_parts(monkeypatch):
+    docs = [[i] * (1 + i % 7) for i in range(100)] + [[9] * 200]
+    file = TokenFile(encode(np.array([i for d in docs for i in d], "<u4"), list(range(101)), [len(d) for d in docs]))
+    sizes, plain = [], TokenFile.tokens
+    monkeypatch.setattr(TokenFile, "tokens", lambda self, start, end: sizes.append(end - start) or plain(self, start, end))
+    found = list(file.documents(most=50))
+    assert [ids.tolist() for _, _, ids in found] == docs and [d for d, _, _ in found] == list(range(101))
+    assert [s for _, s, _ in found] == np.cumsum([0, *map(len, docs)])[:-1].tolist()
+    assert max(sizes[:-1]) <= 50 and sizes[-1] == 200
+
+
+def test_a_batch_is_taken_in_slices_of_few_bytes():
+    texts = ["a" * (i % 30) for i in range(200)] + [None, "é" * 500, ""]
+    batch = pa.record_batch([pa.array(range(203)), pa.array(texts)], ["doc_id", "text"])
+    parts = list(slices(batch, 1, 100))
+    assert [t for p in parts for t in p.column(1).to_pylist()] == texts and len(parts) > 20
+    assert all(sum(len(t or "") for t in p.column(1).to_pylist()) < 130 for p in parts[:-3])
+    assert [p.num_rows for p in slices(batch.slice(0, 0), 1)] in ([], [0])
+
+
+def test_writing_hands_python_few_rows_at_once(spark):
+    before = spark.conf.get(BATCH)
+    with rows_at_once(spark, 3):
+        sizes = spark.range(0, 10, 1, 1).mapInArrow(lambda parts: (pa.record_batch([pa.array([p.num_rows])], ["n"]) for p in parts), "n long").collect()
+        assert [r.n for r in sizes] == [3, 3, 3, 1]
+    assert spark.conf.get(BATCH) == before
