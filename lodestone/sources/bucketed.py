@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from hashlib import sha256
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from lodestone.sinks.commits import CommitLog
 from lodestone.sources.catalog import RELATION_SCHEMAS, Catalog, catalog_from
@@ -48,17 +48,24 @@ def write_bucketed_catalog(spark: SparkSession, catalog: Catalog, root: str, buc
 
     By default there are as many buckets as shuffle partitions, or as keep about BUCKET_ROWS columns in each, so that a task sorts its
     bucket in memory whatever the catalog's size. Sorted by connection first, files let a filter on connections skip most of their
-    rows.
+    rows. A catalog that makes rows from shorter ones can have those moved (`dealt`), and make relations from what is stored already
+    (`stored`).
     """
     if buckets is None:
         buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-catalog.columns.count() // BUCKET_ROWS))
     for relation, key in BUCKET_KEYS.items():
         # The table only carries the layout to the writer; without it the files stay.
         name = f"{_name(root, relation)}_w"
-        rows = getattr(catalog, relation).repartition(buckets, *key)
+
+        def deal(rows: DataFrame) -> DataFrame:
+            return rows.repartition(buckets, *key)
+
+        rows = catalog.dealt(relation, deal) if hasattr(catalog, "dealt") else deal(getattr(catalog, relation))
         writer = rows.write.format("parquet").bucketBy(buckets, *key).sortBy(*key).option("path", f"{root}/{relation}")
         writer.saveAsTable(name)
         spark.sql(f"DROP TABLE {name}")
+        if hasattr(catalog, "stored"):
+            catalog.stored(relation, spark.read.schema(RELATION_SCHEMAS[relation]).parquet(f"{root}/{relation}"))
     _layout(spark, root).commit(1, {"buckets": buckets})
 
 

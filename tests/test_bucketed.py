@@ -82,3 +82,26 @@ def test_buckets_grow_with_the_columns(spark, make_catalog, tmp_path, conf, monk
     assert [B._layout(spark, str(tmp_path / name)).latest()[1]["buckets"] for name in ("large", "small")] == [11, 2]
     again = read_parquet_catalog(spark, str(tmp_path / "large"))
     assert again.columns.exceptAll(catalog.columns).isEmpty() and again.columns.count() == 1_050
+
+
+def test_rows_are_moved_before_they_are_made(spark):
+    derived = DerivedCatalog(spark, SF_DIR, 3)
+    for name in ("tables", "columns"):
+        moved = derived.dealt(name, lambda rows: rows.repartition(8, "connection_qn"))
+        text = moved._jdf.queryExecution().optimizedPlan().toString()
+        assert "def AS table_catalog" in text.split("RepartitionByExpression")[0], text
+        was = getattr(derived, name)
+        assert moved.schema == was.schema and moved.exceptAll(was).isEmpty() and was.exceptAll(moved).isEmpty()
+
+
+def test_constraints_are_made_of_the_stored_key_columns(spark, tmp_path):
+    derived = DerivedCatalog(spark, SF_DIR)
+    B.write_bucketed_catalog(spark, derived, str(tmp_path / "c"), buckets=2)
+    assert all("/key_column_usage/" in file or "/table_constraints/" in file for file in derived.table_constraints.inputFiles())
+    assert not derived.key_column_usage.isEmpty() and "lineitem" not in "".join(derived.key_column_usage.inputFiles())
+
+
+def test_stored_rows_are_not_sorted_again_by_table(spark, stored, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1", spark__sql__shuffle__partitions="8")
+    text = final_plan(stored[1].columns.join(stored[1].views, list(B.BUCKET_KEYS["columns"])))
+    assert "SortMergeJoin" in text and not re.search(r"Sort \[", text), text
