@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.operators.diff import ENTITY_KEY, UNCHANGED, EmptySnapshotError, compared, fingerprints
+from lodestone.session import shared_folder
 from lodestone.sinks.commits import CommitLog
 
 # Rows of a leaf of the tree and of a file, about; both numbers are kept as powers of two of parts.
@@ -163,6 +164,14 @@ class SnapshotStore:
         return version
 
 
+def stored_extract(spark: SparkSession, entities: DataFrame) -> DataFrame:
+    """Entities written once, and read back wherever they are used: a run reads its entities to store their digests and again to
+    publish those that changed, and need not extract them for each."""
+    path = shared_folder(spark, "extract")
+    entities.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(entities.schema).parquet(path)
+
+
 def changed_only(entities: DataFrame, changes: DataFrame) -> DataFrame:
     """Of `entities`, those that a version's changes insert or update, complete, ready to be delivered again."""
     wanted = changes.where(F.col("change").isin("insert", "update")).select(*ENTITY_KEY)

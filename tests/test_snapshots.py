@@ -3,7 +3,9 @@
 import json
 from collections import Counter
 
+import __spark_entry__ as entry
 import pytest
+from conftest import SF_DIR
 from lodestone.operators import diff as D
 from lodestone.plans.extraction import EntityStreams
 from lodestone.sinks.commits import CommitLog, ConcurrentRunError
@@ -149,3 +151,11 @@ def test_equal_digests_need_equal_rows(spark, make_catalog, tmp_path):
     assert set(changes(store.changes(store.publish([entities(make_catalog, c1={"a": 2, "b": 1})]))).values()) == {"update"}
     record = json.loads(next((tmp_path / "log").glob("*2.json")).read_text())
     assert record["entities"] == 2
+
+
+def test_two_runs_extract_their_tables_once(spark):
+    _, tables = entry._two_runs(spark, SF_DIR)
+    files = tables.inputFiles()
+    assert files and all("/extract-" in file for file in files)
+    _, plain = entry._table_snapshots(EntityStreams(entry._catalog(spark, SF_DIR)))
+    assert tables.dtypes == plain.dtypes and tables.exceptAll(plain).isEmpty() and plain.exceptAll(tables).isEmpty()
