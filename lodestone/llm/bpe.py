@@ -225,7 +225,7 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def slices(part: pa.RecordBatch, text: int, most_bytes: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+def slices(part: pa.RecordBatch, text: int, most_bytes: int = 1 << 24) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows with texts of about `most_bytes`, or one longer, so that few texts are Python strings at a time."""
     lengths = pc.fill_null(pc.binary_length(part.column(text)), 0).to_numpy(zero_copy_only=False)
     cuts = np.flatnonzero(np.diff(np.cumsum(lengths, dtype=np.int64) // most_bytes)) + 1
