@@ -8,7 +8,8 @@ import re
 import struct
 from collections.abc import Iterator
 from functools import cache
-from itertools import chain, pairwise
+from itertools import groupby, pairwise
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,7 @@ RUN_OF_SPACE, ODD_SPACE = re.compile(r"\s\s"), re.compile("[\x1c-\x1f]")
 KEPT_PIECES, LONGEST_KEPT = 400_000, 64
 # Between pieces that are encoded in one call; each kind of tokenizer makes one id of it that nothing else gives.
 LED_BREAK, WORD_BREAK = "\n", " \x01 "
-MARKS = (",", ".")
+MARKS = ",."
 FIRST = "\n\n"
 END_ID = 2
 
@@ -38,6 +39,7 @@ def _letters_of_bytes() -> dict[int, str]:
 
 
 BYTE_LETTERS = _letters_of_bytes()
+SPELLING = np.array([ord(BYTE_LETTERS[b]) for b in range(256)], "<u2")
 
 
 def _spelled(text: str) -> str:
@@ -86,7 +88,7 @@ class Encoder:
         self._break = LED_BREAK if byte_level else WORD_BREAK
         found = self._tokenizer.encode(self._break, add_special_tokens=False).ids
         self._break_id = found[0] if len(found) == 1 else None
-        self._marks = dict(zip(MARKS, self._encode(list(MARKS)), strict=True))
+        self._marks = punctuation if byte_level else MARKS
         # Words of common letters go to the tokenizer's model at once, spelled as its steps before the model would.
         self._model = self._tokenizer.model
         self._spell = _spell_led if byte_level else _spell_word if word_level else None
@@ -123,39 +125,62 @@ class Encoder:
                 start = end + 1
         return out
 
-    def _pieces(self, text: str) -> list[str]:
+    def _cut(self, text: str) -> list[str]:
         """The text's pieces, by the names under which their ids are kept."""
         if not self._led:
             # White space only ever separates. Python's split() knows four characters more than the tokenizer.
             return SAFE_CUT.split(text) if ODD_SPACE.search(text) else text.split()
+        first, *rest = SAFE_CUT.split(text)
+        return [FIRST + first, *rest]
+
+    def _pieces(self, texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+        """The names of all texts' pieces one after another, and where each text's end."""
         # With byte-level BPE a space belongs to the word after it, so a name stands for a space and a word; a lone line end
         # stands for itself, and a name that begins with one for it and a word. The first word has nothing before it.
-        if RUN_OF_SPACE.search(text) or text[:1].isspace() or text[-1:].isspace():
-            first, *rest = SAFE_CUT.split(text)
-            return [FIRST + first, *rest]
-        pieces: list[str] = []
-        for line in text.split("\n"):
-            words = line.split(" ")
-            words[0] = ("\n" if pieces else FIRST) + words[0]
-            pieces += words
-        return pieces
+        runs = []
+        for lone, run in groupby(texts, self._lone_spaces):
+            if lone:
+                led = pa.array([FIRST + t.replace("\n", " \n") for t in run], pa.large_string())
+                runs.append(pc.split_pattern(led, " "))
+            else:
+                runs.append(pa.array([self._cut(t) for t in run], pa.list_(pa.large_string())))
+        names = pa.concat_arrays([r.flatten() for r in runs])
+        return names, np.cumsum(np.concatenate([pc.list_value_length(r).to_numpy() for r in runs]), dtype=np.int64)
+
+    def _lone_spaces(self, text: str) -> bool:
+        return self._led and not (text[:1].isspace() or text[-1:].isspace() or RUN_OF_SPACE.search(text))
+
+    def _marked(self, names: set[str]) -> dict[str, tuple[str, str]]:
+        """Of the names that are words with marks after them, those of the word and of the marks, whose ids they have. In lower
+        case the word must be all letters too; between words, marks are only known to be apart one by one."""
+        marks, led, found = self._marks, self._led, {}
+        for n in names:
+            if n[-1:] in marks:
+                stem = n.rstrip(marks) if led else n[:-1]
+                if stem.lstrip("\n").lower().isalpha():
+                    found[n] = stem, FIRST + n[len(stem) :] if led else n[-1]
+        return found
 
     def _new_ids(self, names: list[str]) -> dict[str, bytes]:
         """The ids of pieces that are not kept."""
-        found, others = self._ascii_words(names) if self._spell else ({}, names)
+        found, others = self._words(names) if self._spell else ({}, names)
         found.update(self._other_ids(others))
         return found
 
-    def _ascii_words(self, names: list[str]) -> tuple[dict[str, bytes], list[str]]:
-        """The ids of the names that are ASCII words, whose spelling needs no table, and the other names."""
-        tokenize, pack, space = self._model.tokenize, PACK, BYTE_LETTERS[0x20]
-        found, others = {}, []
+    def _words(self, names: list[str]) -> tuple[dict[str, bytes], list[str]]:
+        """The ids of the names that are words and spelled all together, and the other names."""
+        words, others = [], []
         for n in names:
-            if n.isascii() and n.isalpha() and len(n) <= LONGEST_KEPT:
-                ids = [token.id for token in tokenize(space + n if self._led else n.lower())]
-                found[n] = pack[len(ids)](*ids)
-            else:
-                others.append(n)
+            word = n.isalpha() and len(n) <= LONGEST_KEPT and (self._led or n.isascii() or max(n) <= "\xff")
+            (words if word else others).append(n)
+        if not words:
+            return {}, others
+        joined = "\n " + "\n ".join(words) if self._led else "\n" + "\n".join(words).lower()
+        spelled = SPELLING[np.frombuffer(joined.encode(), "u1")].tobytes().decode("utf-16-le").split(BYTE_LETTERS[0x0A])
+        tokenize, pack, found = self._model.tokenize, PACK, {}
+        for n, letters in zip(words, spelled[1:], strict=True):
+            ids = [token.id for token in tokenize(letters)]
+            found[n] = pack[len(ids)](*ids)
         return found, others
 
     def _other_ids(self, names: list[str]) -> dict[str, bytes]:
@@ -193,24 +218,30 @@ class Encoder:
             of_whole = dict(zip(whole, self._encode([texts[i] for i in whole]), strict=True))
             others = iter(self.batch([t for i, t in enumerate(texts) if i not in of_whole]))
             return [of_whole[i] if i in of_whole else next(others) for i in range(len(texts))]
-        split = [self._pieces(t) for t in texts]
+        if not texts:
+            return []
+        pieces, ends = self._pieces(texts)
+        pieces = pieces.dictionary_encode()
+        names = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self._ids) > KEPT_PIECES:
             self._ids, self._older = {}, self._ids
         known, older = self._ids, self._older
-        new = set().union(*split) - known.keys()
-        # A word with a mark after it has the ids of the word and of the mark, if in lower case it is all letters too.
-        marked = [n for n in new if n[-1:] in MARKS and n[:-1].lstrip("\n").lower().isalpha()]
+        new = {n for n in names if n not in known}
+        marked = self._marked(new)
         new.difference_update(marked)
-        new.update(stem for n in marked if (stem := n[:-1]) not in known)
+        new.update(n for parts in marked.values() for n in parts if n not in known)
         seen = new & older.keys()
         known.update((n, older[n]) for n in seen)
         new -= seen
         known.update(self._new_ids(list(new)))
-        known.update((n, known[n[:-1]] + self._marks[n[-1]]) for n in marked)
-        ids_of = known.__getitem__
-        out = [b"".join(map(ids_of, names)) for names in split]
-        # Kept are words; what is made of them, or seldom comes again, makes room.
-        for n in chain(marked, (n for n in new if len(n) > LONGEST_KEPT or n[:1] == "\n")):
+        made = {n: known[stem] + known[marks] for n, (stem, marks) in marked.items()}
+        # Names are looked up once each; their ids are put in the places of the pieces all together.
+        placed = pa.array([made[n] if n in made else known[n] for n in names], pa.large_binary()).take(pieces.indices)
+        at = np.concatenate([[0], np.cumsum(pc.binary_length(placed).to_numpy())])[[0, *ends]].tolist()
+        data = memoryview(placed.buffers()[2] or b"")
+        out = [bytes(data[start:end]) for start, end in pairwise(at)]
+        # Kept are words; what seldom comes again makes room.
+        for n in [n for n in new if len(n) > LONGEST_KEPT or n[:1] == "\n"]:
             del known[n]
         return out
 

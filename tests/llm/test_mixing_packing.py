@@ -1,6 +1,7 @@
 """Mixing and packing, and token files, against plain Python and whole-text encoding."""
 
 import random
+import string
 import zlib
 from collections import defaultdict
 from functools import cache
@@ -155,6 +156,35 @@ def test_encoder_on_all_letters_marks_and_special_strings(kind, texts):
     assert [np.frombuffer(i, "<u4").tolist() for i in own.batch(texts)] == expected
 
 
+RUNS_OF_MARKS = st.one_of(PARTS, st.text(string.punctuation, min_size=1, max_size=4), st.sampled_from(["'s", "\r\n", "\u00a0", "\u3000", " \n"]))
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(RUNS_OF_MARKS, max_size=12).map("".join), max_size=40))
+@pytest.mark.parametrize("kind", FILES)
+def test_encoder_on_runs_of_marks_and_spaces(kind, texts):
+    plain, own = both(kind)
+    expected = [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(i, "<u4").tolist() for i in own.batch(texts)] == expected
+
+
+def test_different_pieces_are_looked_up_and_words_with_marks_made_of_kept_ids(monkeypatch):
+    """However often a piece comes, it is looked up once a batch; a word with a run of marks is not encoded of its own."""
+    looked_up, encoded = [], []
+
+    class Kept(dict):
+        def __getitem__(self, name):
+            looked_up.append(name)
+            return super().__getitem__(name)
+
+    plain, own = both("byte")[0], Encoder(public_tokenizers.path(FILES["byte"]))
+    own._ids, others = Kept(), own._other_ids
+    monkeypatch.setattr(own, "_other_ids", lambda names: encoded.extend(names) or others(names))
+    texts = ["So say words### words&&& words words,%%% été###\nwords!! words", "So say words### words"] * 50
+    assert [np.frombuffer(i, "<u4").tolist() for i in own.batch(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(looked_up) < 30 and not any("words" in n.strip("\n") and n.strip("\n") != "words" for n in encoded)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 200), max_size=80), st.integers(1, 20))
 def test_packer_places_every_id_once(lengths, open_windows):
