@@ -16,6 +16,8 @@ from lodestone.llm.scratch import Scratch, documents, ship
 # Rows of each language to learn from, on average at most, chosen by a hash of the id.
 TRAIN_ROWS = 2_000
 BUCKETS = 1 << 15
+# As many n-grams or more are counted in all buckets, fewer are sorted.
+SORTED = 1 << 12
 SMOOTHING = 0.5
 ROUNDS = 25
 UNKNOWN = "und"
@@ -44,7 +46,8 @@ def codes(text: str) -> np.ndarray:
     triples = points[:-2] * np.uint64(0x9E3779B97F4A7C15) + pairs[1:] if len(points) > 2 else points[:0]
     grams = np.concatenate([points[1:] + np.uint64(1 << 42), pairs + np.uint64(1 << 43), triples])
     grams = (grams ^ (grams >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return ((grams ^ (grams >> np.uint64(32))) % np.uint64(BUCKETS)).astype(np.int64)
+    # BUCKETS is a power of two.
+    return ((grams ^ (grams >> np.uint64(32))) & np.uint64(BUCKETS - 1)).view(np.int64)
 
 
 @dataclass
@@ -65,20 +68,20 @@ class Model:
         out = np.zeros(len(self.languages))
         if not len(grams) or not self.languages:
             return out
-        buckets, counts = np.unique(grams, return_counts=True) if len(grams) < BUCKETS else _counted(grams)
-        logs = self.logs[buckets]
-        top = logs.max(axis=1, keepdims=True)
-        likely, counts = np.exp(logs - top), counts.astype(np.float64)
+        buckets, counts = np.unique(grams, return_counts=True) if len(grams) < SORTED else _counted(grams)
+        # A row for each language, in double precision once for all rounds.
+        logs = np.ascontiguousarray(self.logs[buckets].T)
+        likely, counts = np.exp(logs - logs.max(axis=0)).astype(np.float64), counts.astype(np.float64)
         total = counts.sum()
         penalty = 0.5 * np.log(total + 1)
         chosen = np.arange(len(self.languages))
         share, value = _em(likely, counts, total)
         while len(chosen) > 1:
             keep = np.delete(np.arange(len(chosen)), share.argmin())
-            fewer, lower = _em(likely[:, keep], counts, total)
+            fewer, lower = _em(likely[keep], counts, total)
             if lower + penalty < value:
                 break
-            likely, chosen, share, value = likely[:, keep], chosen[keep], fewer, lower
+            likely, chosen, share, value = likely[keep], chosen[keep], fewer, lower
         out[chosen] = share
         return out
 
@@ -98,18 +101,25 @@ def _counted(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _em(likely: np.ndarray, counts: np.ndarray, total: float) -> tuple[np.ndarray, float]:
-    """Proportions of highest likelihood, and the log likelihood."""
-    share = np.full(likely.shape[1], 1 / likely.shape[1])
+    """Proportions of highest likelihood, and the log likelihood; `likely` has a row for each language."""
+    share = np.full(len(likely), 1 / len(likely))
     if len(share) == 1:
-        return share, float(counts @ np.log(likely[:, 0] + 1e-300))
+        return share, float(counts @ np.log(likely[0] + 1e-300))
+    # Texts are short and rounds many, so that numpy's calls are what costs: few of them, into arrays made once.
+    part, mixed = counts / total, np.empty(len(counts))
     for _ in range(ROUNDS):
-        after = share * ((counts / (likely @ share + 1e-300)) @ likely) / total
-        after /= after.sum()
-        moved = np.abs(after - share).max()
+        np.dot(share, likely, out=mixed)
+        np.add(mixed, 1e-300, out=mixed)
+        np.divide(part, mixed, out=mixed)
+        after = np.dot(likely, mixed)
+        after *= share
+        after /= np.add.reduce(after)
+        share -= after
+        moved = np.maximum.reduce(np.abs(share, out=share))
         share = after
         if moved < 1e-4:
             break
-    return share, float(counts @ np.log(likely @ share + 1e-300))
+    return share, float(counts @ np.log(share @ likely + 1e-300))
 
 
 def learn_model(docs: DataFrame, scratch: Scratch, learn: Column | None = None) -> Model:

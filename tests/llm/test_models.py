@@ -136,6 +136,35 @@ def test_mixture_finds_proportions_and_the_set_of_languages(spark, scratch):
     assert np.isclose(sum(shares.values()), 1)
 
 
+def test_rounds_run_on_doubles_made_once_and_give_the_plain_formula(monkeypatch):
+    """What the rounds multiply is in double precision, so that no round converts it; the proportions are those of the formula."""
+    rng = np.random.default_rng(7)
+    logs = np.log(rng.dirichlet(np.full(langid.BUCKETS, 0.05), 5).T + 1e-7).astype(np.float32)
+    model, kinds, em = langid.Model(list("abcde"), logs), set(), langid._em
+
+    def plain(likely, counts, total):
+        share = np.full(len(likely), 1 / len(likely))
+        for _ in range(langid.ROUNDS if len(share) > 1 else 0):
+            after = np.array([share[i] * sum(c * row[i] / (row @ share) for c, row in zip(counts, likely.T, strict=True)) for i in range(len(share))]) / total
+            after /= after.sum()
+            moved, share = np.abs(after - share).max(), after
+            if moved < 1e-4:
+                break
+        return share, sum(c * np.log(row @ share) for c, row in zip(counts, likely.T, strict=True))
+
+    def spied(likely, counts, total):
+        kinds.add((likely.dtype, likely.shape[0] <= 5, likely.shape[1] == len(counts)))
+        found, expected = em(likely, counts, total), plain(likely, counts, total)
+        assert np.allclose(found[0], expected[0], rtol=0, atol=1e-12) and np.isclose(found[1], expected[1], rtol=1e-12)
+        return found
+
+    monkeypatch.setattr(langid, "_em", spied)
+    for text in ("one", "some words of a text", "été à la plage, wo die Sonne scheint", " ".join(f"w{i:x}rd" for i in range(400)).translate(str.maketrans("0123456789", "ghijklmnop"))):
+        shares = model.mixture(text)
+        assert np.isclose(shares.sum(), 1) and (shares >= 0).all()
+    assert kinds == {(np.dtype(np.float64), True, True)}
+
+
 def test_codes_see_letters_of_any_script_and_nothing_else():
     assert len(langid.codes("12 3 !? \n")) == 0 and len(langid.codes("")) == 0
     assert langid.codes("a1b").tolist() == langid.codes("A..B").tolist() == langid.codes("a b").tolist()
