@@ -3,11 +3,14 @@
 import json
 import os
 import re
+import time
+from pathlib import Path
 
 import pytest
 from conftest import CONNECTION, SF_DIR
 from test_extracts import table
 
+from lodestone.plans import extraction
 from lodestone.plans.extraction import EntityStreams, extract
 from lodestone.operators.feed import lineage_parse_feed, lineage_parse_feed_from_json
 from lodestone.operators.entities import Stamp
@@ -260,3 +263,73 @@ def test_an_extraction_is_stored_compressed_and_its_list_tells_the_bytes_of_its_
     assert told["table"].stored * 5 < told["table"].bytes
     assert not list((tmp_path / "packed").rglob("part-*.txt")) and list((tmp_path / "packed").rglob("part-*.txt.gz"))
     assert J.damaged_files(spark, packed).isEmpty() and J.damaged_files(spark, plain).isEmpty()
+
+
+# ---- deliveries in parts ------------------------------------------------------------------------------------
+
+
+def shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {path.name for folder in folders for path in Path(folder).rglob("shuffle_*.data")}
+
+
+def test_a_large_extraction_is_made_in_parts_whose_shuffle_files_go(spark, delivered, tmp_path, monkeypatch):
+    catalog, whole = delivered
+    monkeypatch.setattr(extraction, "PART_COLUMNS", catalog.columns.count() // 3 + 1)
+    write, wrote, setting = J.write_stream, [], spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None)
+
+    def watched(entities, target, *how, **more):
+        before = shuffle_files(spark)
+        n = write(entities, target, *how, **more)
+        until = time.time() + 10
+        while (left := shuffle_files(spark) - before) and time.time() < until:
+            time.sleep(0.1)
+        wrote.append((target.rsplit("/", 1)[1], n))
+        assert not left, target
+        return n
+
+    monkeypatch.setattr(J, "write_stream", watched)
+    delivery = extract(spark, catalog, str(tmp_path))
+    assert [name for name, _ in wrote] == ["database", "schema", *["table"] * 3, *["column"] * 3, "procedure"]
+    assert max(n for name, n in wrote if name == "column") < whole.lines["column"] / 2
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) == setting
+    assert (delivery.lines, delivery.by_connection) == (whole.lines, whole.by_connection)
+    for name in whole.lines:
+        lines = [sorted((r.connection_id, r.value) for r in J.read_stream(spark, f"{d.prefix}/{name}").collect()) for d in (whole, delivery)]
+        assert lines[0] == lines[1]
+    assert J.damaged_files(spark, delivery).isEmpty()
+
+
+@pytest.mark.parametrize("own", [True, False])
+def test_the_parts_of_a_catalog_hold_each_of_its_rows_once(spark, own):
+    catalog = DerivedCatalog(spark, SF_DIR, 3)
+    whole = catalog if own else C.catalog_from({name: getattr(catalog, name) for name in C.RELATION_SCHEMAS})
+    parts = [C.part_of(whole, n, 4) for n in range(4)]
+    names = [{r.table_name for r in part.tables.select("table_name").collect()} for part in parts]
+    assert all(names) and sum(map(len, names)) == catalog.tables.select("table_name").distinct().count()
+    for name, schema in C.RELATION_SCHEMAS.items():
+        row = F.xxhash64(*schema.fieldNames()).cast("decimal(38,0)")
+        found = [part.agg(F.count("*"), F.coalesce(F.sum(row), F.lit(0))).first() for part in (*(getattr(p, name) for p in parts), getattr(whole, name))]
+        if "table_name" in schema.fieldNames():
+            assert tuple(map(sum, zip(*found[:-1]))) == found[-1], name
+        else:
+            assert all(part == found[-1] for part in found), name
+
+
+def test_rows_without_a_table_name_are_in_one_part(make_catalog):
+    catalog = make_catalog(columns=[{"column_name": c, "table_name": t} for c, t in (("a", None), ("b", None), ("c", "t"))])
+    counts = [C.part_of(catalog, n, 3).columns.where("table_name is null").count() for n in range(3)]
+    assert sorted(counts) == [0, 0, 2]
+    assert C.part_of(catalog, 0, 1) is catalog
+
+
+def test_checks_of_a_stream_in_parts_are_added_up(spark, make_catalog, tmp_path):
+    catalog = make_catalog("default/mysql/1", schemata=[{"schema_name": "s"}], tables=[table(t, schema="s") for t in "abc"])
+    streams = dict(EntityStreams(catalog))
+    name = F.col("attributes.name")
+    parts = [streams["table"].where(name == "a"), streams["table"].where(name == "z"), streams["table"].where(name > "a")]
+    sound = J.deliver(spark, {**streams, "table": parts}, str(tmp_path), checked_as=("mysql", "default"))
+    assert sound.lines["table"] == 3 and sound.by_connection["table"] == {"default/mysql/1": 3}
+    faulty = [p.withColumn("attributes", F.col("attributes").withField("description", F.lit(None).cast("string"))) for p in parts]
+    with pytest.raises(J.FaultyDeliveryError, match="3 things wrong in stream table"):
+        J.deliver(spark, {**streams, "table": faulty}, str(tmp_path), checked_as=("mysql", "default"))
